@@ -14,7 +14,7 @@ Spark re-reads only the columns it uses.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +39,7 @@ class Mart:
     spark: SparkSession
     source: str
     kind: str = "testdata"
+    frames: dict[str, DataFrame] = field(default_factory=dict)
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> Mart:
@@ -48,11 +49,18 @@ class Mart:
     def from_tables(cls, spark: SparkSession, root: str) -> Mart:
         return cls(spark, root, "tables")
 
+    @classmethod
+    def from_frames(cls, spark: SparkSession, frames: dict[str, DataFrame]) -> Mart:
+        """A mart over given DataFrames (tests, or tables loaded elsewhere)."""
+        return cls(spark, "<frames>", "frames", dict(frames))
+
     # -- raw access ---------------------------------------------------------
     def _raw(self, name: str) -> DataFrame:
         return read_raw(self.spark, self.source, name)
 
     def _published(self, name: str) -> DataFrame:
+        if self.kind == "frames":
+            return self.frames[name]
         return self.spark.read.parquet(f"{self.source.rstrip('/')}/{name}")
 
     def table(self, name: str) -> DataFrame:
@@ -66,7 +74,7 @@ class Mart:
     # -- the nine tables ----------------------------------------------------
     @cached_property
     def orders(self) -> DataFrame:
-        if self.kind == "tables":
+        if self.kind != "testdata":
             return self._published("orders")
         o = self._raw("orders")
         key = o.o_orderkey
@@ -86,7 +94,7 @@ class Mart:
 
     @cached_property
     def customers(self) -> DataFrame:
-        if self.kind == "tables":
+        if self.kind != "testdata":
             return self._published("customers")
         o = self._raw("orders").select("o_orderkey", "o_custkey")
         c = self._raw("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
@@ -104,7 +112,7 @@ class Mart:
 
     @cached_property
     def order_items(self) -> DataFrame:
-        if self.kind == "tables":
+        if self.kind != "testdata":
             return self._published("order_items")
         li = self._raw("lineitem")
         price = li.l_extendedprice.cast("decimal(12,2)")
@@ -120,7 +128,7 @@ class Mart:
 
     @cached_property
     def products(self) -> DataFrame:
-        if self.kind == "tables":
+        if self.kind != "testdata":
             return self._published("products")
         p = self._raw("part")
         return p.select(
@@ -138,7 +146,7 @@ class Mart:
 
     @cached_property
     def product_category_name_translation(self) -> DataFrame:
-        if self.kind == "tables":
+        if self.kind != "testdata":
             return self._published("product_category_name_translation")
         p = self._raw("part")
         name = F.concat(p.p_type, F.lit("_"), p.p_brand)
@@ -150,7 +158,7 @@ class Mart:
 
     @cached_property
     def sellers(self) -> DataFrame:
-        if self.kind == "tables":
+        if self.kind != "testdata":
             return self._published("sellers")
         s = self._raw("supplier")
         n = F.broadcast(self._raw("nation").select("n_nationkey", "n_name"))
@@ -164,7 +172,7 @@ class Mart:
 
     @cached_property
     def order_payments(self) -> DataFrame:
-        if self.kind == "tables":
+        if self.kind != "testdata":
             return self._published("order_payments")
         o = self._raw("orders")
         pri = o.o_orderpriority
@@ -189,7 +197,7 @@ class Mart:
 
     @cached_property
     def order_reviews(self) -> DataFrame:
-        if self.kind == "tables":
+        if self.kind != "testdata":
             return self._published("order_reviews")
         e = self._raw("events")
         et = e.event_type
@@ -208,7 +216,7 @@ class Mart:
 
     @cached_property
     def geolocation(self) -> DataFrame:
-        if self.kind == "tables":
+        if self.kind != "testdata":
             return self._published("geolocation")
         n = self._raw("nation")
         r = F.broadcast(self._raw("region"))
@@ -222,8 +230,19 @@ class Mart:
             j.r_name.alias("geolocation_state"),
         )
 
-    def write(self, root: str, mode: str = "overwrite") -> None:
-        """Publish all nine tables as parquet under ``root/<table>``."""
+    def write(self, root: str, mode: str = "overwrite") -> Mart:
+        """Publish all nine tables as parquet under ``root/<table>``; return a Mart over them.
+
+        The order-keyed tables are range-clustered by their key inside each
+        file (``sortWithinPartitions``), so parquet row-group statistics on
+        ``order_id`` / ``customer_id`` are tight and later order-grain
+        aggregations read pre-clustered rows. No global sort is needed.
+        """
+        cluster = {"orders": "order_id", "order_items": "order_id", "order_payments": "order_id",
+                   "order_reviews": "order_id", "customers": "customer_id"}
         for name in TABLE_ORDER:
             df = self.table(name)
+            if name in cluster:
+                df = df.sortWithinPartitions(cluster[name])
             df.write.mode(mode).parquet(f"{root.rstrip('/')}/{name}")
+        return Mart.from_tables(self.spark, root)
