@@ -20,7 +20,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.sources.schemas import TABLE_ORDER
+from marketlens.sources.schemas import SCHEMAS, TABLE_ORDER
 
 RAW_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -61,7 +61,9 @@ class Mart:
     def _published(self, name: str) -> DataFrame:
         if self.kind == "frames":
             return self.frames[name]
-        return self.spark.read.parquet(f"{self.source.rstrip('/')}/{name}")
+        df = self.spark.read.parquet(f"{self.source.rstrip('/')}/{name}")
+        # Only the logical columns (a table loaded incrementally also carries batch_id).
+        return df.select(*[c for c in SCHEMAS[name].fieldNames() if c in df.columns])
 
     def table(self, name: str) -> DataFrame:
         if name not in TABLE_ORDER:

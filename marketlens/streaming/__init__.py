@@ -1,0 +1,3 @@
+"""Incremental ingest with Structured Streaming (restartable CSV -> parquet)."""
+
+from marketlens.streaming.incremental_ingest import raw_schema, start_table_stream, ingest_available  # noqa: F401

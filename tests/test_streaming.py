@@ -1,0 +1,26 @@
+import os
+
+from marketlens.sources.mart import Mart
+from marketlens.streaming import ingest_available
+
+HEADER = ("order_id,customer_id,order_status,order_purchase_timestamp,order_approved_at,"
+          "order_delivered_carrier_date,order_delivered_customer_date,order_estimated_delivery_date\n")
+
+
+def _drop(folder, name, rows):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as fh:
+        fh.write(HEADER + "".join(rows))
+
+
+def test_incremental_ingest_resumes(spark, tmpdir_path):
+    src, dst, ck = (os.path.join(tmpdir_path, x) for x in ("src", "dst", "ck"))
+    row = "o{0},c{0},delivered,2017-10-02 10:56:33,,,,2017-10-18 00:00:00\n"
+    _drop(os.path.join(src, "orders"), "a.csv", [row.format(i) for i in range(3)])
+    assert ingest_available(spark, src, dst, ck, ["orders"]) == {"orders": 3}
+    _drop(os.path.join(src, "orders"), "b.csv", [row.format(i) for i in range(3, 5)])
+    assert ingest_available(spark, src, dst, ck, ["orders"]) == {"orders": 2}   # only the new file
+    assert ingest_available(spark, src, dst, ck, ["orders"]) == {"orders": 0}   # nothing new
+    orders = Mart.from_tables(spark, dst).orders
+    assert orders.count() == 5 and "batch_id" not in orders.columns
+    assert orders.where("order_approved_at IS NULL").count() == 5
