@@ -27,7 +27,7 @@ def main() -> None:
     from marketlens.session import build_session
     from marketlens.sources.mart import Mart
 
-    spark = build_session(f"local[{cpus}]", app_name="marketlens-bench", shuffle_partitions=2 * cpus,
+    spark = build_session(f"local[{cpus}]", app_name="marketlens-bench", shuffle_partitions=cpus,
                           extra={"spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
     # Production layout: the ingest step publishes the nine tables once and

@@ -54,6 +54,22 @@ def labeled_products(products: DataFrame, translation: DataFrame) -> DataFrame:
              .select("product_id", category_label().alias("product_category")))
 
 
+def with_category(rows: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
+    """Attach ``product_category`` to rows carrying ``product_id`` (inner join to products).
+
+    Joined in two steps, each against a stored table: rows x products, then
+    the lookup. Spark's size check then sees the real size of each table
+    (broadcast when small, sort-merge otherwise); a pre-joined labeled
+    product relation would be estimated as the product of both sizes and
+    never broadcast.
+    """
+    p = products.select("product_id", "product_category_name")
+    t = translation.select("product_category_name", "product_category_name_english")
+    return (rows.join(p, "product_id").join(t, "product_category_name", "left")
+            .withColumn("product_category", category_label())
+            .drop("product_category_name", "product_category_name_english"))
+
+
 def customer_orders(customers: DataFrame, orders: DataFrame, *order_cols: str) -> DataFrame:
     """orders joined to their customer record (customer_id is per order)."""
     c = customers.select("customer_id", "customer_unique_id")

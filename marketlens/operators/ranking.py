@@ -133,12 +133,17 @@ def group_row_number(df: DataFrame, group: Sequence[str], order: Sequence[Column
     return res.drop(_PID, _LPOS)
 
 
-def with_total(df: DataFrame, value: Column | str, out: str) -> DataFrame:
-    """Attach ``SUM(value) OVER ()`` as a column via a one-row aggregate.
-
-    The total is a single row (a proven bound), broadcast to every task; no
-    global window is needed.
+def with_total(df: DataFrame, value: Column | str, out: str, bounded: bool = False) -> DataFrame:
+    """Attach ``SUM(value) OVER ()`` as a column.
+
+    ``bounded=True`` is for relations with a fixed, small number of rows
+    (one row per status, category, score, month...): a window over the whole
+    relation is then one cheap stage. Otherwise the total is computed as a
+    one-row aggregate (a proven bound) and broadcast to every task, so no
+    task ever receives the whole relation.
     """
     v = F.col(value) if isinstance(value, str) else value
+    if bounded:
+        return df.withColumn(out, F.sum(v).over(Window.partitionBy()))
     total = df.agg(F.sum(v).alias(out))
     return df.crossJoin(F.broadcast(total))

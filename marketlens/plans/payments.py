@@ -31,7 +31,7 @@ def payment_share(m: Mart) -> DataFrame:
     """Payment value per type and its share of all payment value."""
     g = m.order_payments.groupBy("payment_type").agg(F.count(F.lit(1)).alias("payment_record_count"),
                                                      F.sum(_V).alias("__v"))
-    return (with_total(g, "__v", "__t")
+    return (with_total(g, "__v", "__t", bounded=True)
             .select("payment_type", "payment_record_count", round2("__v").alias(_V),
                     pct("__v", "__t").alias("payment_value_percentage"))
             .orderBy(F.col(_V).desc(), "payment_type"))

@@ -111,7 +111,7 @@ def pareto(m: Mart) -> DataFrame:
     """Category revenue share and cumulative share, largest first (one row per category)."""
     w = (Window.orderBy(F.col("revenue").desc_nulls_first(), "product_category")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cr = with_total(category_revenue(m), "revenue", "__t").withColumn("__cum", F.sum("revenue").over(w))
+    cr = with_total(category_revenue(m), "revenue", "__t", bounded=True).withColumn("__cum", F.sum("revenue").over(w))
     return (cr.select("product_category", round2("revenue").alias("revenue"),
                       pct("revenue", "__t").alias("revenue_percentage"),
                       pct("__cum", "__t").alias("cumulative_revenue_percentage"), F.col("revenue").alias("__v"))
