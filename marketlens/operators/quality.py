@@ -51,15 +51,20 @@ class Rule:
     # Row-level rules also expose their violation predicate, so all of them
     # on one table are counted in a single scan.
     row_violation: Callable[[], Column] | None = None
+    # The same violation as SQL text (row rules) or the key columns (key rules),
+    # used to state the rule job as SQL.
+    sql: str | None = None
+    keys: tuple = ()
 
 
-def _row_rule(name: str, table: str, kind: str, violation: Callable[[], Column]) -> Rule:
-    return Rule(name, table, kind, lambda t: t[table].where(violation()), violation)
+def _row_rule(name: str, table: str, kind: str, violation: Callable[[], Column], sql: str) -> Rule:
+    return Rule(name, table, kind, lambda t: t[table].where(violation()), violation, sql)
 
 
-def _check(name: str, table: str, predicate: Callable[[], Column]) -> Rule:
+def _check(name: str, table: str, predicate: Callable[[], Column], sql: str) -> Rule:
     # Violation = predicate is FALSE (NULL passes, as in SQL CHECK constraints).
-    return _row_rule(name, table, "CHECK", lambda: ~F.coalesce(predicate(), F.lit(True)))
+    return _row_rule(name, table, "CHECK", lambda: ~F.coalesce(predicate(), F.lit(True)),
+                     f"NOT COALESCE({sql}, TRUE)")
 
 
 def _pk(table: str, keys: Sequence[str]) -> Rule:
@@ -70,25 +75,30 @@ def _pk(table: str, keys: Sequence[str]) -> Rule:
         null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
         dup = duplicates(df.where(~null_key), keys).drop("duplicate_count")
         return df.where(null_key).select(*keys).unionByName(dup)
-    return Rule(name, table, "PRIMARY KEY", viol)
+    return Rule(name, table, "PRIMARY KEY", viol, keys=tuple(keys))
 
 
 def _fk(name: str, child: str, ck: str, parent: str, pk: str) -> Rule:
     return Rule(name, child, "FOREIGN KEY",
-                lambda t: orphans(t[child], t[parent], ck, pk, keep_null_keys=False))
+                lambda t: orphans(t[child], t[parent], ck, pk, keep_null_keys=False), keys=(ck, parent, pk))
 
 
 def _not_null(table: str, col: str) -> Rule:
-    return _row_rule(f"nn_{table}_{col}", table, "NOT NULL", lambda: F.col(col).isNull())
+    return _row_rule(f"nn_{table}_{col}", table, "NOT NULL", lambda: F.col(col).isNull(), f"{col} IS NULL")
 
 
 def _length(table: str, col: str, n: int) -> Rule:
     return _row_rule(f"len_{table}_{col}", table, "LENGTH",
-                     lambda: F.coalesce(F.length(F.col(col).cast("string")) > n, F.lit(False)))
+                     lambda: F.coalesce(F.length(F.col(col).cast("string")) > n, F.lit(False)),
+                     f"COALESCE(length(CAST({col} AS VARCHAR)) > {n}, FALSE)")
 
 
 def _non_negative(name: str, table: str, col: str) -> Rule:
-    return _check(name, table, lambda: F.col(col) >= 0)
+    return _check(name, table, lambda: F.col(col) >= 0, f"{col} >= 0")
+
+
+def _in_sql(values) -> str:
+    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
 def build_rules() -> list[Rule]:
@@ -107,18 +117,23 @@ def build_rules() -> list[Rule]:
         _non_negative("chk_product_length", "products", "product_length_cm"),
         _non_negative("chk_product_height", "products", "product_height_cm"),
         _non_negative("chk_product_width", "products", "product_width_cm"),
-        _check("chk_order_status", "orders", lambda: F.col("order_status").isin(*ORDER_STATUSES)),
-        _check("chk_order_item_id", "order_items", lambda: F.col("order_item_id") > 0),
+        _check("chk_order_status", "orders", lambda: F.col("order_status").isin(*ORDER_STATUSES),
+               f"order_status IN {_in_sql(ORDER_STATUSES)}"),
+        _check("chk_order_item_id", "order_items", lambda: F.col("order_item_id") > 0, "order_item_id > 0"),
         _non_negative("chk_order_item_price", "order_items", "price"),
         _non_negative("chk_order_item_freight", "order_items", "freight_value"),
-        _check("chk_payment_sequential", "order_payments", lambda: F.col("payment_sequential") > 0),
-        _check("chk_payment_type", "order_payments", lambda: F.col("payment_type").isin(*PAYMENT_TYPES)),
+        _check("chk_payment_sequential", "order_payments", lambda: F.col("payment_sequential") > 0,
+               "payment_sequential > 0"),
+        _check("chk_payment_type", "order_payments", lambda: F.col("payment_type").isin(*PAYMENT_TYPES),
+               f"payment_type IN {_in_sql(PAYMENT_TYPES)}"),
         _non_negative("chk_payment_installments", "order_payments", "payment_installments"),
         _non_negative("chk_payment_value", "order_payments", "payment_value"),
-        _check("chk_review_score", "order_reviews", lambda: F.col("review_score").between(1, 5)),
-        _check("chk_geolocation_latitude", "geolocation", lambda: F.col("geolocation_lat").between(-90, 90)),
+        _check("chk_review_score", "order_reviews", lambda: F.col("review_score").between(1, 5),
+               "review_score BETWEEN 1 AND 5"),
+        _check("chk_geolocation_latitude", "geolocation", lambda: F.col("geolocation_lat").between(-90, 90),
+               "geolocation_lat BETWEEN -90 AND 90"),
         _check("chk_geolocation_longitude", "geolocation",
-               lambda: F.col("geolocation_lng").between(-180, 180)),
+               lambda: F.col("geolocation_lng").between(-180, 180), "geolocation_lng BETWEEN -180 AND 180"),
     ]
     for table, cols in MAX_LENGTHS.items():
         rules += [_length(table, c, n) for c, n in cols.items()]
@@ -168,3 +183,24 @@ def constraints_catalog(spark, rules: Sequence[Rule] = RULES) -> DataFrame:
     rows = [(r.table, r.name, r.kind) for r in rules]
     df = spark.createDataFrame(rows, "table_name string, constraint_name string, constraint_type string")
     return df.orderBy("table_name", "constraint_type", "constraint_name")
+
+
+def rules_sql(rules: Sequence[Rule] = RULES) -> str:
+    """The rule job as one SQL statement (same output as ``check_rules``)."""
+    parts = []
+    for r in rules:
+        head = f"SELECT '{r.name}' AS rule, '{r.table}' AS table_name, '{r.kind}' AS rule_type"
+        if r.kind == "PRIMARY KEY":
+            k = ", ".join(r.keys)
+            any_null = " OR ".join(f"{c} IS NULL" for c in r.keys)
+            body = (f"(SELECT COUNT(*) FROM {r.table} WHERE {any_null}) + "
+                    f"(SELECT COUNT(*) FROM (SELECT {k} FROM {r.table} WHERE NOT ({any_null}) "
+                    f"GROUP BY {k} HAVING COUNT(*) > 1) AS d)")
+            parts.append(f"{head}, {body} AS violations")
+        elif r.kind == "FOREIGN KEY":
+            ck, parent, pk = r.keys
+            parts.append(f"{head}, COUNT(*) AS violations FROM {r.table} AS c WHERE c.{ck} IS NOT NULL "
+                         f"AND NOT EXISTS (SELECT 1 FROM {parent} AS p WHERE p.{pk} = c.{ck})")
+        else:
+            parts.append(f"{head}, COUNT(*) FILTER (WHERE {r.sql}) AS violations FROM {r.table}")
+    return "\nUNION ALL\n".join(parts) + "\nORDER BY table_name, rule_type, rule"

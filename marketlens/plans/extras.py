@@ -12,13 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.operators.quality import check_rules
+from marketlens.operators.quality import check_rules, rules_sql
 from marketlens.plans.registry import report
 from marketlens.sources.ingest import backfill_categories
 from marketlens.sources.mart import Mart
 
 
-@report("dq_rule_report")
+@report("dq_rule_report", sql=rules_sql())
 def dq_rule_report(m: Mart) -> DataFrame:
     """Violations per data-quality rule over the nine tables."""
     return check_rules(m.tables()).orderBy("table_name", "rule_type", "rule")
