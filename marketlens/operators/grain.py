@@ -30,6 +30,18 @@ def order_financials(items: DataFrame, with_parts: bool = True) -> DataFrame:
     return items.groupBy("order_id").agg(*aggs)
 
 
+def order_sums(items: DataFrame) -> DataFrame:
+    """order_id -> __p (SUM price), __f (SUM freight), __n (COUNT order_item_id).
+
+    Coarser reports (per month, year, state) sum these per-order partials:
+    SUM over items equals SUM over orders of the per-order sums, exactly,
+    because money is DECIMAL. The items shuffle then carries one partial row
+    per order and partition instead of every item.
+    """
+    return items.groupBy("order_id").agg(F.sum("price").alias("__p"), F.sum("freight_value").alias("__f"),
+                                         F.count("order_item_id").alias("__n"))
+
+
 def order_value(items: DataFrame) -> DataFrame:
     """order_id -> order_value = SUM(price + freight_value)."""
     return items.groupBy("order_id").agg(F.sum(item_value()).alias("order_value"))

@@ -76,12 +76,12 @@ def customer_summary(m: Mart) -> DataFrame:
 
 def monthly_sales(m: Mart) -> DataFrame:
     """Per purchase month of delivered orders: orders, items, product/freight/total revenue (unrounded)."""
-    o = delivered(m.orders).select("order_id", month_of(_TS).alias("order_month"))
-    j = m.order_items.select("order_id", "order_item_id", "price", "freight_value").join(o, "order_id")
+    from marketlens.plans.time_sales import delivered_order_rows
+    j = delivered_order_rows(m, month_of(_TS).alias("order_month"))
     return (j.groupBy("order_month")
-            .agg(F.count_distinct("order_id").alias("delivered_orders"), F.count("order_item_id").alias("items_sold"),
-                 F.sum("price").alias("product_revenue"), F.sum("freight_value").alias("freight_revenue"),
-                 F.sum(item_value()).alias("total_revenue")))
+            .agg(F.count_distinct("order_id").alias("delivered_orders"), F.sum("__n").alias("items_sold"),
+                 F.sum("__p").alias("product_revenue"), F.sum("__f").alias("freight_revenue"),
+                 F.sum(F.col("__p") + F.col("__f")).alias("total_revenue")))
 
 
 def register_views(m: Mart) -> None:

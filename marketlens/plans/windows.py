@@ -11,7 +11,7 @@ from marketlens.operators.grain import delivered, delivered_items
 from marketlens.operators.ranking import global_ntile, with_total
 from marketlens.plans.products import category_revenue
 from marketlens.plans.registry import LABEL, MONEY, PCT, report
-from marketlens.plans.time_sales import monthly_delivered_revenue
+from marketlens.plans.time_sales import delivered_order_rows, monthly_delivered_revenue
 from marketlens.sources.mart import Mart
 
 _TS = "order_purchase_timestamp"
@@ -29,9 +29,8 @@ SELECT order_year, order_month, CAST(ROUND(revenue, 2) AS DOUBLE) AS revenue,
 FROM monthly_revenue ORDER BY order_year NULLS LAST, revenue_rank_within_year, order_month""")
 def month_rank_in_year(m: Mart) -> DataFrame:
     """Months ranked by delivered revenue within their year (at most 12 rows per year)."""
-    o = delivered(m.orders).select("order_id", year_of(_TS).alias("order_year"), month_num(_TS).alias("order_month"))
-    mr = (m.order_items.select("order_id", "price", "freight_value").join(o, "order_id")
-          .groupBy("order_year", "order_month").agg(F.sum(item_value()).alias("revenue")))
+    mr = (delivered_order_rows(m, year_of(_TS).alias("order_year"), month_num(_TS).alias("order_month"))
+          .groupBy("order_year", "order_month").agg(F.sum(F.col("__p") + F.col("__f")).alias("revenue")))
     w = Window.partitionBy("order_year").orderBy(F.col("revenue").desc_nulls_first())
     return (mr.select("order_year", "order_month", round2("revenue").alias("revenue"),
                       F.dense_rank().over(w).cast("long").alias("revenue_rank_within_year"))
