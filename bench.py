@@ -5,7 +5,8 @@ runs, including final sorts, but no rows are shipped to the driver). One
 warm-up report runs first and is not counted.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_KEYS (optional comma-separated subset, for local iteration only).
+BENCH_KEYS (optional comma-separated subset, for local iteration only),
+BENCH_SHUFFLE_PARTITIONS (default 2 x cpus).
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ def main() -> None:
     from marketlens.session import build_session
     from marketlens.sources.mart import Mart
 
-    spark = build_session(f"local[{cpus}]", app_name="marketlens-bench", shuffle_partitions=cpus,
+    shuffle = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(2 * cpus)))
+    spark = build_session(f"local[{cpus}]", app_name="marketlens-bench", shuffle_partitions=shuffle,
                           extra={"spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
     # Production layout: the ingest step publishes the nine tables once and

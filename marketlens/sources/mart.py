@@ -235,21 +235,25 @@ class Mart:
     def write(self, root: str, mode: str = "overwrite", files: int | None = None) -> Mart:
         """Publish all nine tables as parquet under ``root/<table>``; return a Mart over them.
 
-        Order-keyed tables are range-partitioned on their key into ``files``
-        files (default: the cluster's parallelism) and sorted inside each
-        file. Every file then holds a disjoint key range, so scans run one
-        task per file and row-group statistics on ``order_id`` /
-        ``customer_id`` let filters on the key skip files. The range
-        partitioner samples the key, so files come out balanced even when
-        the key is skewed. Small dimension tables are written as they are.
+        Order-keyed tables are sorted by their key inside each output file, so
+        parquet row-group statistics on ``order_id`` / ``customer_id`` are
+        tight and filters on the key skip row groups.
+
+        By default the file count follows the input splits (Spark cuts the
+        input into ~``spark.sql.files.maxPartitionBytes`` pieces), so it
+        grows with the data without a counting pass. ``files=n``
+        range-partitions the keyed tables into ``n`` files with disjoint key
+        ranges instead (the range partitioner samples the key, so files stay
+        balanced under skew) at the cost of one shuffle.
         """
-        n = files or self.spark.sparkContext.defaultParallelism
         cluster = {"orders": "order_id", "order_items": "order_id", "order_payments": "order_id",
                    "order_reviews": "order_id", "customers": "customer_id", "products": "product_id"}
         for name in TABLE_ORDER:
             df = self.table(name)
             if name in cluster:
                 key = cluster[name]
-                df = df.repartitionByRange(n, F.col(key)).sortWithinPartitions(key)
+                if files:
+                    df = df.repartitionByRange(files, F.col(key))
+                df = df.sortWithinPartitions(key)
             df.write.mode(mode).parquet(f"{root.rstrip('/')}/{name}")
         return Mart.from_tables(self.spark, root)
