@@ -1,5 +1,7 @@
 """Physical-plan assertions: the shapes that matter at scale."""
 
+import os
+
 from marketlens.plans.registry import run_report
 from marketlens.sources.mart import Mart
 from tests.conftest import SF_SMALL
@@ -38,3 +40,20 @@ def test_filters_and_pruning_reach_published_scan(spark, tmpdir_path):
     p = plan(spark, "q4_2_delivered_orders", mart)
     assert "PushedFilters: [IsNotNull(order_status), EqualTo(order_status,delivered)]" in p
     assert "ReadSchema: struct<order_status:string>" in p
+
+
+def test_bucketed_layout_removes_order_shuffles(spark, tmpdir_path):
+    """With tables too large to broadcast, order-keyed joins and aggregations on a
+    bucketed mart run without any hash exchange."""
+    db = "ml_bucketed_" + os.path.basename(tmpdir_path).replace("-", "_")
+    mart = Mart.from_testdata(spark, SF_SMALL).write_bucketed(db, tmpdir_path + "/wh", buckets=8)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for key in ["q4_7_order_financials", "q10_6_reconcile_totals", "q4_6_total_order_value"]:
+            p = plan(spark, key, mart)
+            assert "SortMergeJoin" in p, key
+            assert "Exchange hashpartitioning(order_id" not in p, key
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    assert mart.order_items.count() == Mart.from_testdata(spark, SF_SMALL).order_items.count()
