@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions import item_value, month_of, round2
-from marketlens.operators.grain import delivered
 from marketlens.plans.registry import MONEY, report
 from marketlens.sources.mart import Mart
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions import item_value, month_num, pct, round2, year_of
 from marketlens.functions.money import ratio_round
-from marketlens.operators.grain import delivered, delivered_items
+from marketlens.operators.grain import delivered_items
 from marketlens.operators.ranking import global_ntile, with_total
 from marketlens.plans.products import category_revenue
 from marketlens.plans.registry import LABEL, MONEY, PCT, report

@@ -31,8 +31,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.ui.enabled": "false",
 }
+# Static settings that can only be given before the session starts.
+STATIC_DEFAULTS = {"spark.ui.enabled": "false"}
 
 
 def build_session(master: str | None = None, app_name: str = "marketlens",
@@ -42,19 +43,29 @@ def build_session(master: str | None = None, app_name: str = "marketlens",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULT_CONF, **REQUIRED_CONF, **(extra or {})}.items():
+    for key, value in {**STATIC_DEFAULTS, **REQUIRED_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
-    configure(spark)
+    configure(spark, defaults=True)
     return spark
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the required settings to an existing session (idempotent)."""
+def configure(spark: SparkSession, defaults: bool = False) -> SparkSession:
+    """Apply the required settings to an existing session (idempotent).
+
+    With ``defaults=True`` the throughput defaults are also applied, but only
+    for keys the deployment did not set (spark-defaults.conf, spark-submit
+    ``--conf`` or the builder).
+    """
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
+    if defaults:
+        given = spark.sparkContext.getConf()
+        for key, value in DEFAULT_CONF.items():
+            if not given.contains(key):
+                spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -63,8 +74,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only if none is set.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS/S3/...)
-    and is used as is. Only a session without one (a unit test) gets a fresh
-    local folder.
+    and is used as is; a cluster session without one is an error. Only a
+    local-mode session without one (a unit test) gets a fresh local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -74,6 +85,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local"):
+        # A machine-local folder would be lost with its executor.
+        raise RuntimeError("Set spark.checkpoint.dir to a shared folder (HDFS, S3, ...) for this cluster.")
     folder = tempfile.mkdtemp(prefix="marketlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
