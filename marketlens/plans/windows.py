@@ -84,9 +84,10 @@ def value_quartiles(m: Mart) -> DataFrame:
     for k, name in QUARTILE_NAMES.items():
         cond = F.col("value_quartile") == k
         seg = F.when(cond, name) if seg is None else seg.when(cond, name)
+    # ORDER BY resolves to the rounded output column, as in the SQL.
     return (q.select("order_id", round2("order_value").alias("order_value"), "value_quartile",
-                     seg.alias("value_segment"), F.col("order_value").alias("__v"))
-            .orderBy(F.col("__v").desc_nulls_first(), "order_id").drop("__v"))
+                     seg.alias("value_segment"))
+            .orderBy(F.col("order_value").desc_nulls_first(), "order_id"))
 
 
 @report("q14_4_pareto", sql=f"""
@@ -113,5 +114,5 @@ def pareto(m: Mart) -> DataFrame:
     cr = with_total(category_revenue(m), "revenue", "__t", bounded=True).withColumn("__cum", F.sum("revenue").over(w))
     return (cr.select("product_category", round2("revenue").alias("revenue"),
                       pct("revenue", "__t").alias("revenue_percentage"),
-                      pct("__cum", "__t").alias("cumulative_revenue_percentage"), F.col("revenue").alias("__v"))
-            .orderBy(F.col("__v").desc_nulls_first(), "product_category").drop("__v"))
+                      pct("__cum", "__t").alias("cumulative_revenue_percentage"))
+            .orderBy(F.col("revenue").desc_nulls_first(), "product_category"))
