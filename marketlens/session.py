@@ -66,7 +66,6 @@ def configure(spark: SparkSession, defaults: bool = False) -> SparkSession:
         for key, value in DEFAULT_CONF.items():
             if not given.contains(key):
                 spark.conf.set(key, value)
-    ensure_checkpoint_dir(spark)
     return spark
 
 
