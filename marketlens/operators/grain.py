@@ -21,6 +21,19 @@ def delivered(orders: DataFrame) -> DataFrame:
     return orders.where(F.col("order_status") == DELIVERED)
 
 
+def order_summary(items: DataFrame) -> DataFrame:
+    """The order-grain relation most reports start from (materialised by ``Mart.write``).
+
+    order_id -> item_count (rows), item_id_count (non-NULL item ids),
+    product_value, freight_value, total_order_value (exact DECIMAL sums;
+    the total is summed per item so a NULL part is handled as in SQL).
+    """
+    return items.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("item_count"), F.count("order_item_id").alias("item_id_count"),
+        F.sum("price").alias("product_value"), F.sum("freight_value").alias("freight_value"),
+        F.sum(item_value()).alias("total_order_value"))
+
+
 def order_financials(items: DataFrame, with_parts: bool = True) -> DataFrame:
     """order_id -> item_count, product_value, freight_value, total_order_value (exact)."""
     aggs = [F.count(F.lit(1)).alias("item_count")]

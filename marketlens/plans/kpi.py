@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions import avg_elapsed, avg_exact, pct, round2
-from marketlens.operators.grain import customer_orders, delivered, order_value
+from marketlens.operators.grain import customer_orders, delivered
 from marketlens.plans.delivery import DLV, EST, PUR
 from marketlens.plans.registry import AVG2, ELAPSED, MONEY, PCT, report
 from marketlens.sources.mart import Mart
@@ -39,8 +39,8 @@ delivery_kpis AS (
 
 def delivered_order_metrics(m: Mart) -> DataFrame:
     """Delivered orders with person id and order value (order grain)."""
-    return customer_orders(m.customers, delivered(m.orders)).join(order_value(m.order_items), "order_id") \
-        .select("order_id", _ID, "order_value")
+    ofn = m.order_summary.select("order_id", F.col("total_order_value").alias("order_value"))
+    return customer_orders(m.customers, delivered(m.orders)).join(ofn, "order_id").select("order_id", _ID, "order_value")
 
 
 def review_kpis(m: Mart) -> DataFrame:

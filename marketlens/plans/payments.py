@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.functions import avg_exact, item_value, pct, round2
+from marketlens.functions import avg_exact, pct, round2
 from marketlens.operators.ranking import with_total
 from marketlens.plans.registry import AVG2, MONEY, PCT, report
 from marketlens.sources.mart import Mart
@@ -81,7 +81,7 @@ def reconcile_totals(m: Mart, how: str = "inner", tolerance: str = "0.01") -> Da
     payment rows). ``how='full'`` also reports orders present on one side
     only, counting the missing side as 0.
     """
-    it = m.order_items.groupBy("order_id").agg(F.sum(item_value()).alias("item_total"))
+    it = m.order_summary.select("order_id", F.col("total_order_value").alias("item_total"))
     pt = m.order_payments.groupBy("order_id").agg(F.sum(_V).alias("payment_total"))
     j = it.join(pt, "order_id", how)
     if how == "inner":

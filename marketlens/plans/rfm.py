@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions import round2
-from marketlens.operators.grain import customer_orders, delivered, order_value
+from marketlens.operators.grain import customer_orders, delivered
 from marketlens.operators.ranking import global_ntile
 from marketlens.plans.registry import MONEY, report
 from marketlens.sources.mart import Mart
@@ -36,7 +36,8 @@ def rfm_values(m: Mart) -> DataFrame:
     """person -> recency_days, frequency, monetary_value (delivered orders)."""
     reference = m.orders.agg(F.max(_TS).cast("date").alias("reference_date"))
     per_person = (customer_orders(m.customers, delivered(m.orders), _TS)
-                  .join(order_value(m.order_items), "order_id")
+                  .join(m.order_summary.select("order_id", F.col("total_order_value").alias("order_value")),
+                        "order_id")
                   .groupBy(_ID)
                   .agg(F.max(_TS).cast("date").alias("latest_purchase_date"),
                        F.count_distinct("order_id").alias("frequency"),

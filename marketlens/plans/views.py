@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.functions import item_value, month_of, round2
+from marketlens.functions import month_of, round2
 from marketlens.plans.registry import MONEY, report
 from marketlens.sources.mart import Mart
 
@@ -44,18 +44,18 @@ MONTHLY_SALES_SQL = """vw_monthly_sales AS (
 def order_financial_summary(m: Mart) -> DataFrame:
     """Every order with item count (0 without items) and NULL-able value sums.
 
-    Items are aggregated to order grain before the left join, so the join
-    is one-to-one and orders keep their own partitioning.
+    Starts from the order summary (items already summed per order), left
+    joined to orders and grouped by the order columns as the SQL view is, so
+    a duplicated order row adds up the same way. The join output is already
+    partitioned by ``order_id``, so the grouping needs no further shuffle.
     """
-    ofn = (m.order_items.groupBy("order_id")
-           .agg(F.count("order_item_id").alias("item_count"), F.sum("price").alias("product_value"),
-                F.sum("freight_value").alias("freight_value"), F.sum(item_value()).alias("total_order_value")))
+    ofn = m.order_summary.select("order_id", "item_id_count", "product_value", "freight_value", "total_order_value")
     o = m.orders.select("order_id", "customer_id", "order_status", _TS)
-    # Orders are unique per order_id (primary key), so the grouped form equals the joined form.
     return (o.join(ofn, "order_id", "left")
-            .select("order_id", "customer_id", "order_status", _TS,
-                    F.coalesce("item_count", F.lit(0)).cast("long").alias("item_count"),
-                    "product_value", "freight_value", "total_order_value"))
+            .groupBy("order_id", "customer_id", "order_status", _TS)
+            .agg(F.coalesce(F.sum("item_id_count"), F.lit(0)).cast("long").alias("item_count"),
+                 F.sum("product_value").alias("product_value"), F.sum("freight_value").alias("freight_value"),
+                 F.sum("total_order_value").alias("total_order_value")))
 
 
 def customer_summary(m: Mart) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlens.functions import item_value, month_num, pct, round2, year_of
+from marketlens.functions import month_num, pct, round2, year_of
 from marketlens.functions.money import ratio_round
 from marketlens.operators.grain import delivered_items
 from marketlens.operators.ranking import global_ntile, with_total
@@ -77,8 +77,8 @@ SELECT order_id, {MONEY('order_value')} AS order_value, CAST(value_quartile AS B
 FROM order_quartiles ORDER BY order_value DESC, order_id""")
 def value_quartiles(m: Mart) -> DataFrame:
     """Delivered orders split into value quartiles (distributed NTILE, ties by order_id)."""
-    ofn = (delivered_items(m.order_items.select("order_id", "price", "freight_value"), m.orders)
-           .groupBy("order_id").agg(F.sum(item_value()).alias("order_value")))
+    ofn = (delivered_items(m.order_summary.select("order_id", "total_order_value"), m.orders)
+           .groupBy("order_id").agg(F.sum("total_order_value").alias("order_value")))
     q = global_ntile(ofn, 4, [F.col("order_value").asc_nulls_last(), F.col("order_id").asc()], "value_quartile")
     seg = None
     for k, name in QUARTILE_NAMES.items():

@@ -15,7 +15,9 @@ from tools.oracle_check import compare, duck
 KEYS = ["q2_1_dup_customers", "q2_2_dup_orders", "q2_3_dup_order_items", "q2_4_dup_payments",
         "q2_5_orders_without_customer", "q2_6_items_without_order", "q2_7_items_without_product",
         "q2_8_items_without_seller", "q2_9_negative_money", "q2_11_null_timestamps", "dq_rule_report",
-        "q1_1_table_counts", "q1_5_entity_counts", "q10_6_reconcile_totals", "q15_2_customer_summary_view"]
+        "q1_1_table_counts", "q1_5_entity_counts", "q10_6_reconcile_totals", "q15_2_customer_summary_view",
+        "q4_6_total_order_value", "q5_3_monthly_revenue", "q5_4_monthly_aov", "q13_3_aov_by_state",
+        "q14_3_value_quartiles", "q15_1_order_summary_view", "q6_7_customer_ltv", "q16_kpi_summary"]
 
 
 @pytest.fixture(scope="module")
