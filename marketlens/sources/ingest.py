@@ -170,15 +170,21 @@ def validate_row_counts(spark: SparkSession, result: IngestResult) -> DataFrame:
 
 
 def run_ingest(spark: SparkSession, source_dir: str, target_dir: str, mode: str = "overwrite",
-               plan: Sequence[LoadSpec] = LOAD_PLAN, count_coercions: bool = True) -> IngestResult:
-    """Load every CSV of ``plan`` from ``source_dir`` into parquet tables under ``target_dir``."""
+               plan: Sequence[LoadSpec] = LOAD_PLAN, count_coercions: bool = True,
+               file_names: dict[str, str] | None = None) -> IngestResult:
+    """Load every CSV of ``plan`` from ``source_dir`` into parquet tables under ``target_dir``.
+
+    ``file_names`` maps table names to export file names that differ from
+    ``<table>.csv``.
+    """
     src = source_dir.rstrip("/")
     dst = target_dir.rstrip("/")
-    preflight_sources(spark, [f"{src}/{s.file}" for s in plan])
+    names = {s.table: (file_names or {}).get(s.table, s.file) for s in plan}
+    preflight_sources(spark, [f"{src}/{names[s.table]}" for s in plan])
     result = IngestResult()
     order = {t: i for i, t in enumerate(TABLE_ORDER)}
     for spec in sorted(plan, key=lambda s: order[s.table]):
-        raw = read_source_csv(spark, f"{src}/{spec.file}")
+        raw = read_source_csv(spark, f"{src}/{names[spec.table]}")
         typed = prepare(raw, spec)
         if count_coercions:
             prepped = normalize_nulls(rename_columns(raw, spec.renames))

@@ -10,28 +10,28 @@ from marketlens.sources.schemas import LOAD_PLAN, LOAD_PLAN_BY_TABLE
 CSV = {
     "product_category_name_translation.csv":
         "product_category_name,product_category_name_english\nbeleza,health_beauty\n",
-    "olist_customers_dataset.csv":
+    "customers.csv":
         "customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state\n"
         "c1,u1,01001,sao paulo,SP\nc2,u1,NA,rio,RJ\n",
-    "olist_sellers_dataset.csv": "seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,2000,campinas,SP\n",
-    "olist_products_dataset.csv":
+    "sellers.csv": "seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,2000,campinas,SP\n",
+    "products.csv":
         "product_id,product_category_name,product_name_lenght,product_description_lenght,product_photos_qty,"
         "product_weight_g,product_length_cm,product_height_cm,product_width_cm,extra\n"
         "p1,beleza,40,287,1,225,16,10,14,x\np2,brinquedos,44.0,,2,1000,30,18,20,y\n",
-    "olist_orders_dataset.csv":
+    "orders.csv":
         "order_id,customer_id,order_status,order_purchase_timestamp,order_approved_at,order_delivered_carrier_date,"
         "order_delivered_customer_date,order_estimated_delivery_date\n"
         "o1,c1,delivered,2017-10-02 10:56:33,2017-10-02 11:07:15,not a date,2017-10-10 21:25:13,2017-10-18 00:00:00\n",
-    "olist_order_items_dataset.csv":
+    "order_items.csv":
         "order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value\n"
         "o1,1,p1,s1,2017-10-06 11:07:15,29.99,8.72\n",
-    "olist_order_payments_dataset.csv":
+    "order_payments.csv":
         "order_id,payment_sequential,payment_type,payment_installments,payment_value\no1,1,credit_card,1,38.71\n",
-    "olist_order_reviews_dataset.csv":
+    "order_reviews.csv":
         "review_id,order_id,review_score,review_comment_title,review_comment_message,review_creation_date,"
         "review_answer_timestamp\n"
         'r1,o1,4,,"line one\nline ""two""",2017-10-11 00:00:00,2017-10-12 03:43:48\n',
-    "olist_geolocation_dataset.csv":
+    "geolocation.csv":
         "geolocation_zip_code_prefix,geolocation_lat,geolocation_lng,geolocation_city,geolocation_state\n"
         "1037,-23.54562128115268,-46.63929204800168,sao paulo,SP\n",
 }
@@ -46,8 +46,10 @@ def _write(folder, files):
 def test_full_ingest(spark, tmpdir_path):
     src = os.path.join(tmpdir_path, "src")
     os.makedirs(src)
-    _write(src, CSV)
-    res = run_ingest(spark, src, os.path.join(tmpdir_path, "mart"))
+    files = dict(CSV)
+    files["customer_export.csv"] = files.pop("customers.csv")  # an export with its own file name
+    _write(src, files)
+    res = run_ingest(spark, src, os.path.join(tmpdir_path, "mart"), file_names={"customers": "customer_export.csv"})
     assert res.written == res.stored
     assert res.categories_added == 1
     assert res.coerced["orders"] == {"order_delivered_carrier_date": 1}
