@@ -32,8 +32,9 @@ DEFAULT_CONF = {
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
 }
-# Static settings that can only be given before the session starts.
-STATIC_DEFAULTS = {"spark.ui.enabled": "false"}
+# Static settings that can only be given before the session starts: no web UI,
+# and checkpoint files are removed once the DataFrames using them are gone.
+STATIC_DEFAULTS = {"spark.ui.enabled": "false", "spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
 
 
 def build_session(master: str | None = None, app_name: str = "marketlens",
