@@ -55,6 +55,8 @@ class Rule:
     # used to state the rule job as SQL.
     sql: str | None = None
     keys: tuple = ()
+    # Optional one-pass counter returning a one-row DataFrame ``violations``.
+    count: Callable[[dict[str, DataFrame]], DataFrame] | None = None
 
 
 def _row_rule(name: str, table: str, kind: str, violation: Callable[[], Column], sql: str) -> Rule:
@@ -75,7 +77,15 @@ def _pk(table: str, keys: Sequence[str]) -> Rule:
         null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
         dup = duplicates(df.where(~null_key), keys).drop("duplicate_count")
         return df.where(null_key).select(*keys).unionByName(dup)
-    return Rule(name, table, "PRIMARY KEY", viol, keys=tuple(keys))
+
+    def count(t: dict[str, DataFrame]) -> DataFrame:
+        # One grouping pass: a group with a NULL key part counts each of its
+        # rows, any other group counts once if its key repeats.
+        g = t[table].groupBy(*keys).agg(F.count(F.lit(1)).alias("__c"))
+        null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        per_group = F.when(null_key, F.col("__c")).when(F.col("__c") > 1, F.lit(1)).otherwise(F.lit(0))
+        return g.agg(F.coalesce(F.sum(per_group), F.lit(0)).cast("long").alias("violations"))
+    return Rule(name, table, "PRIMARY KEY", viol, keys=tuple(keys), count=count)
 
 
 def _fk(name: str, child: str, ck: str, parent: str, pk: str) -> Rule:
@@ -157,9 +167,10 @@ def check_rules(tables: dict[str, DataFrame], rules: Sequence[Rule] = RULES) ->
         if r.row_violation is not None:
             by_table.setdefault(r.table, []).append(r)
         else:
-            parts.append(r.violations(tables).agg(F.count(F.lit(1)).alias("violations"))
-                         .select(F.lit(r.name).alias("rule"), F.lit(r.table).alias("table_name"),
-                                 F.lit(r.kind).alias("rule_type"), "violations"))
+            counted = (r.count(tables) if r.count else
+                       r.violations(tables).agg(F.count(F.lit(1)).alias("violations")))
+            parts.append(counted.select(F.lit(r.name).alias("rule"), F.lit(r.table).alias("table_name"),
+                                        F.lit(r.kind).alias("rule_type"), "violations"))
     for table, table_rules in by_table.items():
         counts = tables[table].agg(*[F.count_if(r.row_violation()).alias(f"r{i}")
                                      for i, r in enumerate(table_rules)])
