@@ -1,10 +1,10 @@
 """Grain discipline: order-level pre-aggregation and the common star joins.
 
 Items and payments are both children of an order; joining them directly
-multiplies rows. Every report that needs order value aggregates items to
-order grain first (``order_financials``): the partial aggregate runs before
-the shuffle, so the exchange carries one row per order and partition, not one
-row per item.
+multiplies rows. Every report that needs order value starts from the items
+aggregated to order grain (``order_summary``, published once with the mart):
+the partial aggregate runs before the shuffle, so the exchange carries one
+row per order and partition, not one row per item.
 """
 
 from __future__ import annotations
@@ -34,32 +34,6 @@ def order_summary(items: DataFrame) -> DataFrame:
         F.sum(item_value()).alias("total_order_value"))
 
 
-def order_financials(items: DataFrame, with_parts: bool = True) -> DataFrame:
-    """order_id -> item_count, product_value, freight_value, total_order_value (exact)."""
-    aggs = [F.count(F.lit(1)).alias("item_count")]
-    if with_parts:
-        aggs += [F.sum("price").alias("product_value"), F.sum("freight_value").alias("freight_value")]
-    aggs.append(F.sum(item_value()).alias("total_order_value"))
-    return items.groupBy("order_id").agg(*aggs)
-
-
-def order_sums(items: DataFrame) -> DataFrame:
-    """order_id -> __p (SUM price), __f (SUM freight), __n (COUNT order_item_id).
-
-    Coarser reports (per month, year, state) sum these per-order partials:
-    SUM over items equals SUM over orders of the per-order sums, exactly,
-    because money is DECIMAL. The items shuffle then carries one partial row
-    per order and partition instead of every item.
-    """
-    return items.groupBy("order_id").agg(F.sum("price").alias("__p"), F.sum("freight_value").alias("__f"),
-                                         F.count("order_item_id").alias("__n"))
-
-
-def order_value(items: DataFrame) -> DataFrame:
-    """order_id -> order_value = SUM(price + freight_value)."""
-    return items.groupBy("order_id").agg(F.sum(item_value()).alias("order_value"))
-
-
 def delivered_items(items: DataFrame, orders: DataFrame, *order_cols: str) -> DataFrame:
     """Items of delivered orders, with the requested order columns attached."""
     o = delivered(orders).select("order_id", *order_cols)
