@@ -174,11 +174,10 @@ def check_rules(tables: dict[str, DataFrame], rules: Sequence[Rule] = RULES) ->
     for table, table_rules in by_table.items():
         counts = tables[table].agg(*[F.count_if(r.row_violation()).alias(f"r{i}")
                                      for i, r in enumerate(table_rules)])
-        stacked = F.explode(F.array(*[
-            F.struct(F.lit(r.name).alias("rule"), F.lit(r.table).alias("table_name"),
-                     F.lit(r.kind).alias("rule_type"), F.col(f"r{i}").alias("violations"))
-            for i, r in enumerate(table_rules)]))
-        parts.append(counts.select(stacked.alias("s")).select("s.*"))
+        # Unpivot the one-row result with a single stack() expression.
+        cells = ", ".join(f"'{r.name}', '{r.table}', '{r.kind}', r{i}" for i, r in enumerate(table_rules))
+        parts.append(counts.selectExpr(
+            f"stack({len(table_rules)}, {cells}) AS (rule, table_name, rule_type, violations)"))
     return reduce(DataFrame.unionByName, parts)
 
 

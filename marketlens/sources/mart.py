@@ -299,7 +299,6 @@ class Mart:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{base}'")
         for name in TABLE_ORDER:
             df = self.table(name)
-            writer = None
             if name in keyed:
                 key = keyed[name]
                 writer = (df.repartition(buckets, F.col(key)).write
