@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlens.sources.schemas import LOAD_PLAN, LOAD_PLAN_BY_TABLE, LoadSpec, SCHEMAS, TABLE_ORDER
+from marketlens.sources.schemas import LOAD_PLAN, LOAD_PLAN_BY_TABLE, LoadSpec, TABLE_ORDER
 
 # pandas' default missing-value tokens (read_csv without na_values).
 NA_TOKENS = (
@@ -215,5 +215,5 @@ def load_plan_for(tables: Iterable[str]) -> list[LoadSpec]:
 __all__ = [
     "NA_TOKENS", "IngestError", "IngestResult", "backfill_categories", "coercion_counts", "load_plan_for",
     "normalize_nulls", "prepare", "preflight_sources", "project_expected", "read_source_csv", "rename_columns",
-    "require_columns", "run_ingest", "tables_missing", "validate_row_counts", "write_table", "SCHEMAS",
+    "require_columns", "run_ingest", "tables_missing", "validate_row_counts", "write_table",
 ]
