@@ -57,3 +57,14 @@ def test_bucketed_layout_removes_order_shuffles(spark, tmpdir_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
     assert mart.order_items.count() == Mart.from_testdata(spark, SF_SMALL).order_items.count()
+
+
+def test_range_publish_gives_disjoint_sorted_files(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+    mart = Mart.from_testdata(spark, SF_SMALL).write(tmpdir_path + "/ranged", files=4)
+    items = mart.order_items.withColumn("f", F.input_file_name())
+    ranges = sorted((r["lo"], r["hi"]) for r in
+                    items.groupBy("f").agg(F.min("order_id").alias("lo"), F.max("order_id").alias("hi")).collect())
+    assert len(ranges) == 4
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))   # disjoint key ranges
+    assert mart.order_summary.count() == mart.order_items.select("order_id").distinct().count()
