@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from marketlens.functions.money import _c, _fix
+from marketlens.functions.money import _c
 
 SECONDS = {"hour": 3600, "day": 86400}
 
@@ -55,9 +55,10 @@ def elapsed_micros(start, end) -> Column:
 def avg_elapsed(start, end, unit: str = "day") -> Column:
     """``ROUND(AVG(EXTRACT(EPOCH FROM end - start) / unit_seconds), 2)`` as an aggregate.
 
-    Sums whole microseconds in DECIMAL(38,0) (no overflow at any scale, no
-    order-dependent float error), then divides once.
+    Sums whole microseconds in DECIMAL (no overflow at any scale, no
+    order-dependent float error) and divides once, exactly, by count x unit.
     """
     us = elapsed_micros(start, end)
-    mean_us = F.sum(us.cast("decimal(38,0)")).cast("double") / F.nullif(F.count(us), F.lit(0))
-    return _fix(mean_us / F.lit(float(SECONDS[unit] * 1_000_000)))
+    total = F.sum(us.cast("decimal(27,0)"))
+    per_unit = F.count(us).cast("decimal(20,0)") * F.lit(SECONDS[unit] * 1_000_000).cast("decimal(12,0)")
+    return F.round(total / F.nullif(per_unit.cast("decimal(23,0)"), F.lit(0).cast("decimal(23,0)")), 2)

@@ -56,14 +56,23 @@ def oracle_sql(key: str) -> str | None:
     return with_mart(sql) if sql else None
 
 
-# -- SQL snippets shared by the oracle texts (same rounding recipe as Spark) --
+# -- SQL snippets shared by the oracle texts ---------------------------------------
+# DuckDB divides decimals in double precision, so the oracle rounds exactly
+# with 128-bit integers: with a = num and d = den in hundredths,
+# ROUND(factor * num / den, 2) * 100 = sign * (2 * 100 * factor * |a| + |d|) // (2 * |d|).
+def EXACT(num: str, den: str, factor: int = 1) -> str:
+    a = f"CAST(CAST({num} AS DECIMAL(38,2)) * 100 AS HUGEINT)"
+    d = f"CAST(CAST({den} AS DECIMAL(38,2)) * 100 AS HUGEINT)"
+    q = f"(2 * {100 * factor} * abs({a}) + abs({d})) // (2 * abs({d}))"
+    return f"(CASE WHEN {d} = 0 THEN NULL ELSE CAST(sign({a}) * sign({d}) * {q} AS DOUBLE) / 100 END)"
+
+
 def PCT(num: str, den: str) -> str:
-    return (f"CAST(ROUND(CAST(100.0 * CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0)"
-            f" AS DECIMAL(20,6)), 2) AS DOUBLE)")
+    return EXACT(num, den, 100)
 
 
 def AVG2(x: str) -> str:
-    return f"CAST(ROUND(CAST(CAST(SUM({x}) AS DOUBLE) / NULLIF(COUNT({x}), 0) AS DECIMAL(20,6)), 2) AS DOUBLE)"
+    return EXACT(f"SUM({x})", f"COUNT({x})")
 
 
 def MONEY(x: str) -> str:
@@ -71,10 +80,9 @@ def MONEY(x: str) -> str:
 
 
 def ELAPSED(start: str, end: str, unit: str = "day") -> str:
-    secs = {"hour": 3600, "day": 86400}[unit] * 1_000_000
+    per_unit = {"hour": 3600, "day": 86400}[unit] * 1_000_000
     us = f"(epoch_us({end}) - epoch_us({start}))"
-    return (f"CAST(ROUND(CAST(CAST(SUM({us}) AS DOUBLE) / NULLIF(COUNT({us}), 0) / CAST({secs} AS DOUBLE)"
-            f" AS DECIMAL(20,6)), 2) AS DOUBLE)")
+    return EXACT(f"SUM({us})", f"COUNT({us}) * {per_unit}")
 
 
 LABEL = "COALESCE(pct.product_category_name_english, p.product_category_name, 'Unknown')"
