@@ -32,7 +32,9 @@ def describe(spark: SparkSession) -> DataFrame:
         rows, "table_name string, column_name string, data_type string, nullable boolean, comment string")
 
 
-def drop_tables(spark: SparkSession, names: Sequence[str] = tuple(reversed(TABLE_ORDER))) -> None:
+def drop_tables(spark: SparkSession, names: Sequence[str] = tuple(reversed(TABLE_ORDER)),
+                database: str | None = None) -> None:
     """Drop tables if present, children before parents."""
+    prefix = f"`{database}`." if database else ""
     for name in names:
-        spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+        spark.sql(f"DROP TABLE IF EXISTS {prefix}`{name}`")
