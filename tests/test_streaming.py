@@ -24,3 +24,11 @@ def test_incremental_ingest_resumes(spark, tmpdir_path):
     orders = Mart.from_tables(spark, dst).orders
     assert orders.count() == 5 and "batch_id" not in orders.columns
     assert orders.where("order_approved_at IS NULL").count() == 5
+
+
+def test_cli_ingest_stream(spark, tmpdir_path):
+    from marketlens.__main__ import main
+    src, dst, ck = (os.path.join(tmpdir_path, x) for x in ("src", "dst", "ck"))
+    _drop(os.path.join(src, "orders"), "a.csv", ["o1,c1,delivered,2017-10-02 10:56:33,,,,2017-10-18 00:00:00\n"])
+    assert main(["ingest-stream", src, dst, ck, "--tables", "orders"]) == 0
+    assert Mart.from_tables(spark, dst).orders.count() == 1
