@@ -52,3 +52,22 @@ def test_group_row_number_hot_group(spark):
     ours = group_row_number(df, ["g"], ["id"], "rn").select("g", "id", "rn")
     ref = df.select("g", "id", F.row_number().over(Window.partitionBy("g").orderBy("id")).alias("rn"))
     assert sorted(ours.collect()) == sorted(ref.collect())
+
+
+def _python_ntile(n, k):
+    sizes = [n // k + (1 if j < n % k else 0) for j in range(k)]
+    out = []
+    for j, size in enumerate(sizes):
+        out += [j + 1] * size
+    return out
+
+
+def test_ntile_formula_exhaustive(spark):
+    from marketlens.operators.ranking import ntile_of
+    rows = [(n, i) for n in range(1, 61) for i in range(n)]
+    df = spark.createDataFrame(rows, "n long, i long")
+    ks = range(1, 8)
+    got = df.select("n", "i", *[ntile_of(F.col("i"), F.col("n"), k).alias(f"k{k}") for k in ks]).collect()
+    for r in got:
+        for k in ks:
+            assert r[f"k{k}"] == _python_ntile(r.n, k)[r.i], (r.n, r.i, k)
