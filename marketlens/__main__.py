@@ -69,6 +69,7 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--show", type=int, default=20)
         if name == "report":
             p.add_argument("keys", nargs="+", help="report keys or patterns (e.g. 'q8_*', 'all')")
+            p.add_argument("--explain", action="store_true", help="print the formatted physical plan instead")
         if name == "sql":
             p.add_argument("statement")
 
@@ -112,6 +113,9 @@ def main(argv: list[str] | None = None) -> int:
             out = f"{args.out.rstrip('/')}/{key}" if args.out else None
             if not out:
                 print(f"== {key}")
+            if args.explain:
+                run_report(key, mart).explain("formatted")
+                continue
             _emit(run_report(key, mart), out, args.format, args.show)
         return 0
     if args.cmd == "check":

@@ -16,3 +16,4 @@ def test_publish_report_check_sql(spark, tmpdir_path):
     assert main(["sql", "--mart", mart, "--out", os.path.join(out, "sql"), sql]) == 0
     assert spark.read.parquet(os.path.join(out, "sql")).first().n > 0
     assert main(["report", "--mart", mart, "no_such_key"]) == 2
+    assert main(["report", "--mart", mart, "--explain", "q4_7_order_financials"]) == 0
