@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import lang_id, packing, piece_codec, quality_rules, secret_scan, token_counts
+from marketlens.llm import jaccard_join, lang_id, ngram_lm, packing, pii, piece_codec, quality_rules, rp_forest, secret_scan, token_counts
 from marketlens.llm.common import id_crc, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,14 +17,28 @@ def op1_pack_min_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op2_neighbours_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rp_forest.nearest(table(spark, sf_dir, "embeddings"), F.pmod(F.col("vec_id"), F.lit(50)) == 0)
+
+
 def op3_secrets_by_token_efficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op4_score_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.pmod(id_crc("doc_id"), F.lit(7)) == 2
+    return ngram_lm.score(docs, ~held_out).withColumn("held_out", held_out)
+
+
 def op5_count_tokens_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op6_pii_bilstm_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
 def op7_sentencepiece_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.encode_digests(table(spark, sf_dir, "documents"))
 
@@ -40,8 +54,12 @@ def op9_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (F.pmod(id_crc("doc_id"), F.lit(3)) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op10_jaccard_divide_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicate_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_pack_min_slack, op3_secrets_by_token_efficiency, op5_count_tokens_transducer, op7_sentencepiece_digests,
-    op8_weak_supervision_quality, op9_rank_order_language)}
+    op1_pack_min_slack, op2_neighbours_rp_forest, op3_secrets_by_token_efficiency, op4_score_ngram_trie,
+    op5_count_tokens_transducer, op6_pii_bilstm_crf, op7_sentencepiece_digests, op8_weak_supervision_quality, op9_rank_order_language, op10_jaccard_divide_skip)}
 #: Queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {}
