@@ -356,7 +356,8 @@ class JaccardJoin:
         chunks = pairs.groupBy("query").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
         spread = pairs.join(chunks, "query").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
         members = spread.join(sets, "node").select("query", "chunk", "node", "shingles")
-        queries = chunks.join(sets.withColumnRenamed("node", "query"), "query").select("query", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.col("shingles").alias("own"))
+        asked = chunks.select(F.col("query").alias("asker"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("part"))
+        queries = asked.join(sets.select(F.col("node").alias("asker"), F.col("shingles").alias("own")), "asker")
 
         def search(key: tuple, found: pd.DataFrame, query: pd.DataFrame) -> pd.DataFrame:
             if not len(found) or not len(query):
@@ -372,7 +373,7 @@ class JaccardJoin:
                 out += [int(nodes[j]) for j, n in hits.items() if similar(n, len(own), len(sets[j]))]
             return pd.DataFrame({"a": np.full(len(out), key[0], dtype=np.int64), "b": np.array(out, dtype=np.int64)})
 
-        links = members.groupBy("query", "chunk").cogroup(queries.groupBy("query", "chunk")).applyInPandas(search, "a long, b long")
+        links = members.groupBy("query", "chunk").cogroup(queries.groupBy("asker", "part")).applyInPandas(search, "a long, b long")
         return self.scratch.put(links, name)
 
     # step 5 -------------------------------------------------------------------------------------------
