@@ -31,6 +31,8 @@ from marketlens.llm.common import texts_in_steps
 
 PROFILE_SIZE = 300
 UNKNOWN = "und"
+#: Texts below this score resemble no learned language; ordinary prose scores 0.4 and more.
+MIN_SCORE = 0.2
 #: The edge of a word, and what fills up n-grams of fewer than three letters.
 EDGE, FILL, BASE = 0, 0x110000, 0x110001
 
@@ -167,3 +169,15 @@ def identify(docs: DataFrame, train: Column, label_col: str = "lang") -> DataFra
     """doc_id, lang_pred, score of every row; learned from the rows where ``train`` holds."""
     profiles = learn(docs.where(train), label_col)
     return predicted(docs.select("doc_id", F.col("text").cast("string").alias("text")), profiles).drop("text")
+
+
+def keep_recognised(docs: DataFrame, label_col: str = "lang", min_score: float = MIN_SCORE) -> DataFrame:
+    """The rows of ``docs`` whose text resembles a learned language, with their own columns only.
+
+    Learns from all rows with a label; where there is none, every text with a letter stays.
+    """
+    profiles = learn(docs, label_col)
+    if not profiles:
+        return docs.where(F.col("text").rlike("\\p{L}"))
+    judged = predicted(docs, profiles, prefix="_llm_l_")
+    return judged.where((F.col("_llm_l_lang_pred") != UNKNOWN) & (F.col("_llm_l_score") >= min_score)).select(*[F.col(f"`{c}`") for c in docs.columns])

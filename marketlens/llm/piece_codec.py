@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from marketlens.llm.common import Memo, texts_in_steps
 
@@ -186,7 +187,7 @@ def encode_ids(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id and the ids of every row as an array."""
     path = path or vocabulary()
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    schema = rows.select("doc_id").schema.add("ids", "array<int>")
+    schema = rows.select("doc_id").schema.add("ids", ArrayType(IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
