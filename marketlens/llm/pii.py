@@ -160,9 +160,9 @@ class Tagger:
         h = np.concatenate([self._run(x, "f")[0], self._run(x, "b")[0]], axis=2)
         return (h @ self.p["out"] + self.p["bias"]).transpose(1, 0, 2)
 
-    def train(self, ids: np.ndarray, tags: np.ndarray, rounds: int = 8, rate: float = 0.02, batch: int = 48, seed: int = 5) -> None:
+    def train(self, ids: np.ndarray, tags: np.ndarray, steps: int = 250, rate: float = 0.02, batch: int = 48, seed: int = 5) -> None:
         rng, moment, square, step = np.random.default_rng(seed), {}, {}, 0
-        for _ in range(rounds):
+        while step < steps:
             order = rng.permutation(len(ids))
             for at in range(0, len(order), batch):
                 grad = self._gradient(ids[order[at:at + batch]], tags[order[at:at + batch]])
