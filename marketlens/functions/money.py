@@ -56,7 +56,3 @@ def ratio_round(num, den) -> Column:
     """``ROUND(num / NULLIF(den, 0), 2)`` for already aggregated columns."""
     return exact_ratio(num, den)
 
-
-def money_out(x) -> Column:
-    """Rounded money for output: decimal rounded to cents, delivered as double."""
-    return F.round(_c(x), 2).cast("double")

@@ -55,10 +55,15 @@ def elapsed_micros(start, end) -> Column:
 def avg_elapsed(start, end, unit: str = "day") -> Column:
     """``ROUND(AVG(EXTRACT(EPOCH FROM end - start) / unit_seconds), 2)`` as an aggregate.
 
-    Sums whole microseconds in DECIMAL (no overflow at any scale, no
-    order-dependent float error) and divides once, exactly, by count x unit.
+    Sums whole microseconds, then rounds total / (count x unit) half away from
+    zero with integer arithmetic, so nothing is rounded twice: with
+    n = 100 x |total| and d = count x unit, the hundredths are (2n + d) div 2d.
+    Sums up to 10^33 microseconds (10^19 years) fit.
     """
     us = elapsed_micros(start, end)
-    total = F.sum(us.cast("decimal(27,0)"))
-    per_unit = F.count(us).cast("decimal(20,0)") * F.lit(SECONDS[unit] * 1_000_000).cast("decimal(12,0)")
-    return F.round(total / F.nullif(per_unit.cast("decimal(23,0)"), F.lit(0).cast("decimal(23,0)")), 2)
+    total = F.sum(us.cast("decimal(25,0)")).cast("decimal(33,0)")
+    unit_us = F.lit(SECONDS[unit] * 1_000_000).cast("decimal(12,0)")
+    d = (F.count(us).cast("decimal(14,0)") * unit_us).cast("decimal(27,0)")
+    doubled = (F.abs(total) * F.lit(200).cast("decimal(3,0)") + d).cast("decimal(38,0)")
+    hundredths = F.call_function("div", doubled, F.nullif(d * F.lit(2).cast("decimal(1,0)"), F.lit(0).cast("decimal(1,0)")))
+    return hundredths.cast("decimal(20,0)") * F.when(total < 0, F.lit(-1)).otherwise(F.lit(1)).cast("decimal(1,0)") * F.lit("0.01").cast("decimal(3,2)")

@@ -34,14 +34,19 @@ def _sort_cols(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """The rows written once to the reliable checkpoint folder, for relations that are read several times."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def positioned(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     """Globally sorted rows with partition id and position inside it, checkpointed."""
-    ensure_checkpoint_dir(df.sparkSession)
     ranked = (df.orderBy(*_sort_cols(order))
                 .withColumn(_PID, F.spark_partition_id())
                 .withColumn(_LPOS, F.monotonically_increasing_id()))
     ranked = ranked.withColumn(_LPOS, F.col(_LPOS) - F.shiftleft(F.col(_PID).cast("long"), 33))
-    return ranked.checkpoint(eager=True)
+    return kept(ranked)
 
 
 def _offsets(pos: DataFrame) -> DataFrame:
@@ -87,6 +92,59 @@ def global_ntile(df: DataFrame, k: int, order: Sequence[Column | str], out: str)
     return idx.withColumn(out, ntile_of(F.col("__idx"), F.col("__total"), k)).drop("__idx", "__total")
 
 
+def ntile_cuts(df: DataFrame, k: int, value: str, tiebreak: str) -> list[tuple]:
+    """The first (value, tiebreak) of buckets 2..k of ``NTILE(k) OVER (ORDER BY value NULLS LAST, tiebreak)``.
+
+    Reads only the two columns: one shuffle splits the key into ranges and
+    counts them (one row a range comes to the driver), which tells in which
+    range each bucket starts; those few ranges are then ordered on their own.
+    ``df`` is read three times, so it should be stored. (value, tiebreak) must be unique.
+    """
+    key = F.struct(F.col(value).isNull().alias("n"), F.col(value).alias("v"), F.col(tiebreak).alias("t"))
+    keys = df.select(key.alias("key"))
+    ranges = (keys.repartitionByRange("key").groupBy(F.spark_partition_id().alias("r"))
+              .agg(F.count(F.lit(1)).alias("c"), F.min("key").alias("lo"), F.max("key").alias("hi")).orderBy("lo").collect())
+    total = sum(r["c"] for r in ranges)
+    starts = [sum(total // k + (b < total % k) for b in range(j)) for j in range(1, k)]
+    kind = {f.name: f.dataType for f in keys.schema["key"].dataType.fields}
+
+    def literal(row) -> Column:
+        return F.struct(*[F.lit(row[c]).cast(kind[c]).alias(c) for c in "nvt"])
+
+    wanted, seen = [], 0
+    for r in ranges:
+        wanted += [(j, r, start - seen) for j, start in enumerate(starts) if seen <= start < seen + r["c"]]
+        seen += r["c"]
+    if not wanted:
+        return []
+    # a range holds about total / partitions rows, and each one wanted is ordered by a task of its own
+    parts = {(r["lo"], r["hi"]): i for i, (_, r, _) in enumerate(wanted)}
+    which = None
+    for (lo, hi), i in parts.items():
+        inside = (F.col("key") >= literal(lo)) & (F.col("key") <= literal(hi))
+        which = F.when(inside, i) if which is None else which.when(inside, i)
+    numbered = (keys.withColumn("part", which).where("part IS NOT NULL")
+                .withColumn("at", F.row_number().over(Window.partitionBy("part").orderBy("key")) - 1))
+    need = {(parts[r["lo"], r["hi"]], at): j for j, r, at in wanted}
+    hit = None
+    for part, at in need:
+        cond = (F.col("part") == part) & (F.col("at") == at)
+        hit = cond if hit is None else hit | cond
+    found = {need[r["part"], r["at"]]: (r["key"]["v"], r["key"]["t"]) for r in numbered.where(hit).collect()}  # k - 1 rows at most
+    return [found[j] for j in sorted(found)]
+
+
+def ntile_from_cuts(df: DataFrame, cuts: Sequence[tuple], value: str, tiebreak: str) -> Column:
+    """The bucket of each row, given the cuts: one comparison a bucket, no shuffle."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    key = F.struct(F.col(value).isNull().alias("n"), F.col(value).alias("v"), F.col(tiebreak).alias("t"))
+    out = F.lit(1).cast("long")
+    for v, t in cuts:
+        cut = F.struct(F.lit(v is None).alias("n"), F.lit(v).cast(types[value]).alias("v"), F.lit(t).cast(types[tiebreak]).alias("t"))
+        out = out + F.when(key >= cut, 1).otherwise(0)
+    return out.cast("long")
+
+
 def global_dense_rank(df: DataFrame, value: str, out: str, descending: bool = True) -> DataFrame:
     """``DENSE_RANK() OVER (ORDER BY value [DESC])``: rank the distinct values, join back.
 

@@ -60,15 +60,15 @@ LEFT JOIN order_items AS oi ON o.order_id = oi.order_id""")
 def entity_counts(m: Mart) -> DataFrame:
     """Distinct persons, orders, products sold and active sellers (orders with a customer).
 
-    The left join to items never removes an order, so the four distinct counts
-    split into two small plans: persons/orders over orders-with-customer, and
-    products/sellers over the items of those orders (semi join). No row of
-    the order/item fan-out is ever materialised.
+    The order-customer join is built once and every table is read once; one
+    distinct over (kind, id) pairs, combined within each task before the
+    shuffle, serves all four counts.
     """
-    oc = customer_orders(m.customers, m.orders)
-    head = oc.agg(F.count_distinct("customer_unique_id").alias("unique_customers"),
-                  F.count_distinct("order_id").alias("total_orders"))
-    items = m.order_items.join(oc.select("order_id"), "order_id", "left_semi")
-    tail = items.agg(F.count_distinct("product_id").alias("products_sold"),
-                     F.count_distinct("seller_id").alias("active_sellers"))
-    return head.crossJoin(tail)
+    oc = customer_orders(m.customers, m.orders).select("order_id", "customer_unique_id")
+    items = m.order_items.select("order_id", "product_id", "seller_id").distinct()
+    pairs = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(c).cast("string").alias("id"))
+                      for kind, c in (("c", "customer_unique_id"), ("o", "order_id"), ("p", "product_id"), ("s", "seller_id"))])
+    ids = oc.join(items, "order_id", "left").select(F.explode(pairs).alias("x")).select("x.kind", "x.id").where("id IS NOT NULL").distinct()
+    count = lambda k: F.count_if(F.col("kind") == k)
+    return ids.agg(count("c").alias("unique_customers"), count("o").alias("total_orders"),
+                   count("p").alias("products_sold"), count("s").alias("active_sellers"))

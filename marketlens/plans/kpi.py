@@ -7,10 +7,11 @@ order-grain aggregation it shares with the other reports.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions import avg_elapsed, avg_exact, pct, round2
+from marketlens.functions.money import ratio_round
 from marketlens.operators.grain import customer_orders, delivered
 from marketlens.plans.delivery import DLV, EST, PUR
 from marketlens.plans.registry import AVG2, ELAPSED, MONEY, PCT, report
@@ -43,6 +44,23 @@ def delivered_order_metrics(m: Mart) -> DataFrame:
     return customer_orders(m.customers, delivered(m.orders)).join(ofn, "order_id").select("order_id", _ID, "order_value")
 
 
+def person_metrics(m: Mart, known_only: bool = False) -> DataFrame:
+    """Per person: distinct orders (oc), order rows (n), value sum and count (v, vn), and orders first seen here (own).
+
+    Rows are grouped by (order, person) once. An order that two customer records
+    share counts for its first person only, so ``own`` adds up to the distinct orders.
+    """
+    dom = delivered_order_metrics(m)
+    if known_only:
+        dom = dom.where(F.col(_ID).isNotNull())
+    per_order = dom.groupBy("order_id", _ID).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("order_value").alias("v"), F.count("order_value").alias("vn"))
+    first = F.row_number().over(Window.partitionBy("order_id").orderBy(F.col(_ID).asc_nulls_last())) == 1
+    return (per_order.withColumn("own", first.cast("long")).groupBy(_ID)
+            .agg(F.count("order_id").alias("oc"), F.sum("n").alias("n"), F.sum("v").alias("v"),
+                 F.sum("vn").alias("vn"), F.sum("own").alias("own")))
+
+
 def review_kpis(m: Mart) -> DataFrame:
     return m.order_reviews.agg(avg_exact("review_score").alias("average_review_score"))
 
@@ -69,16 +87,11 @@ SELECT ok.delivered_orders, ok.delivered_customers, ok.total_revenue, ok.average
 FROM order_kpis AS ok CROSS JOIN customer_kpis AS ck CROSS JOIN review_kpis AS rk CROSS JOIN delivery_kpis AS dk""")
 def kpi_summary(m: Mart) -> DataFrame:
     """One-row executive summary: order, customer, review and delivery KPIs (repeat rate per person)."""
-    dom = delivered_order_metrics(m)
-    order_kpis = dom.agg(F.count_distinct("order_id").alias("delivered_orders"),
-                         F.count_distinct(_ID).alias("delivered_customers"),
-                         round2(F.sum("order_value")).alias("total_revenue"),
-                         avg_exact("order_value").alias("average_order_value"))
-    freq = dom.groupBy(_ID).agg(F.count_distinct("order_id").alias("order_count"))
-    customer_kpis = freq.agg(pct(F.count_if(F.col("order_count") > 1), F.count(F.lit(1)))
-                             .alias("repeat_customer_rate"))
-    return (order_kpis.crossJoin(F.broadcast(customer_kpis)).crossJoin(F.broadcast(review_kpis(m)))
-            .crossJoin(F.broadcast(delivery_kpis(m))))
+    order_kpis = person_metrics(m).agg(
+        F.coalesce(F.sum("own"), F.lit(0)).alias("delivered_orders"), F.count(_ID).alias("delivered_customers"),
+        round2(F.sum("v")).alias("total_revenue"), ratio_round(F.sum("v"), F.sum("vn")).alias("average_order_value"),
+        pct(F.count_if(F.col("oc") > 1), F.count(F.lit(1))).alias("repeat_customer_rate"))
+    return order_kpis.crossJoin(F.broadcast(review_kpis(m))).crossJoin(F.broadcast(delivery_kpis(m)))
 
 
 @report("q16_kpi_order_weighted", sql=f"""{_COMMON}
@@ -97,16 +110,9 @@ def kpi_order_weighted(m: Mart) -> DataFrame:
     persons (each order row of a repeat person counts), a different and
     legitimate figure from the canonical per-person rate.
     """
-    dom = delivered_order_metrics(m)
-    freq = dom.groupBy(_ID).agg(F.count_distinct("order_id").alias("order_count"))
-    rows = dom.join(freq, _ID)
-    scalars = review_kpis(m).crossJoin(delivery_kpis(m))
-    keys = ["average_review_score", "average_delivery_days", "on_time_delivery_rate"]
-    return (rows.crossJoin(F.broadcast(scalars)).groupBy(*keys)
-            .agg(F.count_distinct("order_id").alias("delivered_orders"),
-                 F.count_distinct(_ID).alias("delivered_customers"),
-                 round2(F.sum("order_value")).alias("total_revenue"),
-                 avg_exact("order_value").alias("average_order_value"),
-                 pct(F.count_if(F.col("order_count") > 1), F.count(F.lit(1))).alias("repeat_customer_rate"))
-            .select("delivered_orders", "delivered_customers", "total_revenue", "average_order_value",
-                    "repeat_customer_rate", *keys))
+    rows = person_metrics(m, known_only=True).agg(
+        F.sum("own").alias("delivered_orders"), F.count(_ID).alias("delivered_customers"),
+        round2(F.sum("v")).alias("total_revenue"), ratio_round(F.sum("v"), F.sum("vn")).alias("average_order_value"),
+        pct(F.sum(F.when(F.col("oc") > 1, F.col("n")).otherwise(0)), F.sum("n")).alias("repeat_customer_rate"))
+    return (rows.where(F.col("delivered_orders").isNotNull())
+            .crossJoin(F.broadcast(review_kpis(m))).crossJoin(F.broadcast(delivery_kpis(m))))

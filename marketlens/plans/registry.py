@@ -1,7 +1,7 @@
 """Registry of report queries: key -> (Spark plan over a Mart, oracle SQL).
 
 A report function takes a ``Mart`` and returns a DataFrame. ``run_report``
-applies the output typing (BIGINT / DOUBLE) once, at the boundary.
+applies the output typing once, at the boundary.
 The oracle SQL is written against the nine logical table names; ``oracle_sql``
 prefixes the test-mart CTEs so DuckDB can run it on the raw parquet views.
 """
@@ -38,15 +38,16 @@ def report(key: str, sql: str | None = None):
     return deco
 
 
-def run_report(key: str, mart: Mart) -> DataFrame:
-    return finalize(REPORTS[key].build(mart))
+def run_report(key: str, mart: Mart, doubles: bool = False) -> DataFrame:
+    """The report over a mart; money and ratios stay DECIMAL unless ``doubles``."""
+    return finalize(REPORTS[key].build(mart), doubles)
 
 
 def as_query(key: str) -> Callable[[SparkSession, str], DataFrame]:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         from marketlens.session import configure
         configure(spark)
-        return run_report(key, Mart.from_testdata(spark, sf_dir))
+        return run_report(key, Mart.from_testdata(spark, sf_dir), doubles=True)
     q.__name__ = key
     return q
 

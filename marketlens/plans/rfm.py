@@ -1,9 +1,9 @@
 """Section 7: recency-frequency-monetary segmentation.
 
 Recency is measured against the latest purchase date of all orders. The
-three NTILE(5) scores are global quintiles over all persons; they use the
-distributed ``global_ntile`` (range-partitioned sort) rather than a window
-without PARTITION BY, which would put every person into one task. Ties are
+three NTILE(5) scores are global quintiles over all persons; the keys where
+the quintiles start are found from range counts (``ntile_cuts``) rather than by
+a window without PARTITION BY, which would put every person into one task. Ties are
 broken by the person id so the quintiles are reproducible.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions import round2
 from marketlens.operators.grain import customer_orders, delivered
-from marketlens.operators.ranking import global_ntile
+from marketlens.operators.ranking import kept, ntile_cuts, ntile_from_cuts
 from marketlens.plans.registry import MONEY, report
 from marketlens.sources.mart import Mart
 
@@ -57,12 +57,10 @@ def segment(r, f, m):
 
 
 def rfm_scores(m: Mart) -> DataFrame:
-    v = rfm_values(m)
-    tb = F.col(_ID).asc()
-    v = global_ntile(v, 5, [F.col("recency_days").asc_nulls_last(), tb], "__r")
-    v = global_ntile(v, 5, [F.col("frequency").asc_nulls_last(), tb], "frequency_score")
-    v = global_ntile(v, 5, [F.col("monetary_value").asc_nulls_last(), tb], "monetary_score")
-    return v.withColumn("recency_score", (6 - F.col("__r")).cast("long")).drop("__r")
+    """The values stored once, three sets of cut keys from them, and all scores by comparison with the cuts."""
+    v = kept(rfm_values(m))
+    r, f, mo = (ntile_from_cuts(v, ntile_cuts(v, 5, c, _ID), c, _ID) for c in ("recency_days", "frequency", "monetary_value"))
+    return v.withColumns({"recency_score": (6 - r).cast("long"), "frequency_score": f, "monetary_score": mo})
 
 
 @report("q7_rfm", sql=f"""

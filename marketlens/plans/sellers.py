@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.functions import avg_exact, item_value, pct, round2
+from marketlens.functions import item_value, pct, round2
+from marketlens.functions.money import ratio_round
 from marketlens.operators.grain import delivered, delivered_items
-from marketlens.operators.ranking import global_dense_rank, with_total
+from marketlens.operators.ranking import global_dense_rank, kept, with_total
 from marketlens.plans.registry import AVG2, MONEY, PCT, report
 from marketlens.sources.mart import Mart
 
@@ -24,10 +25,14 @@ def sellers_by_state(m: Mart) -> DataFrame:
             .orderBy(F.col("seller_count").desc(), "seller_state"))
 
 
-def _seller_items(m: Mart) -> DataFrame:
-    s = m.sellers.select("seller_id", "seller_city", "seller_state")
+def _seller_sums(m: Mart, orders: bool = False) -> DataFrame:
+    """Delivered items summed per seller (n, p, pn, f, t; distinct orders as oc), then joined to the seller table."""
     items = delivered_items(m.order_items.select("order_id", "seller_id", "price", "freight_value"), m.orders)
-    return items.join(s, "seller_id")
+    distinct = [F.count_distinct("order_id").alias("oc")] if orders else []
+    sums = items.groupBy("seller_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("price").alias("p"), F.count("price").alias("pn"),
+        F.sum("freight_value").alias("f"), F.sum(item_value()).alias("t"), *distinct)
+    return sums.join(m.sellers.select("seller_id", "seller_city", "seller_state"), "seller_id")
 
 
 @report("q9_2_top_sellers", sql=f"""
@@ -37,10 +42,10 @@ SELECT s.seller_id, s.seller_city, s.seller_state, COUNT(DISTINCT oi.order_id) A
 {_SOI} GROUP BY s.seller_id, s.seller_city, s.seller_state ORDER BY total_revenue DESC, s.seller_id LIMIT 20""")
 def top_sellers(m: Mart) -> DataFrame:
     """Top 20 sellers by delivered revenue (ties by seller_id)."""
-    return (_seller_items(m).groupBy("seller_id", "seller_city", "seller_state")
-            .agg(F.count_distinct("order_id").alias("order_count"), F.count(F.lit(1)).alias("items_sold"),
-                 round2(F.sum("price")).alias("product_revenue"), round2(F.sum("freight_value")).alias("freight_value"),
-                 round2(F.sum(item_value())).alias("total_revenue"))
+    return (_seller_sums(m, orders=True).groupBy("seller_id", "seller_city", "seller_state")
+            .agg(F.max("oc").alias("order_count"), F.sum("n").alias("items_sold"),
+                 round2(F.sum("p")).alias("product_revenue"), round2(F.sum("f")).alias("freight_value"),
+                 round2(F.sum("t")).alias("total_revenue"))
             .orderBy(F.col("total_revenue").desc(), "seller_id").limit(20))
 
 
@@ -50,8 +55,8 @@ SELECT s.seller_id, s.seller_city, s.seller_state, COUNT(*) AS items_sold, {AVG2
 ORDER BY average_item_price DESC, s.seller_id""")
 def seller_avg_item(m: Mart) -> DataFrame:
     """Mean delivered item price per seller with at least 10 items."""
-    return (_seller_items(m).groupBy("seller_id", "seller_city", "seller_state")
-            .agg(F.count(F.lit(1)).alias("items_sold"), avg_exact("price").alias("average_item_price"))
+    return (_seller_sums(m).groupBy("seller_id", "seller_city", "seller_state")
+            .agg(F.sum("n").alias("items_sold"), ratio_round(F.sum("p"), F.sum("pn")).alias("average_item_price"))
             .where(F.col("items_sold") >= 10)
             .orderBy(F.col("average_item_price").desc(), "seller_id"))
 
@@ -71,6 +76,8 @@ def seller_share(m: Mart) -> DataFrame:
     """
     sr = (delivered_items(m.order_items.select("order_id", "seller_id", "price"), m.orders)
           .groupBy("seller_id").agg(F.sum("price").alias("revenue")))
+    # One row a seller, kept once: the total, the ranks and the result all read it.
+    sr = kept(sr)
     ranked = global_dense_rank(with_total(sr, "revenue", "__t"), "revenue", "seller_rank")
     return (ranked.select("seller_id", round2("revenue").alias("revenue"),
                           pct("revenue", "__t").alias("revenue_share_percentage"), "seller_rank")
@@ -94,9 +101,9 @@ def seller_lateness(m: Mart) -> DataFrame:
     o = (delivered(m.orders).where(dlv.isNotNull() & est.isNotNull())
          .select("order_id", (dlv > est).alias("__late")))
     j = m.order_items.select("order_id", "seller_id").join(o, "order_id")
-    late = F.count_distinct(F.when(F.col("__late"), F.col("order_id")))
-    g = (j.groupBy("seller_id")
-         .agg(F.count_distinct("order_id").alias("delivered_orders"), late.alias("late_orders")))
+    per_order = j.groupBy("seller_id", "order_id").agg(F.max("__late").alias("__late"))
+    g = (per_order.groupBy("seller_id")
+         .agg(F.count(F.lit(1)).alias("delivered_orders"), F.count_if("__late").alias("late_orders")))
     return (g.where(F.col("delivered_orders") >= 10)
             .withColumn("late_delivery_rate", pct("late_orders", "delivered_orders"))
             .orderBy(F.col("late_delivery_rate").desc_nulls_first(), "seller_id"))

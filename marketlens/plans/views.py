@@ -7,7 +7,7 @@ each query recomputes from the base tables, as a database view would.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions import month_of, round2
@@ -60,17 +60,22 @@ def order_financial_summary(m: Mart) -> DataFrame:
 
 def customer_summary(m: Mart) -> DataFrame:
     """Per person: total and delivered orders, first/latest purchase, delivered lifetime value."""
-    v = order_financial_summary(m).select("order_id", "total_order_value")
-    o = m.orders.select("order_id", "customer_id", "order_status", _TS)
-    c = m.customers.select("customer_id", "customer_unique_id")
-    j = c.join(o, "customer_id", "left").join(v, "order_id", "left")
+    # Orders are read once. An order's value counts once per order row that shares its id, as in the view.
+    totals = m.order_summary.select("order_id", "total_order_value")
+    copies = F.count(F.lit(1)).over(Window.partitionBy("order_id"))
+    o = (m.orders.select("order_id", "customer_id", "order_status", _TS).withColumn("copies", copies.cast("decimal(10,0)"))
+         .join(totals, "order_id", "left"))
+    j = m.customers.select("customer_id", "customer_unique_id").join(o, "customer_id", "left")
     is_dlv = F.col("order_status") == "delivered"
-    return (j.groupBy("customer_unique_id")
-            .agg(F.count_distinct("order_id").alias("total_orders"),
-                 F.count_distinct(F.when(is_dlv, F.col("order_id"))).alias("delivered_orders"),
-                 F.min(_TS).alias("first_purchase_date"), F.max(_TS).alias("latest_purchase_date"),
-                 F.coalesce(F.sum(F.when(is_dlv, F.col("total_order_value"))),
-                            F.lit(0).cast("decimal(12,2)")).alias("customer_lifetime_value")))
+    value = F.when(is_dlv, F.col("total_order_value").cast("decimal(24,2)") * F.col("copies"))
+    # Per person and order first, then per person: plain counts instead of two distinct counts.
+    per_order = (j.groupBy("customer_unique_id", "order_id")
+                 .agg(F.max(is_dlv).alias("dlv"), F.min(_TS).alias("lo"), F.max(_TS).alias("hi"), F.sum(value).alias("value")))
+    return (per_order.groupBy("customer_unique_id")
+            .agg(F.count("order_id").alias("total_orders"),
+                 F.count_if(F.col("dlv") & F.col("order_id").isNotNull()).alias("delivered_orders"),
+                 F.min("lo").alias("first_purchase_date"), F.max("hi").alias("latest_purchase_date"),
+                 F.coalesce(F.sum("value"), F.lit(0).cast("decimal(12,2)")).alias("customer_lifetime_value")))
 
 
 def monthly_sales(m: Mart) -> DataFrame:
@@ -80,7 +85,7 @@ def monthly_sales(m: Mart) -> DataFrame:
     return (j.groupBy("order_month")
             .agg(F.count_distinct("order_id").alias("delivered_orders"), F.sum("__n").alias("items_sold"),
                  F.sum("__p").alias("product_revenue"), F.sum("__f").alias("freight_revenue"),
-                 F.sum(F.col("__p") + F.col("__f")).alias("total_revenue")))
+                 F.sum("__t").alias("total_revenue")))
 
 
 def register_views(m: Mart) -> None:

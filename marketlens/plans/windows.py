@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marketlens.functions import month_num, pct, round2, year_of
 from marketlens.functions.money import ratio_round
 from marketlens.operators.grain import delivered_items
-from marketlens.operators.ranking import global_ntile, with_total
+from marketlens.operators.ranking import kept, ntile_cuts, ntile_from_cuts, with_total
 from marketlens.plans.products import category_revenue
 from marketlens.plans.registry import EXACT, LABEL, MONEY, PCT, report
 from marketlens.plans.time_sales import delivered_order_rows, monthly_delivered_revenue
@@ -30,7 +30,7 @@ FROM monthly_revenue ORDER BY order_year NULLS LAST, revenue_rank_within_year, o
 def month_rank_in_year(m: Mart) -> DataFrame:
     """Months ranked by delivered revenue within their year (at most 12 rows per year)."""
     mr = (delivered_order_rows(m, year_of(_TS).alias("order_year"), month_num(_TS).alias("order_month"))
-          .groupBy("order_year", "order_month").agg(F.sum(F.col("__p") + F.col("__f")).alias("revenue")))
+          .groupBy("order_year", "order_month").agg(F.sum("__t").alias("revenue")))
     w = Window.partitionBy("order_year").orderBy(F.col("revenue").desc_nulls_first())
     return (mr.select("order_year", "order_month", round2("revenue").alias("revenue"),
                       F.dense_rank().over(w).cast("long").alias("revenue_rank_within_year"))
@@ -75,10 +75,12 @@ SELECT order_id, {MONEY('order_value')} AS order_value, CAST(value_quartile AS B
             WHEN 3 THEN 'Upper-middle orders' WHEN 4 THEN 'High-value orders' END AS value_segment
 FROM order_quartiles ORDER BY order_value DESC, order_id""")
 def value_quartiles(m: Mart) -> DataFrame:
-    """Delivered orders split into value quartiles (distributed NTILE, ties by order_id)."""
+    """Delivered orders split into value quartiles (cut keys of the distributed NTILE, ties by order_id)."""
     ofn = (delivered_items(m.order_summary.select("order_id", "total_order_value"), m.orders)
            .groupBy("order_id").agg(F.sum("total_order_value").alias("order_value")))
-    q = global_ntile(ofn, 4, [F.col("order_value").asc_nulls_last(), F.col("order_id").asc()], "value_quartile")
+    ofn = kept(ofn)
+    cuts = ntile_cuts(ofn, 4, "order_value", "order_id")
+    q = ofn.withColumn("value_quartile", ntile_from_cuts(ofn, cuts, "order_value", "order_id"))
     seg = None
     for k, name in QUARTILE_NAMES.items():
         cond = F.col("value_quartile") == k

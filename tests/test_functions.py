@@ -2,7 +2,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from marketlens.functions import avg_exact, calendar_days, day_name, elapsed_micros, iso_dow, month_of, pct, round2
+from marketlens.functions import avg_elapsed, avg_exact, calendar_days, day_name, elapsed_micros, iso_dow, month_of, pct, round2
 from tests.conftest import ts
 
 
@@ -39,3 +39,16 @@ def test_calendar_vs_elapsed_days(spark):
 def test_trim_removes_spaces_only(spark):
     df = spark.createDataFrame([(" \t ",), ("  ",)], "s string")
     assert [r[0] for r in df.select(F.trim("s") != "").collect()] == [True, False]
+
+
+def test_avg_elapsed_is_rounded_once(spark):
+    """Means just below and at a half cent, both signs: 1.0049996 days is 1.00, 1.005 is 1.01."""
+    day = 86_400_000_000
+    for micros, want in [([int(1.0049996 * day)], "1.00"), ([1005 * day // 1000], "1.01"), ([-1005 * day // 1000], "-1.01"),
+                         ([day, day + day // 50], "1.01"), ([0], "0.00")]:
+        df = (spark.createDataFrame([(m,) for m in micros], "us long")
+              .select(F.lit("2020-01-01 00:00:00").cast("timestamp_ntz").alias("a"), "us")
+              .withColumn("b", F.timestamp_add("MICROSECOND", F.col("us"), F.col("a"))))
+        assert df.agg(avg_elapsed("a", "b")).first()[0] == Decimal(want), micros
+    assert df.limit(0).agg(avg_elapsed("a", "b")).first()[0] is None
+    assert df.agg(avg_elapsed("a", "b", "hour")).first()[0] == Decimal("0.00")

@@ -13,7 +13,7 @@ def mart(spark):
 
 
 def rows(mart, key):
-    return [r.asDict() for r in run_report(key, mart).collect()]
+    return [r.asDict() for r in run_report(key, mart, doubles=True).collect()]
 
 
 @pytest.mark.parametrize("key,col", [

@@ -68,3 +68,38 @@ def test_range_publish_gives_disjoint_sorted_files(spark, tmpdir_path):
     assert len(ranges) == 4
     assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))   # disjoint key ranges
     assert mart.order_summary.count() == mart.order_items.select("order_id").distinct().count()
+
+
+def test_items_are_summed_before_the_dimensions(spark):
+    """Between the item scan and the join to products or sellers stands an aggregate on their key."""
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for key, col in [("q8_3_top_categories_revenue", "product_id"), ("q8_9_top3_per_category", "product_id"), ("q14_4_pareto", "product_id"),
+                         ("q9_2_top_sellers", "seller_id"), ("q9_3_seller_avg_item", "seller_id")]:
+            p = plan(spark, key)
+            # the plan prints children below their parent: the item sums stand under the join with the dimension
+            sums = [i for i, line in enumerate(p.split("\n")) if f"HashAggregate(keys=[{col}" in line and "partial_" in line]
+            joins = [i for i, line in enumerate(p.split("\n")) if "SortMergeJoin" in line and f"[{col}" in line]
+            assert sums and joins and joins[-1] < sums[-1], key
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_no_expand_for_distinct_counts(spark):
+    for key in ["q1_5_entity_counts", "q9_5_seller_lateness", "q15_2_customer_summary_view", "q16_kpi_summary", "q16_kpi_order_weighted"]:
+        assert "Expand" not in plan(spark, key), key
+
+
+def test_rule_job_scans_items_twice(spark, tmpdir_path):
+    mart = Mart.from_testdata(spark, SF_SMALL).write(tmpdir_path + "/mart")
+    p = plan(spark, "dq_rule_report", mart)
+    scans = [line for line in p.split("\n") if "FileScan parquet" in line]
+    assert sum("order_item_id" in x for x in scans) == 2 and sum("customer_unique_id" in x for x in scans) <= 2
+
+
+def test_reports_keep_money_decimal(spark):
+    mart = Mart.from_testdata(spark, SF_SMALL)
+    kinds = dict(run_report("q4_6_total_order_value", mart).dtypes)
+    assert all(k.startswith("decimal") for k in kinds.values())
+    assert set(dict(run_report("q4_6_total_order_value", mart, doubles=True).dtypes).values()) == {"double"}

@@ -2,7 +2,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marketlens.operators.ranking import (
-    global_dense_rank, global_ntile, global_row_index, group_row_number, top_with_dense_rank,
+    global_dense_rank, global_ntile, global_row_index, group_row_number, ntile_cuts, ntile_from_cuts,
+    top_with_dense_rank,
 )
 
 
@@ -71,3 +72,13 @@ def test_ntile_formula_exhaustive(spark):
     for r in got:
         for k in ks:
             assert r[f"k{k}"] == _python_ntile(r.n, k)[r.i], (r.n, r.i, k)
+
+
+def test_ntile_cuts_equal_window_ntile(spark):
+    for n, k in [(1000, 4), (17, 5), (3, 5), (5, 5), (1, 3)]:
+        df = _frame(spark, n).withColumn("v", F.when(F.col("v") != 3, F.col("v"))).cache()
+        cuts = ntile_cuts(df, k, "v", "id")
+        ours = df.select("id", ntile_from_cuts(df, cuts, "v", "id").alias("t"))
+        ref = df.select("id", F.ntile(k).over(Window.orderBy(F.col("v").asc_nulls_last(), "id")).cast("long").alias("t"))
+        assert sorted(ours.collect()) == sorted(ref.collect()), (n, k)
+    assert ntile_cuts(_frame(spark, 1000).limit(0), 4, "v", "id") == []

@@ -11,7 +11,7 @@ from tests.conftest import D, collect, make_mart, ts
 
 
 def run(key, mart):
-    return collect(run_report(key, mart))
+    return collect(run_report(key, mart, doubles=True))
 
 
 def _people(spark, delivered_counts):
@@ -171,3 +171,21 @@ def test_money_stays_exact(spark):
     m = make_mart(spark, orders=[{"order_id": "o1", "customer_id": "c1"}], order_items=items)
     assert run("q4_4_product_revenue", m) == [{"product_revenue": 1.0}]
     assert Decimal(str(run("q4_6_total_order_value", m)[0]["total_order_value"])) == Decimal("3.0")
+
+
+def test_item_with_a_missing_part_counts_in_no_total(spark):
+    """(10.00, 1.00) and (20.00, NULL): price + freight is NULL for the second item, so all totals are 11.00."""
+    m = make_mart(spark, customers=[{"customer_id": "c1", "customer_unique_id": "u1"}],
+                  orders=[{"order_id": "o1", "customer_id": "c1", "order_purchase_timestamp": ts("2020-01-05 10:00:00")}],
+                  order_items=[{"order_id": "o1", "order_item_id": 1, "price": D("10.00"), "freight_value": D("1.00")},
+                               {"order_id": "o1", "order_item_id": 2, "price": D("20.00"), "freight_value": None}])
+    for key, column in [("q4_6_total_order_value", "total_order_value"), ("q5_3_monthly_revenue", "total_revenue"),
+                        ("q5_7_monthly_growth", "current_month_revenue"), ("q5_8_cumulative_revenue", "cumulative_revenue"),
+                        ("q14_1_month_rank_in_year", "revenue"), ("q14_2_moving_avg_3m", "three_month_moving_average"),
+                        ("q15_3_monthly_sales", "total_revenue"), ("q15_3_monthly_sales_view", "total_revenue")]:
+        assert run(key, m)[0][column] == 11.0, key
+
+
+def test_scores_outside_one_to_five_are_listed(spark):
+    m = make_mart(spark, order_reviews=[{"review_id": f"r{s}", "order_id": "o1", "review_score": s} for s in (0, 1, 5, 6, None)])
+    assert sorted(r["review_score"] for r in run("q2_10_invalid_scores", m)) == [0, 6]
