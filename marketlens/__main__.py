@@ -1,7 +1,6 @@
 """Command line: ``python -m marketlens <command> ...`` (or through spark-submit).
 
   ingest   CSV exports -> typed parquet tables (+ row-count validation)
-  ingest-stream  new CSV files per table folder -> parquet, restartable (Structured Streaming)
   publish  test parquet (TPC-H-like) -> published mart, optionally bucketed
   report   run report keys over a published mart; write parquet/CSV or show
   check    run the data-quality rule job over a published mart
@@ -47,12 +46,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("source_dir")
     p.add_argument("target_dir")
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
-
-    p = sub.add_parser("ingest-stream", help="load new CSV files of <source>/<table>/ incrementally")
-    p.add_argument("source_root")
-    p.add_argument("target_root")
-    p.add_argument("checkpoint_root", help="shared folder for the stream offsets")
-    p.add_argument("--tables", nargs="+", default=None)
+    p.add_argument("--file", action="append", default=[], metavar="TABLE=NAME", help="export file name of a table (default <table>.csv)")
+    p.add_argument("--no-gate", action="store_true", help="publish even if declared rules are broken; report them")
 
     p = sub.add_parser("publish", help="derive the mart from TPC-H-like parquet and publish it")
     p.add_argument("sf_dir")
@@ -78,19 +73,18 @@ def main(argv: list[str] | None = None) -> int:
 
     if args.cmd == "ingest":
         from marketlens.sources.ingest import run_ingest
-        res = run_ingest(spark, args.source_dir, args.target_dir, args.mode)
+        from marketlens.sources.schemas import TABLE_ORDER
+        files = dict(x.split("=", 1) for x in args.file)
+        unknown = sorted(set(files) - set(TABLE_ORDER))
+        if unknown:
+            print("no such table:", ", ".join(unknown), file=sys.stderr)
+            return 2
+        res = run_ingest(spark, args.source_dir, args.target_dir, args.mode, file_names=files, gate=not args.no_gate)
         for table in res.tables:
             print(f"{table}: {res.stored[table]} rows; coerced to NULL: {res.coerced.get(table, {})}")
         print(f"categories added by back-fill: {res.categories_added}")
-        return 0
-
-    if args.cmd == "ingest-stream":
-        from marketlens.sources.schemas import TABLE_ORDER
-        from marketlens.streaming import ingest_available
-        loaded = ingest_available(spark, args.source_root, args.target_root, args.checkpoint_root,
-                                  args.tables or list(TABLE_ORDER))
-        for table, n in loaded.items():
-            print(f"{table}: {n} new rows")
+        for rule, n in sorted(res.violations.items()):
+            print(f"rule broken: {rule} ({n})")
         return 0
 
     if args.cmd == "publish":
@@ -119,8 +113,8 @@ def main(argv: list[str] | None = None) -> int:
             _emit(run_report(key, mart), out, args.format, args.show)
         return 0
     if args.cmd == "check":
-        from marketlens.operators.quality import check_rules
-        _emit(check_rules(mart.tables()).orderBy("table_name", "rule_type", "rule"), args.out, args.format, 200)
+        from marketlens.operators.quality import RULES, check_rules
+        _emit(check_rules(mart.tables()).orderBy("table_name", "rule_type", "rule"), args.out, args.format, len(RULES))
         return 0
     if args.cmd == "sql":
         from marketlens.plans.views import register_views

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings every report relies on for correct results (same on every cluster).
@@ -44,7 +45,9 @@ def build_session(master: str | None = None, app_name: str = "marketlens",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**STATIC_DEFAULTS, **REQUIRED_CONF, **(extra or {})}.items():
+    given = SparkConf()  # spark-defaults.conf and spark-submit --conf
+    unset = {k: v for k, v in STATIC_DEFAULTS.items() if not given.contains(k)}
+    for key, value in {**unset, **REQUIRED_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -85,7 +88,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         # A machine-local folder would be lost with its executor.
         raise RuntimeError("Set spark.checkpoint.dir to a shared folder (HDFS, S3, ...) for this cluster.")
     folder = tempfile.mkdtemp(prefix="marketlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))

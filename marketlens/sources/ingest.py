@@ -1,15 +1,16 @@
 """Batch ingest: nine CSV exports -> typed parquet tables.
 
-The source loader reads each CSV in pandas chunks and inserts batches into a
-database. Here each file is one distributed scan: every column is read as a
-string, null tokens are mapped to NULL, values are cast with ``try_cast`` to
-the declared type (so unparsable values become NULL and are *counted*), and
-each table is written as parquet. Row counts are observed during the write
-and compared with a re-read of the written table.
-
-Quoted CSV fields may contain newlines (review texts), which needs the
-``multiLine`` reader; such files are not splittable, so a production run
-converts each export once and every later job reads the parquet output.
+Each file is one distributed scan: every column is read as a string, null
+tokens are mapped to NULL, values are cast with ``try_cast`` to the declared
+type, and each table is written as parquet to a folder of this run. The same
+job observes the rows written and, per column, how many values could not be
+typed, so a CSV is parsed once. Then the declared rules (keys, NOT NULL,
+CHECK, lengths) are checked on the tables as they would be, row counts are
+compared, and one manifest file publishes everything at once
+(``sources.manifest``). A load that fails before that changes nothing.
+
+Only review texts hold line breaks, which needs the ``multiLine`` reader and
+makes that one file a single task; the other exports are split.
 """
 
 from __future__ import annotations
@@ -21,7 +22,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlens.sources.schemas import LOAD_PLAN, LOAD_PLAN_BY_TABLE, LoadSpec, TABLE_ORDER
+from marketlens.sources import manifest as manifests
+from marketlens.sources.mart import publish
+from marketlens.sources.schemas import LOAD_PLAN, LoadSpec, SCHEMAS, TABLE_ORDER, with_comments
 
 # pandas' default missing-value tokens (read_csv without na_values).
 NA_TOKENS = (
@@ -37,12 +40,7 @@ class IngestError(RuntimeError):
 # -- A3 / A4: preflight ---------------------------------------------------
 def preflight_sources(spark: SparkSession, paths: Iterable[str]) -> None:
     """Fail once, naming every missing source file."""
-    missing = []
-    for p in paths:
-        try:
-            spark.read.text(p).schema  # resolving the relation lists the path
-        except Exception:  # noqa: BLE001 - any resolution failure means unusable
-            missing.append(p)
+    missing = [p for p in paths if not manifests.exists(spark, p)]
     if missing:
         raise IngestError("Missing source files: " + ", ".join(missing))
 
@@ -53,9 +51,9 @@ def tables_missing(spark: SparkSession, names: Sequence[str]) -> list[str]:
 
 
 # -- A1: read ---------------------------------------------------------------
-def read_source_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Header CSV with quoted multi-line fields; every column as STRING."""
-    return (spark.read.option("header", True).option("multiLine", True)
+def read_source_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Header CSV with quoted fields, over several lines if ``multi_line``; every column as STRING."""
+    return (spark.read.option("header", True).option("multiLine", multi_line)
             .option("quote", '"').option("escape", '"').option("inferSchema", False)
             .option("mode", "PERMISSIVE").csv(path))
 
@@ -94,8 +92,9 @@ def _typed(name: str, dtype: T.DataType) -> Column:
         # digits are rounded, not rejected).
         return F.round(c.try_cast("decimal(38,18)"), dtype.scale).try_cast(dtype)
     if isinstance(dtype, T.IntegerType):
-        # Integer columns exported by pandas may carry a ".0" suffix.
-        return F.coalesce(c.try_cast("int"), c.try_cast("double").try_cast("int"))
+        # Integer columns exported by pandas may carry a ".0" suffix; a real fraction is no integer.
+        d = c.try_cast("decimal(28,10)")
+        return F.coalesce(c.try_cast("int"), F.when(d == F.floor(d), d).try_cast("int"))
     return c.try_cast(dtype)
 
 
@@ -105,24 +104,25 @@ def project_expected(df: DataFrame, spec: LoadSpec) -> DataFrame:
     return df.select(*[_typed(f.name, f.dataType).alias(f.name) for f in fields])
 
 
-def coercion_counts(raw: DataFrame, typed: DataFrame, spec: LoadSpec) -> DataFrame:
-    """Per column, how many non-NULL source values became NULL when typed (one pass)."""
-    fields = [f.name for f in spec.schema.fields if f.name not in spec.generated]
-    both = raw.select(*[F.col(f"`{c}`").alias(f"s_{i}") for i, c in enumerate(fields)],
-                      *[_typed(c, spec.schema[c].dataType).alias(f"t_{i}") for i, c in enumerate(fields)])
-    aggs = [F.count_if(F.col(f"s_{i}").isNotNull() & F.col(f"t_{i}").isNull()).alias(c)
-            for i, c in enumerate(fields)]
-    return both.agg(*aggs)
+def prepare(raw: DataFrame, spec: LoadSpec, observation: Observation | None = None, first_id: int = 0) -> DataFrame:
+    """A5 -> A7 -> A8 -> A9 (+ A15 for generated keys).
 
-
-def prepare(raw: DataFrame, spec: LoadSpec) -> DataFrame:
-    """A5 -> A7 -> A8 -> A9 (+ A15 for generated keys)."""
+    With ``observation``, the job that consumes the result reports ``rows``
+    and, as ``lost_<column>``, how many non-NULL values became NULL when typed.
+    Generated ids start at ``first_id``, so that loads do not share ids.
+    """
     df = normalize_nulls(rename_columns(raw, spec.renames))
     require_columns(df, spec.source_columns, spec.file)
-    typed = project_expected(df, spec)
+    fields = [f for f in spec.schema.fields if f.name not in spec.generated]
+    if observation is not None:
+        both = df.select(*[F.col(f"`{f.name}`").alias(f"s_{f.name}") for f in fields], *[_typed(f.name, f.dataType).alias(f.name) for f in fields])
+        lost = [F.count_if(F.col(f"s_{f.name}").isNotNull() & F.col(f.name).isNull()).alias(f"lost_{f.name}") for f in fields]
+        typed = both.observe(observation, F.count(F.lit(1)).alias("rows"), *lost).select(*[f.name for f in fields])
+    else:
+        typed = project_expected(df, spec)
     if "geolocation_id" in spec.generated:
-        typed = typed.withColumn("geolocation_id", F.monotonically_increasing_id())
-        typed = typed.select(*[f.name for f in spec.schema.fields])
+        typed = typed.withColumn("geolocation_id", F.monotonically_increasing_id() + F.lit(first_id).cast("long"))
+        typed = typed.select(*spec.schema.fieldNames())
     return typed
 
 
@@ -146,14 +146,17 @@ def backfill_categories(products: DataFrame, translation: DataFrame) -> tuple[Da
 # -- A10, A11, A13, A14: write and validate --------------------------------------
 @dataclass
 class IngestResult:
-    tables: dict[str, str] = field(default_factory=dict)      # table -> path
-    written: dict[str, int] = field(default_factory=dict)
-    stored: dict[str, int] = field(default_factory=dict)
+    run: str = ""
+    tables: dict[str, list[str]] = field(default_factory=dict)  # table -> folders of the published mart, below its root
+    before: dict[str, int] = field(default_factory=dict)        # rows there were
+    written: dict[str, int] = field(default_factory=dict)       # rows of this load
+    stored: dict[str, int] = field(default_factory=dict)        # rows there are
     coerced: dict[str, dict[str, int]] = field(default_factory=dict)
+    violations: dict[str, int] = field(default_factory=dict)
     categories_added: int = 0
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> Observation:
+def write_table(df: DataFrame, path: str, mode: str = "error") -> Observation:
     """Write parquet, observing the number of rows written in the same job."""
     obs = Observation()
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
@@ -161,59 +164,76 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> Observatio
 
 
 def validate_row_counts(spark: SparkSession, result: IngestResult) -> DataFrame:
-    """One row per table: written vs stored count; raises naming every mismatch."""
-    rows = [(t, result.written[t], result.stored[t]) for t in result.tables]
-    bad = [f"{t}: expected {w}, found {s}" for t, w, s in rows if w != s]
+    """One row per table: rows before, written and stored; raises naming every table where they do not add up."""
+    rows = [(t, result.before.get(t, 0), result.written[t], result.stored[t]) for t in result.tables]
+    bad = [f"{t}: expected {b + w}, found {s}" for t, b, w, s in rows if b + w != s]
     if bad:
         raise IngestError("Row-count validation failed: " + "; ".join(bad))
-    return spark.createDataFrame(rows, "table_name string, rows_written long, rows_stored long")
+    return spark.createDataFrame(rows, "table_name string, rows_before long, rows_written long, rows_stored long")
+
+
+def check_gate(tables: dict[str, DataFrame]) -> dict[str, int]:
+    """Rules that the tables break, with the number of violations."""
+    from marketlens.operators.quality import check_rules
+    return {r["rule"]: r["violations"] for r in check_rules(tables).where("violations > 0").collect()}  # one row a rule
 
 
 def run_ingest(spark: SparkSession, source_dir: str, target_dir: str, mode: str = "overwrite",
-               plan: Sequence[LoadSpec] = LOAD_PLAN, count_coercions: bool = True,
-               file_names: dict[str, str] | None = None) -> IngestResult:
-    """Load every CSV of ``plan`` from ``source_dir`` into parquet tables under ``target_dir``.
+               plan: Sequence[LoadSpec] = LOAD_PLAN, file_names: dict[str, str] | None = None,
+               gate: bool = True) -> IngestResult:
+    """Load every CSV of ``plan`` from ``source_dir`` into the mart at ``target_dir`` and publish it in one step.
 
+    ``mode``: "overwrite" replaces the nine tables, "append" adds to them.
     ``file_names`` maps table names to export file names that differ from
-    ``<table>.csv``.
+    ``<table>.csv``. With ``gate`` a load that would break a declared rule is
+    rejected; otherwise the violations are only reported in the result.
     """
-    src = source_dir.rstrip("/")
-    dst = target_dir.rstrip("/")
+    if mode not in ("overwrite", "append"):
+        raise ValueError("mode is overwrite or append")
+    src, dst, run = source_dir.rstrip("/"), target_dir.rstrip("/"), manifests.new_run()
     names = {s.table: (file_names or {}).get(s.table, s.file) for s in plan}
     preflight_sources(spark, [f"{src}/{names[s.table]}" for s in plan])
-    result = IngestResult()
-    order = {t: i for i, t in enumerate(TABLE_ORDER)}
-    for spec in sorted(plan, key=lambda s: order[s.table]):
-        raw = read_source_csv(spark, f"{src}/{names[spec.table]}")
-        typed = prepare(raw, spec)
-        if count_coercions:
-            prepped = normalize_nulls(rename_columns(raw, spec.renames))
-            row = coercion_counts(prepped, project_expected(prepped, spec), spec).first()
-            result.coerced[spec.table] = {k: v for k, v in row.asDict().items() if v}
-        path = f"{dst}/{spec.table}"
-        obs = write_table(typed, path, mode)
-        result.tables[spec.table] = path
-        result.written[spec.table] = int(obs.get["rows"])
-        if spec.table == "products":
-            # Back-fill after both lookup and products are stored.
-            lookup_path = result.tables["product_category_name_translation"]
-            lookup = spark.read.parquet(lookup_path)
-            _full, added = backfill_categories(spark.read.parquet(path), lookup)
-            added_obs = write_table(added, lookup_path, "append")
-            result.categories_added = int(added_obs.get["rows"])
-            result.written["product_category_name_translation"] += result.categories_added
-    for table, path in result.tables.items():
-        result.stored[table] = spark.read.parquet(path).count()
+    old = manifests.read(spark, dst)
+    if mode == "append":
+        missing = sorted(t for t in TABLE_ORDER if not all(manifests.exists(spark, p) for p in manifests.folders(spark, dst, t, old)))
+        if missing:
+            raise IngestError("Missing target tables: " + ", ".join(missing))
+    elif {s.table for s in plan} != set(TABLE_ORDER):
+        raise ValueError("overwrite needs all nine tables in the plan")
+    result = IngestResult(run=run)
+    kept = {t: (old or {}).get("tables", {}).get(t, [t]) if mode == "append" else [] for t in TABLE_ORDER}
+    folders = {t: list(kept[t]) for t in TABLE_ORDER}
+
+    def table(t: str) -> DataFrame:
+        return spark.read.schema(SCHEMAS[t]).parquet(*[f"{dst}/{f}" for f in folders[t]])
+
+    result.before = {t: table(t).count() if kept[t] else 0 for t in TABLE_ORDER}
+    result.written = dict.fromkeys(TABLE_ORDER, 0)
+    for spec in sorted(plan, key=lambda s: TABLE_ORDER.index(s.table)):
+        t, obs = spec.table, Observation()
+        first_id = (table(t).agg(F.max("geolocation_id")).first()[0] or 0) + 1 if "geolocation_id" in spec.generated and kept[t] else 0
+        raw = read_source_csv(spark, f"{src}/{names[t]}", spec.multi_line)
+        with_comments(prepare(raw, spec, obs, first_id), t).write.parquet(f"{dst}/{run}/{t}")
+        folders[t].append(f"{run}/{t}")
+        result.written[t] = int(obs.get["rows"])
+        result.coerced[t] = {k.removeprefix("lost_"): v for k, v in obs.get.items() if k.startswith("lost_") and v}
+    lookup = "product_category_name_translation"
+    _full, added = backfill_categories(table("products"), table(lookup))
+    result.categories_added = int(write_table(with_comments(added, lookup), f"{dst}/{run}/{lookup}_added").get["rows"])
+    folders[lookup].append(f"{run}/{lookup}_added")
+    result.written[lookup] += result.categories_added
+    result.tables = folders
+    result.stored = {t: table(t).count() for t in TABLE_ORDER}
     validate_row_counts(spark, result)
+    result.violations = check_gate({t: table(t) for t in TABLE_ORDER})
+    if gate and result.violations:
+        raise IngestError("Load rejected, rules broken: " + ", ".join(f"{k} ({v})" for k, v in sorted(result.violations.items())))
+    publish(spark, dst, folders, run, result.stored)
     return result
 
 
-def load_plan_for(tables: Iterable[str]) -> list[LoadSpec]:
-    return [LOAD_PLAN_BY_TABLE[t] for t in tables]
-
-
 __all__ = [
-    "NA_TOKENS", "IngestError", "IngestResult", "backfill_categories", "coercion_counts", "load_plan_for",
-    "normalize_nulls", "prepare", "preflight_sources", "project_expected", "read_source_csv", "rename_columns",
-    "require_columns", "run_ingest", "tables_missing", "validate_row_counts", "write_table",
+    "NA_TOKENS", "IngestError", "IngestResult", "backfill_categories", "check_gate", "normalize_nulls", "prepare",
+    "preflight_sources", "project_expected", "read_source_csv", "rename_columns", "require_columns", "run_ingest",
+    "tables_missing", "validate_row_counts", "write_table",
 ]

@@ -20,7 +20,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.sources.schemas import SCHEMAS, TABLE_ORDER
+from marketlens.sources import manifest as manifests
+from marketlens.sources.schemas import SCHEMAS, TABLE_COMMENTS, TABLE_ORDER, with_comments
 
 RAW_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -33,6 +34,20 @@ def _add(unit: str, amount: Column, ts: Column) -> Column:
     return F.timestamp_add(unit, amount, ts)
 
 
+#: Table property that names the item files a catalog summary was made from.
+SUMMARY_PROPERTY = "marketlens.order_summary_of"
+
+
+def publish(spark: SparkSession, root: str, tables: dict[str, list[str]], run: str, rows: dict[str, int] | None = None) -> None:
+    """Writes the order summary of the given item folders and then the manifest, which makes all of it visible at once."""
+    from marketlens.operators.grain import order_summary
+    items = spark.read.parquet(*manifests.folders(spark, root, "order_items", {"tables": tables}))
+    order_summary(items).sortWithinPartitions("order_id").write.parquet(f"{root}/{run}/order_summary")
+    manifests.write(spark, root, {
+        "tables": tables | {"order_summary": [f"{run}/order_summary"]}, "order_summary_of": manifests.files_digest(items),
+        "rows": rows or {}, "comments": TABLE_COMMENTS})
+
+
 @dataclass
 class Mart:
     """Container of the nine tables; each attribute is a lazy DataFrame."""
@@ -63,17 +78,23 @@ class Mart:
     def _raw(self, name: str) -> DataFrame:
         return read_raw(self.spark, self.source, name)
 
+    @cached_property
+    def manifest(self) -> dict | None:
+        return manifests.read(self.spark, self.source) if self.kind == "tables" else None
+
     def _published(self, name: str) -> DataFrame:
         if self.kind == "frames":
             return self.frames[name]
         if self.kind == "catalog":
             df = self.spark.table(f"`{self.source}`.`{name}`")
         else:
-            df = self.spark.read.parquet(f"{self.source.rstrip('/')}/{name}")
+            df = self.spark.read.parquet(*manifests.folders(self.spark, self.source, name, self.manifest))
         if name not in SCHEMAS:
             return df
-        # Only the logical columns (a table loaded incrementally also carries batch_id).
-        return df.select(*[c for c in SCHEMAS[name].fieldNames() if c in df.columns])
+        missing = [c for c in SCHEMAS[name].fieldNames() if c not in df.columns]
+        if missing:
+            raise ValueError(f"published table {name} lacks columns: {', '.join(missing)}")
+        return df.select(*SCHEMAS[name].fieldNames())
 
     def table(self, name: str) -> DataFrame:
         if name not in TABLE_ORDER:
@@ -244,17 +265,27 @@ class Mart:
 
     @cached_property
     def order_summary(self) -> DataFrame:
-        """Order-grain sums of the items (derived; published next to the nine tables)."""
-        if self.kind in ("tables", "catalog"):
-            try:
-                return self._published("order_summary")
-            except Exception:  # noqa: BLE001 - a mart published without it
-                pass
+        """Order-grain sums of the items: the published ones if they were made from the items' present files, else derived."""
         from marketlens.operators.grain import order_summary
+        if self._summary_of() is not None and self._summary_of() == manifests.files_digest(self.order_items):
+            return self._published("order_summary")
         return order_summary(self.order_items)
 
+    def _summary_of(self) -> str | None:
+        """Digest of the item files that a published summary was made from; None without a summary."""
+        if self.kind == "tables":
+            return (self.manifest or {}).get("order_summary_of")
+        if self.kind == "catalog" and self.spark.catalog.tableExists(f"`{self.source}`.`order_summary`"):
+            rows = self.spark.sql(f"SHOW TBLPROPERTIES `{self.source}`.`order_summary`").collect()
+            return {r[0]: r[1] for r in rows}.get(SUMMARY_PROPERTY)
+        return None
+
     def write(self, root: str, mode: str = "overwrite", files: int | None = None) -> Mart:
-        """Publish all nine tables as parquet under ``root/<table>``; return a Mart over them.
+        """Publish all nine tables and the order summary as parquet below ``root``; return a Mart over them.
+
+        Files go to a folder of this run; the manifest that names it is
+        written last, so readers never see a part of it. ``mode="error"``
+        raises if ``root`` has a published mart.
 
         Order-keyed tables are sorted by their key inside each output file, so
         parquet row-group statistics on ``order_id`` / ``customer_id`` are
@@ -267,20 +298,22 @@ class Mart:
         ranges instead (the range partitioner samples the key, so files stay
         balanced under skew) at the cost of one shuffle.
         """
+        root, run = root.rstrip("/"), manifests.new_run()
+        if mode not in ("overwrite", "error"):
+            raise ValueError("mode is overwrite or error")
+        if mode == "error" and manifests.read(self.spark, root) is not None:
+            raise ValueError(f"{root} has a published mart")
         cluster = {"orders": "order_id", "order_items": "order_id", "order_payments": "order_id",
                    "order_reviews": "order_id", "customers": "customer_id", "products": "product_id"}
         for name in TABLE_ORDER:
-            df = self.table(name)
+            df = with_comments(self.table(name), name)
             if name in cluster:
                 key = cluster[name]
                 if files:
                     df = df.repartitionByRange(files, F.col(key))
                 df = df.sortWithinPartitions(key)
-            df.write.mode(mode).parquet(f"{root.rstrip('/')}/{name}")
-        # The order-grain summary, computed once from the freshly published items.
-        from marketlens.operators.grain import order_summary
-        summary = order_summary(Mart.from_tables(self.spark, root).order_items).sortWithinPartitions("order_id")
-        summary.write.mode(mode).parquet(f"{root.rstrip('/')}/order_summary")
+            df.write.parquet(f"{root}/{run}/{name}")
+        publish(self.spark, root, {name: [f"{run}/{name}"] for name in TABLE_ORDER}, run)
         return Mart.from_tables(self.spark, root)
 
     def write_bucketed(self, database: str, root: str, buckets: int, mode: str = "overwrite") -> Mart:
@@ -298,7 +331,7 @@ class Mart:
         base = root.rstrip("/")
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{base}'")
         for name in TABLE_ORDER:
-            df = self.table(name)
+            df = with_comments(self.table(name), name)
             if name in keyed:
                 key = keyed[name]
                 writer = (df.repartition(buckets, F.col(key)).write
@@ -307,10 +340,13 @@ class Mart:
                 writer = df.write
             (writer.mode(mode).format("parquet").option("path", f"{base}/{name}")
                    .saveAsTable(f"`{database}`.`{name}`"))
+            self.spark.sql(f"COMMENT ON TABLE `{database}`.`{name}` IS '{TABLE_COMMENTS[name]}'")
         # Aggregating bucketed items by order_id needs no shuffle; the summary
         # keeps the same bucketing, so joins with orders stay shuffle-free.
         from marketlens.operators.grain import order_summary
         summary = order_summary(Mart.from_catalog(self.spark, database).order_items)
         (summary.write.bucketBy(buckets, "order_id").sortBy("order_id").mode(mode).format("parquet")
                 .option("path", f"{base}/order_summary").saveAsTable(f"`{database}`.`order_summary`"))
+        digest = manifests.files_digest(Mart.from_catalog(self.spark, database).order_items)
+        self.spark.sql(f"ALTER TABLE `{database}`.`order_summary` SET TBLPROPERTIES ('{SUMMARY_PROPERTY}' = '{digest}')")
         return Mart.from_catalog(self.spark, database)

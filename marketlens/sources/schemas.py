@@ -28,24 +28,31 @@ TABLE_ORDER = (
     "orders", "order_items", "order_payments", "order_reviews", "geolocation",
 )
 
-# Fixed descriptive texts of the tables and the two documented columns.
+# What the tables and two of their columns hold (stored with published tables).
 TABLE_COMMENTS = {
-    "customers": "Customers associated with marketplace orders.",
-    "orders": "Order-level status and lifecycle timestamps.",
-    "order_items": "Products and sellers associated with each order.",
-    "order_payments": "Payment methods, installments, and values associated with orders.",
-    "order_reviews": "Customer review scores and review comments.",
-    "products": "Product categories, dimensions, weight, and descriptive attributes.",
-    "sellers": "Seller identifiers and location attributes.",
-    "product_category_name_translation": "Translation of Portuguese product-category names into English.",
-    "geolocation": "Latitude and longitude observations associated with Brazilian ZIP-code prefixes.",
+    "customers": "One row per order-level customer record, with the person it belongs to and an address area.",
+    "orders": "One row per order: status and the times of its steps from purchase to delivery.",
+    "order_items": "One row per unit sold: order, product, seller, price and freight.",
+    "order_payments": "One row per payment of an order: kind, instalments and amount.",
+    "order_reviews": "One row per review of an order: score, comment texts and times.",
+    "products": "One row per product: category, text lengths, photo count, weight and size.",
+    "sellers": "One row per seller with an address area.",
+    "product_category_name_translation": "English name of each product category.",
+    "geolocation": "Coordinates seen for postal-code areas, several per area.",
 }
 COLUMN_COMMENTS = {
-    ("customers", "customer_id"): "Order-level customer identifier.",
-    ("customers", "customer_unique_id"):
-        "Identifier used to recognize the same customer across multiple orders.",
+    ("customers", "customer_id"): "Customer record of a single order; a person has a new one with every order.",
+    ("customers", "customer_unique_id"): "The person behind the customer records.",
 }
 
+
+def with_comments(df, table: str):
+    """The DataFrame with the declared column descriptions as field metadata (Parquet and catalog tables keep them)."""
+    for f in SCHEMAS[table].fields:
+        if f.metadata and f.name in df.columns:
+            df = df.withMetadata(f.name, f.metadata)
+    return df
+
 # Declared maximum length of VARCHAR(n) / CHAR(n) columns (checked as a rule).
 MAX_LENGTHS = {
     "product_category_name_translation": {"product_category_name": 100, "product_category_name_english": 100},
@@ -141,7 +148,7 @@ class LoadSpec:
     """How one CSV source maps onto one table."""
     file: str
     table: str
-    date_columns: tuple[str, ...] = ()
+    multi_line: bool = False  # free text with line breaks; such a file is one task
     renames: dict[str, str] = field(default_factory=dict)
     generated: tuple[str, ...] = ()  # columns the sink generates (not read)
 
@@ -164,13 +171,10 @@ LOAD_PLAN: tuple[LoadSpec, ...] = (
     LoadSpec("products.csv", "products",
              renames={"product_name_lenght": "product_name_length",
                       "product_description_lenght": "product_description_length"}),
-    LoadSpec("orders.csv", "orders",
-             date_columns=("order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date",
-                           "order_delivered_customer_date", "order_estimated_delivery_date")),
-    LoadSpec("order_items.csv", "order_items", date_columns=("shipping_limit_date",)),
+    LoadSpec("orders.csv", "orders"),
+    LoadSpec("order_items.csv", "order_items"),
     LoadSpec("order_payments.csv", "order_payments"),
-    LoadSpec("order_reviews.csv", "order_reviews",
-             date_columns=("review_creation_date", "review_answer_timestamp")),
+    LoadSpec("order_reviews.csv", "order_reviews", multi_line=True),
     LoadSpec("geolocation.csv", "geolocation", generated=("geolocation_id",)),
 )
 
