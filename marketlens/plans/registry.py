@@ -87,3 +87,14 @@ def ELAPSED(start: str, end: str, unit: str = "day") -> str:
 
 
 LABEL = "COALESCE(pct.product_category_name_english, p.product_category_name, 'Unknown')"
+
+# The oracle texts start from what a report means, per order or per person, not from
+# the plan of the Spark code: an order's worth is looked up for each order row.
+#: Value of the items of order row o.
+WORTH = "(SELECT SUM(x.price + x.freight_value) FROM order_items x WHERE x.order_id = o.order_id)"
+#: Order row o is delivered and has items.
+SOLD = "o.order_status = 'delivered' AND EXISTS (FROM order_items x WHERE x.order_id = o.order_id)"
+#: First day of the purchase month of order row o.
+MONTH = "CAST(make_date(year(o.order_purchase_timestamp), month(o.order_purchase_timestamp), 1) AS DATE)"
+#: The person behind order row o, once per customer record.
+BUYER = "customers b ON b.customer_id = o.customer_id"
