@@ -4,23 +4,21 @@ A rising sequence of n numbers below u keeps the lowest l = log2(u / n) bits of
 each number as they are. The higher parts go into a bit vector: for each value
 of the higher part, a one per number that has it and then a zero. The place of
 the h-th zero gives where the numbers with higher part h end, so a search is
-two selects and a binary search among the few numbers that share their higher part.
+two selects and a binary search among the numbers that share their higher part.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-EVERY = 8  # the place of every eighth zero is stored
 U64 = np.uint64
-ONE = U64(1)
 
 
 class EliasFano:
-    FIELDS = ("low", "more", "bits", "zeros")
+    FIELDS = ("low", "more", "bits", "ranks")
 
-    def __init__(self, base: int, n: int, shift: int, low: np.ndarray, more: np.ndarray, bits: np.ndarray, zeros: np.ndarray):
-        self.base, self.n, self.shift, self.low, self.more, self.bits, self.zeros = base, n, shift, low, more, bits, zeros
+    def __init__(self, base: int, n: int, shift: int, low: np.ndarray, more: np.ndarray, bits: np.ndarray, ranks: np.ndarray):
+        self.base, self.n, self.shift, self.low, self.more, self.bits, self.ranks = base, n, shift, low, more, bits, ranks
         self.top = 0 if not n else None
 
     @classmethod
@@ -40,32 +38,28 @@ class EliasFano:
         size = n + int(high[-1]) + 1
         flags = np.zeros(-(-size // 64) * 64 + 64, dtype=bool)
         flags[high + np.arange(n)] = True
-        zeros = np.flatnonzero(~flags[:size])[::EVERY]
-        zeros = zeros.astype(np.uint32 if size < 2 ** 32 else np.uint64)
-        return cls(base, n, shift, low.astype(kind), more, np.packbits(flags, bitorder="little").view(U64), zeros)
+        bits = np.packbits(flags, bitorder="little").view(U64)
+        # zeros before each word of 64 bits
+        ranks = np.concatenate([[0], np.cumsum(64 - np.bitwise_count(bits).astype(np.int64))[:-1]])
+        return cls(base, n, shift, low.astype(kind), more, bits, ranks.astype(np.uint32 if size < 2 ** 32 else U64))
 
     def low_at(self, i: np.ndarray) -> np.ndarray:
         low = self.low[i].astype(np.int64)
         return low | self.more[i].astype(np.int64) << 16 if len(self.more) else low
 
     def select0(self, k: np.ndarray) -> np.ndarray:
-        """The place of the k-th zero, from 0."""
-        at = self.zeros[k // EVERY].astype(U64)
-        left = (k % EVERY).astype(np.int64)
-        word = (at >> U64(6)).astype(np.int64)
-        x = ~self.bits[word] & (U64(0xFFFFFFFFFFFFFFFF) << (at & U64(63)))
-        count = np.bitwise_count(x).astype(np.int64)
-        short = np.flatnonzero(left >= count)
-        while len(short):
-            left[short] -= count[short]
-            word[short] += 1
-            x[short] = ~self.bits[word[short]]
-            count[short] = np.bitwise_count(x[short])
-            short = short[left[short] >= count[short]]
-        for _ in range(EVERY - 1):
-            x = np.where(left > 0, x & (x - ONE), x)
-            left -= 1
-        return word * 64 + np.bitwise_count((x & (~x + ONE)) - ONE).astype(np.int64)
+        """The place of the k-th zero, from 0: the word by binary search on the ranks, the bit by halving the word."""
+        word = np.searchsorted(self.ranks, k.astype(self.ranks.dtype), side="right") - 1
+        left = k - self.ranks[word].astype(np.int64)
+        x, place = ~self.bits[word], word * 64
+        for width in (32, 16, 8, 4, 2, 1):
+            low = x & U64((1 << width) - 1)
+            count = np.bitwise_count(low).astype(np.int64)
+            upper = left >= count
+            left -= np.where(upper, count, 0)
+            x = np.where(upper, x >> U64(width), low)
+            place += np.where(upper, width, 0)
+        return place
 
     def lower_bound(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(how many numbers are below each key, whether the key is there)."""

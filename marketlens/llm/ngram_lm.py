@@ -19,8 +19,8 @@ probability and each back-off weight (absolute discounting, interpolated down
 to add-one word probabilities).
 
 Model files are Parquet tables in the shared checkpoint folder. Each executor
-fetches them once (``addFile``; nothing passes through the driver's memory) and
-memory-maps the arrays, so its workers share one copy. Scoring is a fourth
+fetches them once (``addFile``; nothing passes through the driver's memory),
+unpacks the arrays and memory-maps them, so its workers share one copy. Scoring is a fourth
 pass; a text's n-grams are looked up by array operations.
 
 Defined results: a null text is empty and has the end token only. Scores are per
@@ -31,6 +31,8 @@ a token never needs more than the two words before it in its own text.
 
 from __future__ import annotations
 
+import fcntl
+import json
 import os
 import uuid
 from collections.abc import Iterator
@@ -52,6 +54,10 @@ STEPS = 24.0
 #: Pairs or triples that a task holds before it sends their sums.
 HELD = 4_000_000
 SHARD_KEYS = 4_000_000
+#: Counts of contexts are stored as 16-bit logarithms, within 0.02 per cent.
+COUNT_STEPS = 2048
+#: A shard's arrays: those of its Elias-Fano sequence, probability codes, counts.
+ARRAYS = (*EliasFano.FIELDS, "codes", "counts")
 #: What stands for the hash of the end token.
 END = 0x5DEECE66D1234567
 
@@ -108,21 +114,38 @@ def publish(df: DataFrame, path: str) -> list[str]:
     return [p.rsplit("/", 1)[1] for p in paths]
 
 
-def mapped(name: str, make) -> np.ndarray:
-    """A memory-mapped array next to the fetched files; made by the first worker that needs it."""
-    path = os.path.join(SparkFiles.getRootDirectory(), f"{name}.npy")
-    if not os.path.exists(path):
-        part = f"{path}.{os.getpid()}"
-        with open(part, "wb") as f:
-            np.save(f, make())
-        os.replace(part, path)
-    return np.load(path, mmap_mode="r" if os.path.getsize(path) > 128 else None)  # the header alone has 128 bytes
-
-
-def fetched(files: list[str], columns: list[str]) -> Iterator[dict[str, np.ndarray]]:
-    for f in files:
-        t = pq.read_table(SparkFiles.get(f), columns=columns)
-        yield {c: t.column(c) for c in columns}
+def unpacked(tag: str, files: list[str], make) -> dict:
+    """The arrays that ``make`` draws from fetched files, memory-mapped, and its other values.
+
+    The first worker of an executor that needs them saves them beside the fetched
+    files and removes those; the others wait for it and then share the mapped pages.
+    """
+    root = SparkFiles.getRootDirectory()
+    done = os.path.join(root, f"{tag}.json")
+    if not os.path.exists(done):
+        with open(os.path.join(root, f"{tag}.lock"), "w") as lock:
+            fcntl.flock(lock, fcntl.LOCK_EX)
+            if not os.path.exists(done):
+                arrays, values = make([SparkFiles.get(f) for f in files])
+                for name, array in arrays.items():
+                    np.save(os.path.join(root, f"{tag}-{name}.npy"), array)
+                with open(f"{done}.part", "w") as f:
+                    json.dump({"arrays": list(arrays), "values": values}, f)
+                os.replace(f"{done}.part", done)
+                for f in files:
+                    os.remove(SparkFiles.get(f))
+    with open(done) as f:
+        known = json.load(f)
+    out = dict(known["values"])
+    for name in known["arrays"]:
+        path = os.path.join(root, f"{tag}-{name}.npy")
+        # a file of 128 bytes is a header without an array
+        out[name] = np.load(path, mmap_mode="r" if os.path.getsize(path) > 128 else None).view(np.ndarray)
+    return out
+
+
+def column(paths: list[str], name: str, kind) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *(np.asarray(pq.read_table(p, columns=[name]).column(name)).astype(kind) for p in paths)])
 
 
 class Vocabulary:
@@ -133,11 +156,12 @@ class Vocabulary:
 
     def load(self) -> "Vocabulary":
         if self.hashes is None:
-            def column(name: str, kind):
-                return lambda: np.concatenate([np.zeros(0, kind), *(np.asarray(c[name]).astype(kind) for c in fetched(self.files, [name]))])
+            def make(paths):
+                n = column(paths, "n", np.int64)
+                return {"h": column(paths, "h", np.int64), "n": n.astype(np.uint32) if n.max(initial=0) < 2 ** 32 else n}, {"total": int(n.sum())}
 
-            self.hashes, self.counts = mapped(f"{self.tag}-h", column("h", np.int64)), mapped(f"{self.tag}-n", column("n", np.int64))
-            self.total, self.size = int(self.counts.sum()), len(self.counts)
+            found = unpacked(self.tag, self.files, make)
+            self.hashes, self.counts, self.total, self.size = found["h"], found["n"], found["total"], len(found["h"])
         return self
 
     def __getstate__(self):
@@ -153,7 +177,7 @@ class Vocabulary:
 
     def probability(self, ids: np.ndarray) -> np.ndarray:
         """Add-one probability of words; of an unknown word for -1."""
-        known = np.where(ids >= 0, self.counts[ids] if self.size else 0, 0)
+        known = np.where(ids >= 0, self.counts[ids].astype(np.int64) if self.size else 0, 0)
         return (known + 1) / (self.total + self.size + 1)
 
 
@@ -168,25 +192,25 @@ class Level:
 
     def load(self) -> "Level":
         if self.keys is None:
-            shards = []
-            for i, f in enumerate(self.files):
-                for j, row in enumerate(pq.read_table(SparkFiles.get(f), columns=["base", "n", "shift", "low_kind", "zeros_kind"]).to_pylist()):
-                    def field(name: str, kind, f=f, i=i, j=j) -> np.ndarray:
-                        return mapped(f"{self.tag}-{i}-{j}-{name}", lambda: np.frombuffer(pq.read_table(SparkFiles.get(f), columns=[name]).column(name)[j].as_py(), dtype=kind))
-
-                    ef = EliasFano(row["base"], row["n"], row["shift"], field("low", row["low_kind"]), field("more", np.uint8), field("bits", U64), field("zeros", row["zeros_kind"]))
-                    shards.append((ef, field("codes", np.uint8), field("counts", np.uint32)))
-            shards.sort(key=lambda s: s[0].base)
-            self.keys = Shards([s[0] for s in shards])
-            self.codes, self.counts = [s[1] for s in shards], [s[2] for s in shards]
-
-            def weights() -> np.ndarray:
+            def weights(paths):
                 out = np.zeros(self.n_contexts, dtype=np.uint8)  # code 0: weight 1, for contexts without successors
-                for c in fetched(self.context_files, ["context", "weight"]):
-                    out[np.asarray(c["context"])] = np.asarray(c["weight"]).astype(np.uint8)
-                return out
-
-            self.weights = mapped(f"{self.tag}-weights", weights)
+                for p in paths:
+                    out[column([p], "context", np.int64)] = column([p], "weight", np.uint8)
+                return {"weights": out}, {}
+
+            def shards(paths):
+                arrays, heads = {}, []
+                for p in paths:
+                    for row in pq.read_table(p).to_pylist():
+                        arrays |= {f"{len(heads)}-{x}": np.frombuffer(row[x], dtype=row["kinds"][i]) for i, x in enumerate(ARRAYS)}
+                        heads.append([row["base"], row["n"], row["shift"]])
+                return arrays, {"heads": heads}
+
+            self.weights = unpacked(f"{self.tag}-weights", self.context_files, weights)["weights"]
+            found = unpacked(f"{self.tag}-shards", self.files, shards) if self.files else {"heads": []}
+            made = sorted(((head, [found[f"{i}-{x}"] for x in ARRAYS]) for i, head in enumerate(found["heads"])), key=lambda x: x[0][0])
+            self.keys = Shards([EliasFano(*head, *arrays[:4]) for head, arrays in made])
+            self.codes, self.counts = [a[4] for _, a in made], [a[5] for _, a in made]
         return self
 
     def key_of(self, i: np.ndarray) -> np.ndarray:
@@ -210,7 +234,7 @@ class Level:
         return restored(self._pick(self.codes, i))
 
     def count(self, i: np.ndarray) -> np.ndarray:
-        return self._pick(self.counts, i)
+        return 2 ** (self._pick(self.counts, i) / COUNT_STEPS)
 
     def backoff(self, context: np.ndarray) -> np.ndarray:
         """log10 of the weights of contexts; 0 for -1."""
@@ -365,11 +389,13 @@ class Trainer:
             back = half.load().backoff(context)
             p = (n - DISCOUNT) / np.maximum(count_of(context), 1) + 10 ** (back + lower_log(context, word))
             ef = EliasFano.build(keys)
-            row = {"base": ef.base, "n": ef.n, "shift": ef.shift, "low_kind": ef.low.dtype.str, "zeros_kind": ef.zeros.dtype.str, "codes": quantised(np.log10(np.minimum(p, 1.0))).tobytes(), "counts": np.minimum(n, 2 ** 32 - 1).astype(np.uint32).tobytes()}
-            row |= {x: np.ascontiguousarray(getattr(ef, x)).tobytes() for x in EliasFano.FIELDS}
-            yield pa.RecordBatch.from_pylist([row], schema=pa.schema([(k, pa.int64() if isinstance(v, int) else pa.string() if isinstance(v, str) else pa.binary()) for k, v in row.items()]))
+            arrays = [*(np.ascontiguousarray(getattr(ef, x)) for x in EliasFano.FIELDS), quantised(np.log10(np.minimum(p, 1.0))),
+                      np.minimum(np.rint(np.log2(n) * COUNT_STEPS), 2 ** 16 - 1).astype(np.uint16)]
+            row = {"base": ef.base, "n": ef.n, "shift": ef.shift, "kinds": [a.dtype.str for a in arrays]} | {x: a.tobytes() for x, a in zip(ARRAYS, arrays)}
+            kinds = {"base": pa.int64(), "n": pa.int64(), "shift": pa.int64(), "kinds": pa.list_(pa.string())}
+            yield pa.RecordBatch.from_pylist([row], schema=pa.schema([(k, kinds.get(k, pa.binary())) for k in row]))
 
-        schema = "base long, n long, shift long, low_kind string, zeros_kind string, codes binary, counts binary, low binary, more binary, bits binary, zeros binary"
+        schema = "base long, n long, shift long, kinds array<string>, " + ", ".join(f"{x} binary" for x in ARRAYS)
         table = self.scratch.put(counts.repartitionByRange(shards, "key").sortWithinPartitions("key").mapInArrow(build, schema), f"{name}-shards")
         return Level(publish(table, self.scratch.path(f"{name}-shards")), half.context_files, n_contexts, f"{self.tag}-{name}")
 
@@ -399,6 +425,7 @@ class Trainer:
             return half.triple_keys(ids, half.pair_numbers(ids, follows), follows)[1] if len(half.pairs.keys) else np.zeros(0, dtype=np.int64)
 
         n_pairs = counts.count()
+        self.scratch.drop("pairs")
 
         def below(context: np.ndarray, rank: np.ndarray) -> np.ndarray:
             """log10 of the pair probability of a triple's last two words."""
@@ -406,6 +433,7 @@ class Trainer:
             return pairs.log(pairs.keys.lower_bound(middle * size)[0] + rank)
 
         triples = self.level(self.counted(triple_keys, "triples"), int(widest), n_pairs, lambda c: pairs.load().count(c), below, "triples")
+        self.scratch.drop("triples")
         return Model(words, pairs, triples, int(widest))
 
 

@@ -226,7 +226,7 @@ def test_elias_fano_search():
         v = np.unique(np.concatenate([v, np.arange(v[0] + 729, v[0] + 1700)])) if n > 900 else v
         q = np.concatenate([v, v + 1, v - 1, rng.integers(0, u + 20, 500), [0, u * 3]])
         assert (elias_fano.EliasFano.build(v).values() == v).all()
-        for parts in (1, 3):
+        for parts in (1, 3):  # one shard and several
             s = elias_fano.Shards([elias_fano.EliasFano.build(x) for x in np.array_split(v, parts)])
             at, found = s.lower_bound(q)
             assert (at == np.searchsorted(v, q)).all() and (found == np.isin(q, v)).all()
