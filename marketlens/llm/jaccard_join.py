@@ -17,7 +17,8 @@ key), so copies cost one row each and nothing more.
    (a star), so a list of k classes gives k - 1 pairs. Of a class's pairs the
    one that most lists ask for is looked at first; further pairs are looked at
    only if their classes are still in different components, first the other
-   star pairs, then all pairs of lists that still hold several components.
+   star pairs, then all pairs of lists of three or more that still hold several
+   components.
    So no link between components is missed, and copies never meet all copies.
 4. Pairs are grouped by one of their classes, the query, in chunks of bounded
    size. ``divide_skip`` finds the documents of a chunk that reach the required
@@ -42,6 +43,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +52,8 @@ from marketlens.llm.common import SPACES, Scratch, texts_in_steps
 WIDTH = 5
 #: log2 of the counters that order shingles by frequency, and of those in one shuffled block.
 COUNTERS, BLOCK = 20, 14
+#: log2 of the bits of the bitmap of wanted classes.
+MARKS = 23
 #: Classes that one group of ``divide_skip`` searches.
 CHUNK = 256
 #: Lists whose counter reaches this are dealt out over several tasks, by class; see ``lists``.
@@ -126,6 +130,15 @@ def class_key(s: np.ndarray) -> int:
     return int(mix(np.array([mix(s ^ U64(0xA5A5A5A5A5A5A5A5)).sum(dtype=U64) + U64(len(s))], dtype=U64)).view(np.int64)[0])
 
 
+def mark_of(nodes: np.ndarray) -> np.ndarray:
+    return (mix(nodes.view(U64)) >> U64(64 - MARKS)).astype(np.int64)
+
+
+def is_marked(bits: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    at = mark_of(nodes)
+    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
 def probe_length(n: int) -> int:
     return n - (3 * n + 3) // 4 + 1
 
@@ -246,12 +259,12 @@ class JaccardJoin:
 
     # step 2 and 3 -------------------------------------------------------------------------------------
     def lists(self, counters: np.ndarray, buckets: int) -> DataFrame:
-        """h, node, n, pos, hub, hub_n, hub_pos: the members of each inverted list with at least two classes.
+        """h, node, n, pos, hub, hub_n, hub_pos, k: the members of each inverted list with at least two (k) classes.
 
         Lists travel as one binary value per task and bucket of shingles, which
         holds the members sorted by shingle. The hub is the smallest class of a
         list. A list with a high counter is split by class over several buckets,
-        each with a hub of its own; ``stars`` joins those hubs.
+        each with a hub of its own (and k above 3); ``stars`` joins those hubs.
         """
         shared, width, hot = self.spark.sparkContext.broadcast(counters), self.width, self.hot
 
@@ -276,24 +289,27 @@ class JaccardJoin:
         def flush(held) -> pa.RecordBatch:
             h = np.concatenate([x for _, _, x in held])
             sizes = [len(x) for _, _, x in held]
-            node, n = np.repeat(np.array([a for a, _, _ in held], dtype=np.int64), sizes), np.repeat(np.array([b for _, b, _ in held], dtype=np.uint32), sizes)
+            nodes, ns = np.array([a for a, _, _ in held], dtype=np.int64), np.array([b for _, b, _ in held], dtype=np.uint32)
+            doc = np.repeat(np.arange(len(held), dtype=np.uint32), sizes)
             pos = np.arange(len(h), dtype=np.uint32) - np.repeat((np.cumsum(sizes) - sizes).astype(np.uint32), sizes)
             split = shared.value[(h >> U64(64 - COUNTERS)).astype(np.int64)] // hot + 1
-            bucket = (mix(h + mix(node.view(U64)) % split.astype(U64)) % U64(buckets)).astype(np.int64)
+            bucket = (mix(h + mix(nodes[doc].view(U64)) % split.astype(U64)) % U64(buckets)).astype(np.int64)
             by = np.lexsort((h, bucket))
-            h, node, n, pos, bucket = h[by], node[by], n[by], pos[by], bucket[by]
+            h, doc, pos, bucket = h[by], doc[by], pos[by], bucket[by]
             at = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-            out: list[list] = [[] for _ in range(5)]
+            out: list[list] = [[] for _ in range(6)]
             for a, b in zip(at, [*at[1:], len(h)]):
-                for col, x in zip(out, (int(bucket[a]), _plane(np.diff(h[a:b], prepend=U64(0))), node[a:b].tobytes(), _plane(n[a:b]), _plane(pos[a:b]))):
+                used, index = np.unique(doc[a:b], return_inverse=True)  # a block names its classes once
+                for col, x in zip(out, (int(bucket[a]), _plane(np.diff(h[a:b], prepend=U64(0))), nodes[used].tobytes(), _plane(ns[used]), _plane(index.astype(np.uint32)), _plane(pos[a:b]))):
                     col.append(x)
-            return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), *(pa.array(x, pa.binary()) for x in out[1:])], names=["bucket", "h", "node", "n", "pos"])
+            return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), *(pa.array(x, pa.binary()) for x in out[1:])], names=["bucket", "h", "node", "n", "doc", "pos"])
 
         def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts: dict[int, list] = {}
             for b in batches:
                 for row in b.to_pylist():
-                    parts.setdefault(row["bucket"], []).append((np.cumsum(_unplane(row["h"], U64)), np.frombuffer(row["node"], dtype=np.int64), _unplane(row["n"], np.uint32), _unplane(row["pos"], np.uint32)))
+                    doc = _unplane(row["doc"], np.uint32)
+                    parts.setdefault(row["bucket"], []).append((np.cumsum(_unplane(row["h"], U64)), np.frombuffer(row["node"], dtype=np.int64)[doc], _unplane(row["n"], np.uint32)[doc], _unplane(row["pos"], np.uint32)))
             for key in sorted(parts):
                 h, node, n, pos = (np.concatenate(x) for x in zip(*parts.pop(key)))
                 split = shared.value[(h >> U64(64 - COUNTERS)).astype(np.int64)] >= hot
@@ -311,17 +327,17 @@ class JaccardJoin:
                 size = np.diff(np.append(first, len(h)))
                 keep, hub = np.repeat(size > 1, size) | split, np.repeat(first, size)
                 if keep.any():
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h[keep].view(np.int64), node[keep], n[keep].astype(np.int64), pos[keep].astype(np.int64), node[hub][keep], n[hub][keep].astype(np.int64), pos[hub][keep].astype(np.int64))], names=["h", "node", "n", "pos", "hub", "hub_n", "hub_pos"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h[keep].view(np.int64), node[keep], n[keep].astype(np.int64), pos[keep].astype(np.int64), node[hub][keep], n[hub][keep].astype(np.int64), pos[hub][keep].astype(np.int64), (np.repeat(size, size) + 3 * split)[keep])], names=["h", "node", "n", "pos", "hub", "hub_n", "hub_pos", "k"])
 
-        sent = self.docs.mapInArrow(send, "bucket long, h binary, node binary, n binary, pos binary").repartition("bucket")
-        return self.scratch.put(sent.mapInArrow(gather, "h long, node long, n long, pos long, hub long, hub_n long, hub_pos long"), "lists")
+        sent = self.docs.mapInArrow(send, "bucket long, h binary, node binary, n binary, doc binary, pos binary").repartition("bucket")
+        return self.scratch.put(sent.mapInArrow(gather, "h long, node long, n long, pos long, hub long, hub_n long, hub_pos long, k long"), "lists")
 
     def stars(self, lists: DataFrame) -> DataFrame:
         """node, query, shared: pairs of a class and a hub, and how many lists ask for each."""
         hubs = lists.where("node = hub")
         top = hubs.groupBy("h").agg(F.min(F.struct("node", "n", "pos")).alias("top"), F.count("*").alias("hubs")).where("hubs > 1")
         over = hubs.join(top, "h").select("node", "n", "pos", F.col("top.node").alias("hub"), F.col("top.n").alias("hub_n"), F.col("top.pos").alias("hub_pos"))
-        pairs = lists.drop("h").unionByName(over).where("node <> hub").where(self.possible("n", "pos", "hub_n", "hub_pos"))
+        pairs = lists.drop("h", "k").unionByName(over).where("node <> hub").where(self.possible("n", "pos", "hub_n", "hub_pos"))
         return self.scratch.put(pairs.groupBy("node", F.col("hub").alias("query")).agg(F.count("*").alias("shared")), "stars")
 
     @staticmethod
@@ -336,28 +352,68 @@ class JaccardJoin:
         return (4 * F.least(a, b) >= 3 * F.greatest(a, b)) & (F.least(a - p, b - q) >= need) & smaller_first
 
     # step 4 -------------------------------------------------------------------------------------------
-    def sets_of(self, nodes: DataFrame, sized: DataFrame) -> DataFrame:
-        """node, shingles (binary) of the given classes, each from one of its documents."""
-        one = sized.where("n_shingles > 0").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-        rows = self.docs.join(one, "doc_id", "left_semi").unionByName(self.docs.where("doc_id IS NULL")).select("text")
-        width = self.width
+    def marked(self, nodes: DataFrame) -> np.ndarray:
+        """A bitmap of fixed size (2^MARKS bits) with the classes' bits set."""
+        def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bits = np.zeros(1 << MARKS, dtype=bool)
+            for b in batches:
+                bits[mark_of(np.asarray(b.column("node")))] = True
+            blocks = np.packbits(bits).reshape(-1, 1 << BLOCK)
+            full = np.flatnonzero(blocks.any(axis=1))
+            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.array([blocks[i].tobytes() for i in full], pa.binary())], names=["block", "bits"])
+
+        def join(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+            total = np.zeros(1 << BLOCK, dtype=np.uint8)
+            for raw in frame["bits"]:
+                total |= np.frombuffer(raw, dtype=np.uint8)
+            return pd.DataFrame({"block": [key[0]], "bits": [total.tobytes()]})
+
+        table = np.zeros((1 << MARKS - 3 - BLOCK, 1 << BLOCK), dtype=np.uint8)
+        for block, raw in nodes.select("node").mapInArrow(mark, "block long, bits binary").groupBy("block").applyInPandas(join, "block long, bits binary").collect():
+            table[block] = np.frombuffer(raw, dtype=np.uint8)
+        return table.ravel()
+
+    def sets_of(self, nodes: DataFrame, name: str) -> DataFrame:
+        """node, task, shingles (binary) of the given classes, at least; a class that several tasks met has a row from each.
+
+        Texts are hashed again rather than moved: the bitmap tells each task which
+        classes may be wanted, and it keeps one copy of each.
+        """
+        bits, width = self.spark.sparkContext.broadcast(self.marked(nodes)), self.width
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            hasher = Hasher(width)
+            hasher, known, task = Hasher(width), set(), TaskContext.get().partitionId()
             for _, texts in texts_in_steps(batches):
-                sets = hasher.sets(texts)
-                yield pa.RecordBatch.from_arrays([pa.array([class_key(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "shingles"])
+                found = []
+                for s in hasher.sets(texts):
+                    node = class_key(s) if len(s) else None
+                    if node is not None and node not in known and is_marked(bits.value, np.array([node]))[0]:
+                        known.add(node)
+                        found.append((node, s.tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([task] * len(found), pa.int32()), pa.array([x for _, x in found], pa.binary())], names=["node", "task", "shingles"])
+
+        return self.scratch.put(self.docs.select("text").mapInArrow(run, "node long, task int, shingles binary"), name)
+
+    def among(self, sets: DataFrame, nodes: DataFrame) -> DataFrame:
+        """The rows of ``sets`` that may belong to the given classes, by bitmap, so that few are moved."""
+        bits = self.spark.sparkContext.broadcast(self.marked(nodes))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield b.filter(pa.array(is_marked(bits.value, np.asarray(b.column("node")))))
 
-        found = rows.mapInArrow(run, "node long, shingles binary").join(nodes, "node", "left_semi")
-        return self.scratch.put(found.dropDuplicates(["node"]), "sets")
+        return sets.mapInArrow(run, sets.schema)
 
     def verified(self, pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
         """The similar ones of the pairs (query, node), found by T-occurrence search for each query."""
         chunks = pairs.groupBy("query").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
-        spread = pairs.join(chunks, "query").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
-        members = spread.join(sets, "node").select("query", "chunk", "node", "shingles")
-        asked = chunks.select(F.col("query").alias("asker"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("part"))
-        queries = asked.join(sets.select(F.col("node").alias("asker"), F.col("shingles").alias("own")), "asker")
+        nodes = pairs.select("node").unionByName(pairs.select(F.col("query").alias("node")))
+        own = self.among(sets, nodes)
+        which = sets.select("node", "task").groupBy("node").agg(F.min("task").alias("task"))
+        spread = pairs.join(chunks, "query").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks"))).join(which, "node")
+        members = spread.join(own, ["node", "task"]).select("query", "chunk", "node", "shingles")
+        asked = chunks.select(F.col("query").alias("node"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("part")).join(which, "node")
+        queries = asked.join(own, ["node", "task"]).select(F.col("node").alias("asker"), "part", F.col("shingles").alias("own"))
 
         def search(key: tuple, found: pd.DataFrame, query: pd.DataFrame) -> pd.DataFrame:
             if not len(found) or not len(query):
@@ -400,10 +456,10 @@ class JaccardJoin:
 
     def links(self, sized: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(links between classes that connect all that is connected, the classes' labels)."""
-        inputs = max(self.docs.rdd.getNumPartitions(), 1)
-        lists = self.lists(self.counters(sized), 4 * inputs)
+        buckets = max(self.docs.rdd.getNumPartitions(), 12)
+        lists = self.lists(self.counters(sized), buckets)
         stars = self.stars(lists)
-        sets = self.sets_of(lists.select("node").distinct(), sized)
+        sets = self.sets_of(stars.select("node").unionByName(stars.select(F.col("query").alias("node"))), "sets")
         best = stars.groupBy("node").agg(F.max_by("query", F.struct("shared", "query")).alias("query"))
         links = self.verified(best, sets, "links-best")
         labels = self.labels(links, "best")
@@ -416,7 +472,8 @@ class JaccardJoin:
         links = links.unionByName(self.verified(apart.join(best, ["node", "query"], "left_anti"), sets, "links-stars"))
         labels = self.labels(links, "stars")
 
-        members = label(lists.select("h", "node", "n", "pos"), "node", "x")
+        # The only pair of a list with two classes is its star.
+        members = label(lists.where("k > 2").select("h", "node", "n", "pos"), "node", "x")
         several = members.groupBy("h").agg(F.min("x").alias("low"), F.max("x").alias("high")).where("low <> high").select("h")
         members = self.scratch.put(members.join(several, "h", "left_semi"), "members")
         left = members.select("h", *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "pos", "x")))
@@ -424,7 +481,10 @@ class JaccardJoin:
         pairs = left.join(right, "h").where((F.col("x_a") < F.col("x_b")) & self.possible("n_a", "pos_a", "n_b", "pos_b"))
         tried = stars.select("node", "query").unionByName(stars.select(F.col("query").alias("node"), F.col("node").alias("query")))
         pairs = pairs.select(F.col("node_a").alias("query"), F.col("node_b").alias("node")).distinct().join(tried, ["node", "query"], "left_anti")
-        links = links.unionByName(self.verified(self.scratch.put(pairs, "pairs"), sets, "links-rest"))
+        pairs = self.scratch.put(pairs, "pairs")
+        if not pairs.isEmpty():
+            more = self.sets_of(pairs.select("node").unionByName(pairs.select(F.col("query").alias("node"))), "more-sets")
+            links = links.unionByName(self.verified(pairs, more, "links-rest"))
         return links, self.labels(links, "all")
 
     def components(self) -> DataFrame:
