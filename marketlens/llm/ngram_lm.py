@@ -52,8 +52,8 @@ DISCOUNT, KEEP = 0.75, 2
 #: Logarithms are stored as one byte, in steps of 1 / STEPS.
 STEPS = 24.0
 #: Pairs or triples that a task holds before it sends their sums.
-HELD = 4_000_000
-SHARD_KEYS = 4_000_000
+HELD = 1_500_000
+SHARD_KEYS = 2_000_000
 #: Counts of contexts are stored as 16-bit logarithms, within 0.02 per cent.
 COUNT_STEPS = 2048
 #: A shard's arrays: those of its Elias-Fano sequence, probability codes, counts.
