@@ -12,7 +12,8 @@ Index
 Search
     For a query, one priority queue over the nodes of all trees, ordered by the
     smallest margin to the planes crossed so far, yields leaves until they hold
-    ``candidates`` entries. Leaf members and the queries that chose the leaf
+    ``share`` of all trees' entries, and ``candidates`` at least, so the part of
+    a table that is looked at does not fall as the table grows. Leaf members and the queries that chose the leaf
     meet in blocks of at most about BLOCK_ROWS entries, where cosines are
     computed exactly in double precision, and each block returns its best few.
 
@@ -36,7 +37,8 @@ from pyspark.sql import functions as F
 from marketlens.llm.common import Scratch
 
 SAMPLE, LEAF_ROWS, BLOCK_ROWS = 20_000, 128, 4096
-TREES, CANDIDATES = 8, 36_000
+#: Leaf members looked at per query: SHARE of trees x entries, and CANDIDATES at least.
+TREES, SHARE, CANDIDATES = 8, 0.09, 36_000
 INF = float("inf")
 
 
@@ -140,7 +142,7 @@ def usable(col: str) -> Column:
 
 
 def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 5,
-            trees: int = TREES, candidates: int = CANDIDATES, sample_rows: int = SAMPLE) -> DataFrame:
+            trees: int = TREES, candidates: int = CANDIDATES, sample_rows: int = SAMPLE, share: float = SHARE) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of each row where ``is_query`` holds."""
     spark = vectors.sparkSession
     scratch = Scratch(spark, "rp-forest")
@@ -161,6 +163,7 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_co
     queries = rows.where("asks").select(F.col("id").alias("query_id"), "v").join(entries.select("v", "node"), "v").select("query_id", "node")
 
     count = entries.count()
+    wanted = max(candidates, int(np.ceil(share * trees * count)))
     part = min(1.0, sample_rows / max(count, 1))
     chosen = entries.where(F.pmod(F.xxhash64("node"), F.lit(1 << 20)) < int(part * (1 << 20)) if part < 1 else F.lit(True))
     sample = matrix(chosen.orderBy("node").select("v").toArrow().column("v"))
@@ -184,7 +187,7 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_co
         for b in batches:
             out: list[list] = [[] for _ in range(4)]
             for i, x in enumerate(matrix(b.column("v")) if b.num_rows else ()):
-                for tree, leaf in shared.value.search(x, sizes_shared.value, candidates):
+                for tree, leaf in shared.value.search(x, sizes_shared.value, wanted):
                     for block in range(-(-sizes_shared.value[tree, leaf] // BLOCK_ROWS)):
                         for col, y in zip(out, (i, tree, leaf, block)):
                             col.append(y)

@@ -148,6 +148,24 @@ def test_neighbours_recall_and_small_tables(spark):
     assert rp_forest.nearest(df.limit(0), F.lit(True)).count() == 0 and rp_forest.nearest(df, F.lit(False)).count() == 0
 
 
+@pytest.mark.parametrize("n", [50_000, 200_000])
+def test_neighbours_recall_does_not_fall_as_the_table_grows(spark, tmp_path, n):
+    """Isotropic vectors, where no tree prunes well, with the defaults."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    x = np.random.default_rng(n).standard_normal((n, 64)).astype(np.float32)
+    vectors = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), 64).cast(pa.list_(pa.float32()))
+    pq.write_table(pa.table({"vec_id": pa.array(np.arange(n)), "embedding": vectors}), tmp_path / "v.parquet", row_group_size=10_000)
+    got = found_neighbours(rp_forest.nearest(spark.read.parquet(str(tmp_path / "v.parquet")), F.col("vec_id") % (n // 100) == 0))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hits = 0
+    for q in range(0, n, n // 100):
+        cosine = unit @ unit[q]
+        cosine[q] = -2
+        hits += len({i for i, _, _ in got[q]} & set(np.argpartition(-cosine, 5)[:5].tolist()))
+    assert len(got) == 100 and hits >= 0.9 * 500
+
+
 # N-gram model -------------------------------------------------------------------------------------------
 def words_of(t: str | None) -> list:
     return re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")) + [None]
