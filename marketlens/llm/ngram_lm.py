@@ -1,13 +1,13 @@
 """An interpolated n-gram language model (up to three words) in an Elias-Fano trie.
 
 Training documents are counted in three Arrow passes, one per order, each with
-numpy sums within the task and Spark sums across tasks:
+numpy sums within the task and Spark sums across tasks; every pair and triple
+that is counted is in the model:
 
 1. words: every distinct word with its exact count (the counts of the base
    score too). A word's number is the rank of its 64-bit hash.
-2. pairs of word numbers, and 3. triples. Pairs and triples that occur once are
-   pruned, as is usual; a triple can only occur twice if both its pairs do, so
-   triples of other pairs are not even sent.
+2. pairs of word numbers, and 3. triples, each the number of its pair and the
+   last word's rank among the words that follow the middle one.
 
 The trie has a level per order. A level is a rising sequence of keys, context
 number x width + successor, so the successors of one context are one range of
@@ -48,7 +48,8 @@ from marketlens.llm.common import Scratch, texts_in_steps
 from marketlens.llm.elias_fano import EliasFano, Shards
 from marketlens.llm.jaccard_join import U64, Hasher, _plane, _unplane, mix
 
-DISCOUNT, KEEP = 0.75, 2
+#: KEEP: pairs and triples seen less often are left out of the trie; 1 leaves out none.
+DISCOUNT, KEEP = 0.75, 1
 #: Logarithms are stored as one byte, in steps of 1 / STEPS.
 STEPS = 24.0
 #: Pairs or triples that a task holds before it sends their sums.

@@ -232,6 +232,26 @@ def test_model_beats_single_words_on_held_out_texts(spark):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+class WholeModel(PlainModel):
+    """All counted pairs and triples, those seen once too."""
+
+    def __init__(self, texts):
+        super().__init__(texts)
+        self.kept = [None, *map(dict, self.n[1:])]
+        self.mass = [None, defaultdict(float), defaultdict(float)]
+        for k in (1, 2):
+            for g, n in self.kept[k].items():
+                self.mass[k][g[:-1]] += n - ngram_lm.DISCOUNT
+
+
+def test_model_has_pairs_and_triples_seen_once(spark):
+    texts = sf_texts()
+    got = by_id(queries.op4_score_ngram_trie(spark, SF))
+    model = WholeModel([t for i, t in texts.items() if crc7(i) != 2])
+    for i, t in texts.items():
+        assert abs(got[i]["score"] - model.score(t)) <= (1.5 / ngram_lm.STEPS) * got[i]["n_tokens"], i
+
+
 def test_model_without_training_rows(spark):
     got = by_id(ngram_lm.score(documents(spark, ["a b", None]), F.lit(False)))
     assert {(r["n_known"], r["train_tokens"], r["score"]) for r in got.values()} == {(0, 0, 0.0)}
