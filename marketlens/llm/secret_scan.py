@@ -3,9 +3,11 @@
 Ordinary words are cheap for a byte-pair vocabulary (four or more characters a
 token); random strings are not (two or fewer). Every run of key characters
 that is long enough is tokenised with the tiktoken vocabulary, and a run with
-few characters per token is a secret of kind ``token``, unless it is a known
-digest (hex of an md5/sha length), a UUID, or an identifier (words joined by
-_ - / or camel case, plain numbers).
+few characters per token is a secret of kind ``token``, unless it is a plain
+number or an identifier: words joined by _ - / or camel case, each of them cheap
+in tokens itself. Known digests (hex of an md5/sha length) and UUIDs are cut out
+of a run first. What is left is tested as a whole and, if that is no secret,
+part by part between / and =.
 
 Defined results: a null text is empty and has no spans; every row is scanned
 on its own, whole, so repeated rows give equal rows and an empty table none.
@@ -17,7 +19,7 @@ import base64
 import functools
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,8 +35,14 @@ RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 KINDS = ("assign", "access", "hex", "token")
 #: Hex lengths of md5, sha1, sha224, sha256, sha384, sha512.
 DIGESTS = {32, 40, 56, 64, 96, 128}
-UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+#: Digests and UUIDs, each with one mark on either side.
+KNOWN = re.compile(r"[/=_-]?(?<![0-9A-Za-z])(?:[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|%s)(?![0-9A-Za-z])[/=_-]?" % "|".join("[0-9a-f]{%d}" % n for n in sorted(DIGESTS, reverse=True)))
+PART = re.compile(r"[^/=]+")
+MIN_CHARS = 20
+SEGMENT = re.compile(r"[A-Za-z0-9]+")
 WORD_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+#: A word of an identifier has more characters per token than this.
+WORD_CHARS_PER_TOKEN = 2.5
 MAX_CHARS_PER_TOKEN = 2.1
 Span = tuple[str, int, int]
 
@@ -66,23 +74,37 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
-def is_known(run: str) -> bool:
-    """Digests, UUIDs and identifiers, which are no secrets although they look random."""
-    if UUID.search(run) or run.isdigit():
+def is_identifier(run: str, tokens: Callable[[str], int]) -> bool:
+    """Plain numbers, and runs that are mostly words: letters that are cheap in tokens themselves. What stands between marks with under four characters is no reason against."""
+    if run.isdigit() or len(set(run)) < 8:
         return True
-    hexed = run.strip("=-_/+")
-    if len(hexed) in DIGESTS and not hexed.strip("0123456789abcdef") or len(set(run)) < 8:
-        return True
-    parts = WORD_PARTS.findall(run)
-    in_words = sum(len(p) for p in parts if len(p) >= 4 and p.isalpha())
-    return not any(ch.isdigit() for ch in run) or in_words >= 0.7 * len(run)
+    in_words, rest = 0, 0
+    for segment in SEGMENT.findall(run):
+        for part in WORD_PARTS.findall(segment):
+            if len(part) >= 4 and part.isalpha() and len(part) > WORD_CHARS_PER_TOKEN * min(map(tokens, (part, part.lower(), " " + part.lower()))):
+                in_words += len(part)
+            elif len(segment) >= 4:
+                rest += len(part)
+            elif segment.isalpha() and tokens(segment) == 1:
+                in_words += len(part)
+    return in_words > 0 and in_words >= 0.7 * (in_words + rest)
 
 
 def token_spans(text: str, path: str, limit: float = MAX_CHARS_PER_TOKEN) -> list[Span]:
+    def tokens(s: str) -> int:
+        return len(encoding(path).encode_ordinary(s))
+
+    def random(s: str) -> bool:
+        return len(s) >= MIN_CHARS and len(s) < limit * tokens(s) and not is_identifier(s, tokens)
+
     out = []
     for m in RUN.finditer(text):
-        if not is_known(m[0]) and len(m[0]) < limit * len(encoding(path).encode_ordinary(m[0])):
-            out.append(("token", m.start(), m.end()))
+        edges = [m.start(), *(m.start() + x for k in KNOWN.finditer(m[0]) for x in k.span()), m.end()]
+        for start, end in zip(edges[::2], edges[1::2]):
+            if random(text[start:end]):
+                out.append(("token", start, end))
+            else:
+                out += [("token", *p.span()) for p in PART.finditer(text, start, end) if p.span() != (start, end) and random(p[0])]
     return out
 
 

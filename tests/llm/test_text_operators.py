@@ -103,6 +103,21 @@ def test_token_efficiency_finds_random_strings_only():
         assert secret_scan.scan(f"see {s} end", path)[1] == []
 
 
+def test_token_efficiency_finds_generated_keys():
+    import string
+    path, r = secret_scan.vocabulary(), random.Random(3)
+    low, up, digits = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    uuid = "123e4567-e89b-12d3-a456-426614174000"
+    for letters, n in ((low + up, 32), (low + digits, 24), (up + digits, 32), (up, 24), (low, 32), (low + up + digits, 40)):
+        keys = ["".join(r.choice(letters) for _ in range(n)) for _ in range(200)]
+        for before, after in (("see ", " end"), (f"see {uuid}/", " end"), (f"see {uuid}_", " end"), ("see ", f"-{uuid} end"), ("see path/to/some/readable/configuration/file=", " end")):
+            found = [secret_scan.scan(before + k + after, path)[1] for k in keys]
+            missed = [k for k, spans in zip(keys, found) if not any(s <= len(before) and len(before) + n <= e for _, s, e in spans)]
+            assert len(missed) <= 0.02 * len(keys), (before, after, missed)
+    for s in (uuid, f"{uuid}/{uuid}", "sha1/03ab3483a6f2ca32e394dda59d3c018beae3b800/readable_words_here", "SomeLongCamelCaseIdentifierName", "MAXIMUM_NUMBER_OF_RETRIES", "path/to/some/readable/configuration/file", "get_the_size_of_a_b_c_table"):
+        assert secret_scan.scan(f"see {s} end", path)[1] == [], s
+
+
 def test_secret_query(spark, odd):
     got = by_id(secret_scan.find_secrets(odd))
     for i, t in enumerate(odd_texts() + NOISE):
