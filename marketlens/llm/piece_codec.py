@@ -8,9 +8,10 @@ the end becomes one piece per UTF-8 byte.
 Two neighbouring characters can only be merged if they stand side by side in
 some piece. The vocabulary shows where that never happens (before a space mark,
 around line ends, between a letter and most marks), so a text falls into units
-that are encoded once each and kept in a bounded memo. Every unit that enters
-the memo is checked against the sentencepiece library, all new units of an
-Arrow batch in one call; ``whole=True`` also checks every whole text.
+that are encoded and decoded once each and kept in a bounded memo with their
+ids and the bytes these decode to; a text's decoding is made of those bytes.
+Every unit that enters the memo is checked against the sentencepiece library,
+ids and decoding, all new units of an Arrow batch in one call each; ``whole=True`` also checks every whole text.
 
 Defined results: a null text is empty, with no ids and an empty decoding. Rows
 are encoded one by one, so repeated rows get equal results; an empty table gives none.
@@ -22,7 +23,7 @@ import functools
 import hashlib
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -97,24 +98,27 @@ class Codec:
             out += [known] if known is not None else [self.byte_id[b] for b in s.encode("utf-8", "replace")]
         return out
 
-    def of_unit(self, unit: str) -> str:
-        """The decimal ids of a unit, joined by commas."""
+    def of_unit(self, unit: str) -> tuple[str, bytes]:
+        """The decimal ids of a unit, joined by commas, and the bytes that the ids decode to."""
         ids = self.encode_unit(unit)
         self.unchecked.append((unit, ids))
-        if self.decode_raw(ids) != unit.replace(MARK, " "):
-            raise AssertionError(f"the ids of {unit!r} decode to another text")
-        return ",".join(map(str, ids))
+        return ",".join(map(str, ids)), b"".join(map(self.raw.__getitem__, ids))
 
-    def of_word(self, word: str) -> str:
-        return ",".join(map(self.memo.__getitem__, self.units.findall(MARK + word)))
+    def of_word(self, word: str) -> tuple[str, bytes]:
+        return self.joined(map(self.memo.__getitem__, self.units.findall(MARK + word)))
 
-    def joined_ids(self, text: str) -> str:
-        """The decimal ids of a text, joined by commas."""
+    @staticmethod
+    def joined(parts: Iterable[tuple[str, bytes]]) -> tuple[str, bytes]:
+        ids, raw = zip(*parts)
+        return ",".join(ids), b"".join(raw)
+
+    def coded(self, text: str) -> tuple[str, bytes]:
+        """The decimal ids of a text, joined by commas, and the bytes that the ids decode to."""
         if not text:
-            return ""
+            return "", b""
         if MARK in text or "  " in text or text[0] == " " or text[-1] == " ":
-            return ",".join(map(self.memo.__getitem__, self.split(text)))
-        return ",".join(map(self.words.__getitem__, text.split(" ")))
+            return self.joined(map(self.memo.__getitem__, self.split(text)))
+        return self.joined(map(self.words.__getitem__, text.split(" ")))
 
     def decode_raw(self, ids: list[int]) -> str:
         return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
@@ -127,13 +131,12 @@ class Codec:
         return self.units.findall(MARK + text.replace(" ", MARK)) if text else []
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for i in self.joined_ids(text).split(",")] if text else []
+        return [int(i) for i in self.coded(text)[0].split(",")] if text else []
 
     def digest(self, text: str) -> tuple[int, str, str]:
-        """(number of ids, sha256 of the decimal ids joined by commas, sha256 of the decoded text)."""
-        ids = self.joined_ids(text)
-        # each unit's ids were decoded when it entered the memo, and gave the unit with a space for each mark
-        shown = text.replace(MARK, " ").encode("utf-8", "replace")
+        """(number of ids, sha256 of the decimal ids joined by commas, sha256 of the text that the ids decode to)."""
+        ids, raw = self.coded(text)
+        shown = raw.removeprefix(b" ").decode("utf-8", "replace").encode()  # without the space that stands for the mark before each text
         return ids.count(",") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(shown).hexdigest()
 
     def check_units(self) -> None:
@@ -144,9 +147,11 @@ class Codec:
             # the library puts a mark before each text: a unit with one goes in without it, others after a line end
             theirs = self.library.encode([u[1:] if u[0] == MARK else "\n" + u for u in units], num_threads=1)
             lead = self.library.encode("\n")
-            for unit, mine, found in zip(units, own, theirs):
+            for unit, mine, found, shown in zip(units, own, theirs, self.library.decode(list(own))):
                 if mine != (found if unit[0] == MARK and len(unit) > 1 else [self.id_of[MARK]] if unit == MARK else found[len(lead):]):
                     raise AssertionError(f"the library encodes {unit!r} in another way")
+                if shown != self.decode(mine):
+                    raise AssertionError(f"the library decodes the ids of {unit!r} to another text")
 
     def check_texts(self, texts: list[str]) -> None:
         for text, ids in zip(texts, self.library.encode(texts, num_threads=1)):

@@ -81,6 +81,17 @@ def test_piece_check_sees_a_wrong_unit():
         own.check_units()
 
 
+def test_decoded_digest_is_made_from_the_ids():
+    own = piece_codec.Codec(piece_codec.vocabulary())
+    own.raw[own.encode("house")[0]] = b" horse"
+    own.memo.clear()
+    own.words.clear()
+    own.unchecked.clear()
+    assert own.digest("the house")[2] == sha("the horse")
+    with pytest.raises(AssertionError, match="decodes"):
+        own.check_units()
+
+
 # Secrets ------------------------------------------------------------------------------------------------
 def plain_secrets(t: str):
     out = [("assign", m.start(), m.end()) for m in re.finditer(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t) if len(m[2]) >= 12]
