@@ -9,7 +9,8 @@ transitions is trained on them in numpy on the driver (a few seconds, seeded)
 and adds spans:
 
 * no span can do without a digit or an @, so only text within CONTEXT
-  characters of one is decoded (this skips nothing a span could lie in);
+  characters of one, and all of the run without white space that it stands in,
+  is decoded;
 * such a region is cut into overlapping windows; each character's tag scores
   are averaged over its windows, weighted towards their middle, and one
   Viterbi pass over the whole region reconciles them;
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +39,7 @@ from marketlens.llm.common import texts_in_steps
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
-DIGIT, TRIGGER = re.compile("[0-9]"), re.compile("[0-9@]+")
+DIGIT, TRIGGER, SPACE = re.compile("[0-9]"), re.compile("[0-9@]+"), re.compile(r"\s")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 #: A match never starts within digits, so the look-behind only saves time on long numbers.
@@ -223,10 +225,16 @@ _MOVES = np.array([[not b.startswith("I") or a[1:] == b[1:] and a != "O" for b i
 
 
 def regions(text: str) -> list[tuple[int, int]]:
-    """The parts of a text within CONTEXT characters of a digit or @."""
+    """The parts of a text within CONTEXT characters of a digit or @, and all of the run without white space around it."""
     out: list[list[int]] = []
+    start = end = 0
     for m in TRIGGER.finditer(text):
-        a, b = max(0, m.start() - CONTEXT), min(len(text), m.end() + CONTEXT)
+        if m.start() >= end:
+            start, after = m.start(), SPACE.search(text, m.end())
+            while start and not text[start - 1].isspace():
+                start -= 1
+            end = after.start() if after else len(text)
+        a, b = max(0, min(m.start() - CONTEXT, start)), min(len(text), max(m.end() + CONTEXT, end))
         if out and a <= out[-1][1]:
             out[-1][1] = b
         else:
@@ -330,10 +338,13 @@ def examples(text: str, spans: list[Span]) -> list[tuple[str, list[Span]]]:
             others = [(k, x - a + lead, y - a + lead) for k, x, y in spans if x >= a - lead and y <= a] + [(kind, lead, lead + len(f))]
             others += [(k, x - b + lead + len(f), y - b + lead + len(f)) for k, x, y in spans if x >= b and y - b + lead + len(f) <= WINDOW]
             out.append((whole, others))
-    for a, b in regions(text)[:3]:
+    plain = []
+    for a, b in regions(text):
         if not any(x < b and a < y for _, x, y in spans):
-            out.append((text[a:b][:WINDOW], []))
-    return out
+            a = max(a, TRIGGER.search(text, a).start() - CONTEXT)
+            plain.append(text[a:b][:WINDOW])
+    # a few from anywhere in the text
+    return out + [(w, []) for w in sorted(plain, key=lambda w: (zlib.crc32(w.encode("utf-8", "replace")), w))[:3]]
 
 
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, train_windows: int = TRAIN_WINDOWS) -> Tagger | None:

@@ -336,6 +336,19 @@ def test_long_regions_are_decoded_as_a_whole(tagger):
     assert [x for x in pii.decode(tagger, [t])[0] if x[0] == "phone" and x[1] <= 1602 and x[2] >= 1615]
 
 
+def test_regions_hold_whole_runs():
+    for run in ("é" * 40 + "@example.org", "ab@" + "long-domain." * 6 + "org", "x" * 200 + "7" + "y" * 200 + "@" + "z" * 200):
+        for before, after in (("", ""), ("write to ", " now or never " * 5), ("1 " * 30, "\n2")):
+            text = before + run + after
+            assert any(a <= len(before) and len(before) + len(run) <= b for a, b in pii.regions(text)), text
+
+
+def test_counter_examples_come_from_the_whole_text():
+    text = ("nothing but words for a while here and there " * 3).join(f" no {i} " for i in range(100, 140))
+    late = [w for k in range(8) for w, spans in pii.examples(f"{text} {k}" * 2, []) if not any(f"no {i} " in w for i in (100, 101, 102))]
+    assert late and all(any(c.isdigit() for c in w) for w in late)
+
+
 def test_pii_query_and_masking(spark, odd, tagger):
     got = by_id(pii.find_pii(odd, tagger))
     for i, t in enumerate(odd_texts()):
