@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import jaccard_join, lang_id, ngram_lm, packing, pii, piece_codec, quality_rules, rp_forest, secret_scan, token_counts
+from marketlens.llm import jaccard_join, lang_id, ngram_lm, packing, pii, piece_codec, quality_rules, rp_forest, secret_scan, simhash_index, spelling_trie, token_counts
 from marketlens.llm.common import id_crc, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,8 +58,17 @@ def op10_jaccard_divide_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicate_components(table(spark, sf_dir, "documents"))
 
 
+def op11_simhash_byte_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_index.near_duplicate_components(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_frequency_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_trie.spelling_forms(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_pack_min_slack, op2_neighbours_rp_forest, op3_secrets_by_token_efficiency, op4_score_ngram_trie,
-    op5_count_tokens_transducer, op6_pii_bilstm_crf, op7_sentencepiece_digests, op8_weak_supervision_quality, op9_rank_order_language, op10_jaccard_divide_skip)}
+    op5_count_tokens_transducer, op6_pii_bilstm_crf, op7_sentencepiece_digests, op8_weak_supervision_quality, op9_rank_order_language, op10_jaccard_divide_skip,
+    op11_simhash_byte_positions, op12_spelling_frequency_trie)}
 #: Queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {}
