@@ -9,8 +9,13 @@ CHECK, lengths) are checked on the tables as they would be, row counts are
 compared, and one manifest file publishes everything at once
 (``sources.manifest``). A load that fails before that changes nothing.
 
-Only review texts hold line breaks, which needs the ``multiLine`` reader and
-makes that one file a single task; the other exports are split.
+Review texts hold line breaks; ``sources.split_csv`` finds the records of such
+an export from the quotes of its splits, so it is read by many tasks as well.
+
+An append costs in proportion to the load: the manifest keeps the key range of
+every file and the rules the mart breaks, so that only new rows are checked,
+their keys are looked up in the files whose range they meet, and of the order
+summary only those ranges are made anew (``sources.increments``).
 """
 
 from __future__ import annotations
@@ -23,8 +28,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlens.sources import manifest as manifests
+from marketlens.sources import increments
 from marketlens.sources.mart import publish
-from marketlens.sources.schemas import LOAD_PLAN, LoadSpec, SCHEMAS, TABLE_ORDER, with_comments
+from marketlens.sources.schemas import LOAD_PLAN, LoadSpec, PRIMARY_KEYS, SCHEMAS, TABLE_ORDER, with_comments
+from marketlens.sources.split_csv import read_quoted_csv
 
 # pandas' default missing-value tokens (read_csv without na_values).
 NA_TOKENS = (
@@ -53,8 +60,9 @@ def tables_missing(spark: SparkSession, names: Sequence[str]) -> list[str]:
 # -- A1: read ---------------------------------------------------------------
 def read_source_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Header CSV with quoted fields, over several lines if ``multi_line``; every column as STRING."""
-    return (spark.read.option("header", True).option("multiLine", multi_line)
-            .option("quote", '"').option("escape", '"').option("inferSchema", False)
+    if multi_line:
+        return read_quoted_csv(spark, path)
+    return (spark.read.option("header", True).option("quote", '"').option("escape", '"').option("inferSchema", False)
             .option("mode", "PERMISSIVE").csv(path))
 
 
@@ -173,7 +181,7 @@ def validate_row_counts(spark: SparkSession, result: IngestResult) -> DataFrame:
 
 
 def check_gate(tables: dict[str, DataFrame]) -> dict[str, int]:
-    """Rules that the tables break, with the number of violations."""
+    """Rules that the tables of a whole load break, with the number of violations (an append: ``increments.changed_rules``)."""
     from marketlens.operators.quality import check_rules
     return {r["rule"]: r["violations"] for r in check_rules(tables).where("violations > 0").collect()}  # one row a rule
 
@@ -193,42 +201,54 @@ def run_ingest(spark: SparkSession, source_dir: str, target_dir: str, mode: str
     src, dst, run = source_dir.rstrip("/"), target_dir.rstrip("/"), manifests.new_run()
     names = {s.table: (file_names or {}).get(s.table, s.file) for s in plan}
     preflight_sources(spark, [f"{src}/{names[s.table]}" for s in plan])
-    old = manifests.read(spark, dst)
+    base, old = manifests.head(spark, dst)
+    stored = None
     if mode == "append":
         missing = sorted(t for t in TABLE_ORDER if not all(manifests.exists(spark, p) for p in manifests.folders(spark, dst, t, old)))
         if missing:
             raise IngestError("Missing target tables: " + ", ".join(missing))
+        stored = increments.Stored.read(spark, dst, old or {"tables": {t: [t] for t in TABLE_ORDER}})
     elif {s.table for s in plan} != set(TABLE_ORDER):
         raise ValueError("overwrite needs all nine tables in the plan")
     result = IngestResult(run=run)
-    kept = {t: (old or {}).get("tables", {}).get(t, [t]) if mode == "append" else [] for t in TABLE_ORDER}
-    folders = {t: list(kept[t]) for t in TABLE_ORDER}
+    added: dict[str, list[str]] = {t: [] for t in TABLE_ORDER}  # folders of this load
+    kept = {t: list(stored.manifest["tables"].get(t, [t])) if stored else [] for t in TABLE_ORDER}
 
-    def table(t: str) -> DataFrame:
-        return spark.read.schema(SCHEMAS[t]).parquet(*[f"{dst}/{f}" for f in folders[t]])
+    def read(t: str, folders: Sequence[str]) -> DataFrame:
+        return spark.read.schema(SCHEMAS[t]).parquet(*[f"{dst}/{f}" for f in folders]) if folders else spark.createDataFrame([], SCHEMAS[t])
 
-    result.before = {t: table(t).count() if kept[t] else 0 for t in TABLE_ORDER}
+    result.before = {t: stored.rows(t) if stored else 0 for t in TABLE_ORDER}
     result.written = dict.fromkeys(TABLE_ORDER, 0)
     for spec in sorted(plan, key=lambda s: TABLE_ORDER.index(s.table)):
         t, obs = spec.table, Observation()
-        first_id = (table(t).agg(F.max("geolocation_id")).first()[0] or 0) + 1 if "geolocation_id" in spec.generated and kept[t] else 0
+        first_id = (stored.largest(t) or 0) + 1 if "geolocation_id" in spec.generated and stored else 0
         raw = read_source_csv(spark, f"{src}/{names[t]}", spec.multi_line)
-        with_comments(prepare(raw, spec, obs, first_id), t).write.parquet(f"{dst}/{run}/{t}")
-        folders[t].append(f"{run}/{t}")
+        prepare(raw, spec, obs, first_id).write.parquet(f"{dst}/{run}/_typed/{t}")
+        # In key order, so that each file holds a range of keys of its own.
+        with_comments(read(t, [f"{run}/_typed/{t}"]), t).orderBy(*PRIMARY_KEYS[t]).write.parquet(f"{dst}/{run}/{t}")
+        added[t].append(f"{run}/{t}")
         result.written[t] = int(obs.get["rows"])
         result.coerced[t] = {k.removeprefix("lost_"): v for k, v in obs.get.items() if k.startswith("lost_") and v}
+    manifests.delete(spark, f"{dst}/{run}/_typed")
     lookup = "product_category_name_translation"
-    _full, added = backfill_categories(table("products"), table(lookup))
-    result.categories_added = int(write_table(with_comments(added, lookup), f"{dst}/{run}/{lookup}_added").get["rows"])
-    folders[lookup].append(f"{run}/{lookup}_added")
+    # Stored products have their categories, if the rules were checked when they came.
+    checked = stored is not None and "violations" in stored.manifest
+    _full, more = backfill_categories(read("products", added["products"] if checked else kept["products"] + added["products"]), read(lookup, kept[lookup] + added[lookup]))
+    result.categories_added = int(write_table(with_comments(more, lookup), f"{dst}/{run}/{lookup}_added").get["rows"])
+    added[lookup].append(f"{run}/{lookup}_added")
     result.written[lookup] += result.categories_added
-    result.tables = folders
-    result.stored = {t: table(t).count() for t in TABLE_ORDER}
+    result.tables = {t: kept[t] + added[t] for t in TABLE_ORDER}
+    files = {t: [f for folder in added[t] for f in increments.file_ranges(spark, dst, folder, increments.RANGE_KEY[t])] for t in TABLE_ORDER}
+    result.stored = {t: result.before[t] + sum(f["rows"] for f in files[t]) for t in TABLE_ORDER}
     validate_row_counts(spark, result)
-    result.violations = check_gate({t: table(t) for t in TABLE_ORDER})
+    new = {t: read(t, added[t]) for t in TABLE_ORDER}
+    result.violations = increments.changed_rules(new, stored, lambda t: read(t, result.tables[t])) if stored else check_gate(new)
     if gate and result.violations:
         raise IngestError("Load rejected, rules broken: " + ", ".join(f"{k} ({v})" for k, v in sorted(result.violations.items())))
-    publish(spark, dst, folders, run, result.stored)
+    summary = increments.merged_summary(new["order_items"], stored) if stored and increments.summary_is_current(spark, dst, old) else None
+    if stored:
+        files = {t: stored.files[t] + files[t] for t in TABLE_ORDER}
+    publish(spark, dst, result.tables, run, base, summary, rows=result.stored, files=files, violations=result.violations)
     return result
 
 

@@ -38,14 +38,20 @@ def _add(unit: str, amount: Column, ts: Column) -> Column:
 SUMMARY_PROPERTY = "marketlens.order_summary_of"
 
 
-def publish(spark: SparkSession, root: str, tables: dict[str, list[str]], run: str, rows: dict[str, int] | None = None) -> None:
-    """Writes the order summary of the given item folders and then the manifest, which makes all of it visible at once."""
+def publish(spark: SparkSession, root: str, tables: dict[str, list[str]], run: str, base: int, summary: tuple[DataFrame, list[dict]] | None = None, **more) -> None:
+    """Writes the order summary and then the manifest after number ``base``, which makes all of it visible at once.
+
+    ``summary`` has the rows to write and the summary files that stay; without it all item folders are summed up.
+    ``more`` are further entries of the manifest (rows, files, violations).
+    """
     from marketlens.operators.grain import order_summary
+    from marketlens.sources.increments import write_summary
     items = spark.read.parquet(*manifests.folders(spark, root, "order_items", {"tables": tables}))
-    order_summary(items).sortWithinPartitions("order_id").write.parquet(f"{root}/{run}/order_summary")
+    rows, kept = summary or (order_summary(items), [])
+    files = kept + write_summary(rows, root, run)
     manifests.write(spark, root, {
-        "tables": tables | {"order_summary": [f"{run}/order_summary"]}, "order_summary_of": manifests.files_digest(items),
-        "rows": rows or {}, "comments": TABLE_COMMENTS})
+        "tables": tables | {"order_summary": [f["file"] for f in files] or [f"{run}/order_summary"]}, "order_summary_of": manifests.files_digest(items),
+        "comments": TABLE_COMMENTS, **more, "files": more.get("files", {}) | {"order_summary": files}}, base)
 
 
 @dataclass
@@ -301,7 +307,8 @@ class Mart:
         root, run = root.rstrip("/"), manifests.new_run()
         if mode not in ("overwrite", "error"):
             raise ValueError("mode is overwrite or error")
-        if mode == "error" and manifests.read(self.spark, root) is not None:
+        base, published = manifests.head(self.spark, root)
+        if mode == "error" and published is not None:
             raise ValueError(f"{root} has a published mart")
         cluster = {"orders": "order_id", "order_items": "order_id", "order_payments": "order_id",
                    "order_reviews": "order_id", "customers": "customer_id", "products": "product_id"}
@@ -313,7 +320,7 @@ class Mart:
                     df = df.repartitionByRange(files, F.col(key))
                 df = df.sortWithinPartitions(key)
             df.write.parquet(f"{root}/{run}/{name}")
-        publish(self.spark, root, {name: [f"{run}/{name}"] for name in TABLE_ORDER}, run)
+        publish(self.spark, root, {name: [f"{run}/{name}"] for name in TABLE_ORDER}, run, base)
         return Mart.from_tables(self.spark, root)
 
     def write_bucketed(self, database: str, root: str, buckets: int, mode: str = "overwrite") -> Mart:

@@ -148,7 +148,7 @@ class LoadSpec:
     """How one CSV source maps onto one table."""
     file: str
     table: str
-    multi_line: bool = False  # free text with line breaks; such a file is one task
+    multi_line: bool = False  # quoted free text with line breaks
     renames: dict[str, str] = field(default_factory=dict)
     generated: tuple[str, ...] = ()  # columns the sink generates (not read)
 

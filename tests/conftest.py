@@ -7,6 +7,7 @@ import tempfile
 from decimal import Decimal
 
 import pytest
+from pyspark.sql.types import StructField, StructType
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -59,6 +60,10 @@ _DEFAULTS = {
 }
 
 
+def nullable(schema: StructType) -> StructType:
+    return StructType([StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
+
+
 def make_mart(spark, **tables) -> Mart:
     """A mart from row dicts; unspecified columns take defaults, unspecified tables are empty."""
     frames = {}
@@ -67,7 +72,8 @@ def make_mart(spark, **tables) -> Mart:
         for r in tables.get(name, []):
             full = {**_DEFAULTS.get(name, {}), **r}
             rows.append(tuple(full.get(f.name) for f in schema.fields))
-        frames[name] = spark.createDataFrame(rows, schema)
+        # As stored tables are: whether a column has values is a rule, not a property of the frame.
+        frames[name] = spark.createDataFrame(rows, nullable(schema))
     return Mart.from_frames(spark, frames)
 
 
