@@ -57,9 +57,10 @@ def segment(r, f, m):
 
 
 def rfm_scores(m: Mart) -> DataFrame:
-    """The values stored once, three sets of cut keys from them, and all scores by comparison with the cuts."""
+    """The values stored once, the cut keys of all three scores from shared passes, and the scores by comparison with the cuts."""
     v = kept(rfm_values(m))
-    r, f, mo = (ntile_from_cuts(v, ntile_cuts(v, 5, c, _ID), c, _ID) for c in ("recency_days", "frequency", "monetary_value"))
+    cuts = ntile_cuts(v, 5, ["recency_days", "frequency", "monetary_value"], _ID)
+    r, f, mo = (ntile_from_cuts(v, cuts[c], c, _ID) for c in cuts)
     return v.withColumns({"recency_score": (6 - r).cast("long"), "frequency_score": f, "monetary_score": mo})
 
 

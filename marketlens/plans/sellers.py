@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marketlens.functions import item_value, pct, round2
 from marketlens.functions.money import ratio_round
 from marketlens.operators.grain import delivered, delivered_items
-from marketlens.operators.ranking import global_dense_rank, kept, with_total
+from marketlens.operators.ranking import global_dense_rank, kept
 from marketlens.plans.registry import AVG2, MONEY, PCT, report
 from marketlens.sources.mart import Mart
 
@@ -77,7 +77,8 @@ def seller_share(m: Mart) -> DataFrame:
           .groupBy("seller_id").agg(F.sum("price").alias("revenue")))
     # One row a seller, kept once: the total, the ranks and the result all read it.
     sr = kept(sr)
-    ranked = global_dense_rank(with_total(sr, "revenue", "__t"), "revenue", "seller_rank")
+    total = F.broadcast(sr.agg(F.sum("revenue").alias("__t")))  # one row
+    ranked = global_dense_rank(sr, "revenue", "seller_rank").crossJoin(total)
     return (ranked.select("seller_id", round2("revenue").alias("revenue"),
                           pct("revenue", "__t").alias("revenue_share_percentage"), "seller_rank")
             .orderBy("seller_rank", "seller_id"))

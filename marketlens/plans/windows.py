@@ -64,7 +64,7 @@ def value_quartiles(m: Mart) -> DataFrame:
     ofn = (delivered_items(m.order_summary.select("order_id", "total_order_value"), m.orders)
            .groupBy("order_id").agg(F.sum("total_order_value").alias("order_value")))
     ofn = kept(ofn)
-    cuts = ntile_cuts(ofn, 4, "order_value", "order_id")
+    cuts = ntile_cuts(ofn, 4, ["order_value"], "order_id")["order_value"]
     q = ofn.withColumn("value_quartile", ntile_from_cuts(ofn, cuts, "order_value", "order_id"))
     seg = None
     for k, name in QUARTILE_NAMES.items():

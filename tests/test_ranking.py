@@ -2,7 +2,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marketlens.operators.ranking import (
-    global_dense_rank, global_ntile, global_row_index, group_row_number, ntile_cuts, ntile_from_cuts,
+    global_dense_rank, global_ntile, global_row_index, group_row_number, ntile_cuts, ntile_from_cuts, part_of,
     top_with_dense_rank,
 )
 
@@ -77,8 +77,50 @@ def test_ntile_formula_exhaustive(spark):
 def test_ntile_cuts_equal_window_ntile(spark):
     for n, k in [(1000, 4), (17, 5), (3, 5), (5, 5), (1, 3)]:
         df = _frame(spark, n).withColumn("v", F.when(F.col("v") != 3, F.col("v"))).cache()
-        cuts = ntile_cuts(df, k, "v", "id")
+        cuts = ntile_cuts(df, k, ["v"], "id")["v"]
         ours = df.select("id", ntile_from_cuts(df, cuts, "v", "id").alias("t"))
         ref = df.select("id", F.ntile(k).over(Window.orderBy(F.col("v").asc_nulls_last(), "id")).cast("long").alias("t"))
         assert sorted(ours.collect()) == sorted(ref.collect()), (n, k)
-    assert ntile_cuts(_frame(spark, 1000).limit(0), 4, "v", "id") == []
+    assert ntile_cuts(_frame(spark, 1000).limit(0), 4, ["v"], "id") == {"v": []}
+
+
+def test_ntile_cuts_of_several_columns_of_different_types(spark):
+    df = _frame(spark, 900).select("id", "v", (F.col("id") % 11).cast("decimal(32,2)").alias("d"), F.when(F.col("v") > 2, F.col("v").cast("string")).alias("s")).cache()
+    cuts = ntile_cuts(df, 5, ["v", "d", "s"], "id")
+    for c in cuts:
+        ours = df.select("id", ntile_from_cuts(df, cuts[c], c, "id").alias("t"))
+        ref = df.select("id", F.ntile(5).over(Window.orderBy(F.col(c).asc_nulls_last(), "id")).cast("long").alias("t"))
+        assert sorted(ours.collect()) == sorted(ref.collect()), c
+
+
+def test_dense_rank_over_range_edges(spark):
+    """Every tie at an edge, inside a range and over several ranges; NULLs; both directions."""
+    rows = [(i, None if i % 10 == 0 else (5 if i % 3 == 0 else i % 17)) for i in range(600)] + [(1, 1), (1, 1)]
+    df = spark.createDataFrame(rows, "id long, v long").repartition(5).cache()
+    for descending, order in ((True, F.col("v").desc_nulls_first()), (False, F.col("v").asc_nulls_last())):
+        ref = sorted(df.select("id", "v", F.dense_rank().over(Window.orderBy(order)).cast("long").alias("rk")).collect(), key=str)
+        assert sorted(global_dense_rank(df, "v", "rk", descending).collect(), key=str) == ref
+        for values in ([5], [1, 5, 5, 5, 9], [None], list(range(18)) + [None]):  # cuts in the middle of a value's rows
+            bounds = [{"n0": x is None, "v0": x, "n1": False, "v1": tie} for x, tie in zip(values, range(-8 * 10**18, 9 * 10**18, 8 * 10**17))]
+            bounds.sort(key=lambda b: (b["n0"], b["v0"] or 0, b["v1"]))
+            assert sorted(global_dense_rank(df, "v", "rk", descending, bounds).collect(), key=str) == ref
+    assert global_dense_rank(df.limit(0), "v", "rk").collect() == []
+
+
+def test_hot_groups_are_cut_into_ranges(spark):
+    rows = [(None if i % 7 == 0 else (0 if i % 3 else i), None if i % 5 == 0 else i % 40, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g long, at long, id long").repartition(7)
+    ours = group_row_number(df, ["g"], ["at", "id"], "rn", most=100)
+    order = Window.partitionBy("g").orderBy(F.col("at").asc_nulls_last(), "id")
+    ref = df.withColumn("rn", F.row_number().over(order).cast("long"))
+    assert sorted(map(str, ours.collect())) == sorted(map(str, ref.collect()))
+    assert ours.select(F.count_distinct("g")).first()[0] > 100
+    for most in (100, 10**6):
+        plan = group_row_number(df, ["g"], ["at", "id"], "rn", most=most)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
+def test_part_of_is_a_binary_search(spark):
+    rows = [([], 3), ([5], 4), ([5], 5), ([1, 3, 3, 7], 3), ([1, 3, 3, 7], 0), ([1, 3, 3, 7], 9), (None, 2), (list(range(0, 200, 2)), 101)]
+    df = spark.createDataFrame(rows, "b array<int>, x int")
+    assert [r[0] for r in df.select(part_of(F.col("b"), F.col("x"))).collect()] == [0, 0, 1, 3, 0, 4, 0, 51]
