@@ -34,6 +34,16 @@ def order_summary(items: DataFrame) -> DataFrame:
         F.sum(item_value()).alias("total_order_value"))
 
 
+def order_category_counts(items: DataFrame, products: DataFrame) -> DataFrame:
+    """order_id, product_category_name -> item_count: how many items of a category an order has (published by ``Mart.write``).
+
+    Items are counted per order and product before they meet the products; an item of an unknown product counts nowhere.
+    """
+    per_product = items.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("n"))
+    return (per_product.join(products.select("product_id", "product_category_name"), "product_id")
+            .groupBy("order_id", "product_category_name").agg(F.sum("n").alias("item_count")))
+
+
 def delivered_items(items: DataFrame, orders: DataFrame, *order_cols: str) -> DataFrame:
     """Items of delivered orders, with the requested order columns attached."""
     o = delivered(orders).select("order_id", *order_cols)

@@ -144,59 +144,33 @@ def build_rules() -> list[Rule]:
 RULES: list[Rule] = build_rules()
 
 
-def key_counts(tables: dict[str, DataFrame], rules: Sequence[Rule]) -> DataFrame | None:
-    """(rule, violations) of all primary- and foreign-key rules in one grouping pass.
-
-    A parent key and the columns that refer to it form a family. Every table is
-    scanned once and yields one row per family it takes part in: (family, key,
-    slot), slot 0 for the parent's own key and 1, 2, ... for the referring
-    columns. Counts per (family, key) and slot, combined within each task before
-    the shuffle, give all answers: a key with parent count above 1 is a
-    duplicate; referring rows of a key with parent count 0 are orphans. Rows with
-    a NULL key part count one each for the parent and pass for the others.
+def key_counts(tables: dict[str, DataFrame], rules: Sequence[Rule]) -> list[DataFrame]:
+    """(rule, violations), one row, of each primary- and foreign-key rule.
+
+    Every rule reads its key columns only, in their own type. A child's references
+    are counted per key before they meet the parents, so a popular product is one
+    row a task. On a mart bucketed by a key, grouping and joining on it (items,
+    payments and reviews against orders) need no exchange; elsewhere the parents'
+    exchange is made once for all children.
     """
-    families: dict[tuple, list[str | None]] = {}
-    roles: dict[str, list[tuple[int, tuple, int]]] = {}
-    order: list[tuple] = []
-
-    def family(table: str, keys: tuple) -> tuple:
-        name = (table, *keys)
-        if name not in families:
-            families[name] = [None]
-            order.append(name)
-            roles.setdefault(table, []).append((len(order) - 1, keys, 0))
-        return name
-
+    parts = []
     for r in rules:
         if r.kind == "PRIMARY KEY":
-            families[family(r.table, r.keys)][0] = r.name
+            whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in r.keys])
+            # Keys with a NULL part are no keys: each such row is a violation of its own.
+            sizes = tables[r.table].groupBy(*r.keys).agg(F.count(F.lit(1)).alias("__n"))
+            count = F.sum(F.when(~whole, F.col("__n")).when(F.col("__n") > 1, 1).otherwise(0))
         elif r.kind == "FOREIGN KEY":
             ck, parent, pk = r.keys
-            name = family(parent, (pk,))
-            families[name].append(r.name)
-            roles.setdefault(r.table, []).append((order.index(name), (ck,), len(families[name]) - 1))
-    if not families:
-        return None
-    slots = max(map(len, families.values()))
-    parts = []
-    for table, own in roles.items():
-        rows = []
-        for i, keys, slot in own:
-            k = [F.col(c).cast("string") for c in keys] + [F.lit(None).cast("string")] * (2 - len(keys))
-            null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in keys])
-            rows.append(F.struct(F.lit(i).alias("family"), k[0].alias("k1"), k[1].alias("k2"), null.alias("no_key"), F.lit(slot).alias("slot")))
-        parts.append(tables[table].select(F.explode(F.array(*rows)).alias("x")).select("x.*").where("slot = 0 OR NOT no_key"))
-    counts = (reduce(DataFrame.unionByName, parts).groupBy("family", "k1", "k2", "no_key")
-              .agg(*[F.count_if(F.col("slot") == j).alias(f"c{j}") for j in range(slots)]))
-    duplicate = F.when(F.col("no_key"), F.col("c0")).when(F.col("c0") > 1, 1).otherwise(0)
-    per_family = counts.groupBy("family").agg(F.sum(duplicate).alias("v0"), *[
-        F.sum(F.when(F.col("c0") == 0, F.col(f"c{j}")).otherwise(0)).alias(f"v{j}") for j in range(1, slots)])
-    cells = ", ".join(f"{j}, v{j}" for j in range(slots))
-    found = per_family.selectExpr("family", f"stack({slots}, {cells}) AS (slot, violations)")
-    names = [(name, i, j) for i, f in enumerate(order) for j, name in enumerate(families[f]) if name]
-    listed = counts.sparkSession.createDataFrame(names, "rule string, family int, slot int")
-    return (listed.join(found, ["family", "slot"], "left")
-            .select("rule", F.coalesce("violations", F.lit(0)).cast("long").alias("violations")))
+            # Both sides keep their column: a renamed one would hide the bucketing.
+            asked = tables[r.table].where(F.col(ck).isNotNull()).groupBy(ck).agg(F.count(F.lit(1)).alias("__n"))
+            known = tables[parent].select(pk)
+            sizes = asked.join(known, asked[ck] == known[pk], "left_anti")
+            count = F.sum("__n")
+        else:
+            continue
+        parts.append(sizes.agg(F.coalesce(count, F.lit(0)).cast("long").alias("violations")).select(F.lit(r.name).alias("rule"), "violations"))
+    return parts
 
 
 def check_rules(tables: dict[str, DataFrame], rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -204,18 +178,16 @@ def check_rules(tables: dict[str, DataFrame], rules: Sequence[Rule] = RULES) ->
 
     All row-level rules of a table (NOT NULL, CHECK, LENGTH) are counted in
     one pass over that table: one ``count_if`` per rule in a single global
-    aggregate, unpivoted to rows. All key rules share one pass (``key_counts``).
+    aggregate, unpivoted to rows. Key rules: ``key_counts``.
     """
     parts: list[DataFrame] = []
     by_table: dict[str, list[Rule]] = {}
     for r in rules:
         if r.row_violation is not None:
             by_table.setdefault(r.table, []).append(r)
-    keyed = key_counts(tables, rules)
-    if keyed is not None:
-        kinds = keyed.sparkSession.createDataFrame([(r.name, r.table, r.kind) for r in rules if r.row_violation is None],
-                                                   "rule string, table_name string, rule_type string")
-        parts.append(kinds.join(keyed, "rule").select("rule", "table_name", "rule_type", "violations"))
+    keyed = [r for r in rules if r.row_violation is None]
+    for r, counted in zip(keyed, key_counts(tables, keyed)):
+        parts.append(counted.select("rule", F.lit(r.table).alias("table_name"), F.lit(r.kind).alias("rule_type"), "violations"))
     for table, table_rules in by_table.items():
         counts = tables[table].agg(*[F.count_if(r.row_violation()).alias(f"r{i}")
                                      for i, r in enumerate(table_rules)])

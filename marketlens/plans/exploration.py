@@ -60,15 +60,18 @@ LEFT JOIN order_items AS oi ON o.order_id = oi.order_id""")
 def entity_counts(m: Mart) -> DataFrame:
     """Distinct persons, orders, products sold and active sellers (orders with a customer).
 
-    The order-customer join is built once and every table is read once; one
-    distinct over (kind, id) pairs, combined within each task before the
-    shuffle, serves all four counts.
+    Each column is counted on its own, narrow: persons and orders never meet the
+    items. The items meet the orders once; of what is left, distinct (product,
+    seller) pairs serve both item counts, and their exchange is made once. So no
+    row is multiplied by the number of columns counted.
     """
     oc = customer_orders(m.customers, m.orders).select("order_id", "customer_unique_id")
-    items = m.order_items.select("order_id", "product_id", "seller_id").distinct()
-    pairs = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(c).cast("string").alias("id"))
-                      for kind, c in (("c", "customer_unique_id"), ("o", "order_id"), ("p", "product_id"), ("s", "seller_id"))])
-    ids = oc.join(items, "order_id", "left").select(F.explode(pairs).alias("x")).select("x.kind", "x.id").where("id IS NOT NULL").distinct()
-    count = lambda k: F.count_if(F.col("kind") == k)
-    return ids.agg(count("c").alias("unique_customers"), count("o").alias("total_orders"),
-                   count("p").alias("products_sold"), count("s").alias("active_sellers"))
+    items = m.order_items.select("order_id", "product_id", "seller_id")
+    pairs = items.join(oc.select("order_id"), "order_id", "left_semi").select("product_id", "seller_id").distinct()
+
+    def distinct(df: DataFrame, column: str, out: str) -> DataFrame:
+        return df.select(column).where(F.col(column).isNotNull()).distinct().agg(F.count(F.lit(1)).alias(out))
+
+    counts = [distinct(oc, "customer_unique_id", "unique_customers"), distinct(oc, "order_id", "total_orders"),
+              distinct(pairs, "product_id", "products_sold"), distinct(pairs, "seller_id", "active_sellers")]
+    return reduce(lambda a, b: a.crossJoin(F.broadcast(b)), counts)  # one row each

@@ -8,8 +8,9 @@
   reference among new and stored parents. Rows are only added, so a stored
   reference can't lose its parent. A rule that the stored mart breaks is checked
   on everything, as an append may mend it.
-* ``merged_summary`` keeps the order summary: sums of the new items are added to
-  the stored sums of the ranges they meet; the other files stay as they are.
+* ``merged`` keeps the rollups of the items (order summary, items per order and
+  category): sums of the new items are added to the stored sums of the ranges
+  they meet; the other files stay as they are.
 """
 
 from __future__ import annotations
@@ -21,13 +22,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.operators.grain import order_summary
+from marketlens.operators.grain import order_category_counts, order_summary
 from marketlens.operators.quality import RULES, Rule, check_rules
 from marketlens.sources import manifest as manifests
 from marketlens.sources.schemas import PRIMARY_KEYS, SCHEMAS, TABLE_ORDER
 
 #: The column whose range is kept for each table's files.
-RANGE_KEY = {t: PRIMARY_KEYS[t][0] for t in TABLE_ORDER} | {"order_summary": "order_id"}
+RANGE_KEY = {t: PRIMARY_KEYS[t][0] for t in TABLE_ORDER} | {"order_summary": "order_id", "order_category_counts": "order_id"}
+#: Rollups of the items: their grouping columns. All else in them is sums.
+ROLLUPS = {"order_summary": ("order_id",), "order_category_counts": ("order_id", "product_category_name")}
 
 Spans = list[tuple]
 
@@ -131,27 +134,41 @@ def changed_rules(new: dict[str, DataFrame], stored: Stored, whole: Callable[[st
     return found
 
 
-def write_summary(summary: DataFrame, root: str, run: str) -> list[dict]:
-    """Writes summary rows in key order; every file holds a range of its own. The files' ranges."""
-    summary.orderBy("order_id").write.parquet(f"{root}/{run}/order_summary")
-    return file_ranges(summary.sparkSession, root, f"{run}/order_summary", "order_id")
+def rollup(name: str, items: DataFrame, products: DataFrame) -> DataFrame:
+    return order_summary(items) if name == "order_summary" else order_category_counts(items, products)
 
 
-def merged_summary(new_items: DataFrame, stored: Stored) -> tuple[DataFrame, list[dict]]:
-    """(summary rows of the ranges that the new items meet, the files of the others).
+def write_rollup(rows: DataFrame, root: str, run: str, name: str) -> list[dict]:
+    """Writes a rollup in key order; every file holds a range of its own. The files' ranges."""
+    rows.orderBy(*ROLLUPS[name]).write.parquet(f"{root}/{run}/{name}")
+    return file_ranges(rows.sparkSession, root, f"{run}/{name}", RANGE_KEY[name])
+
+
+def merged(name: str, added: DataFrame, stored: Stored, spans: Spans, without_key: bool) -> tuple[DataFrame, list[dict]]:
+    """(rows of the rollup in the ranges that ``added`` meets, the files of the others).
 
     Counts and exact sums of two sets of items add up to those of both; a sum without a value stays NULL.
     """
-    added = order_summary(new_items)
-    without = bool(new_items.where("order_id IS NULL").limit(1).count())
-    old, rest = stored.meeting("order_summary", spans_of(new_items, "order_id"), without)
-    sums = [F.sum(f.name).cast(f.dataType).alias(f.name) for f in added.schema.fields if f.name != "order_id"]
-    return old.unionByName(added).groupBy("order_id").agg(*sums), rest
+    old, rest = stored.meeting(name, spans, without_key)
+    sums = [F.sum(f.name).cast(f.dataType).alias(f.name) for f in added.schema.fields if f.name not in ROLLUPS[name]]
+    return old.unionByName(added).groupBy(*ROLLUPS[name]).agg(*sums), rest
+
+
+def merged_rollups(new_items: DataFrame, products: DataFrame, stored: Stored) -> dict[str, tuple[DataFrame, list[dict]]]:
+    """All rollups that the stored mart has, with the new items added.
+
+    Items that were stored without a product count in no category; since a load may bring
+    their product, the counts are made anew on a mart that has such items, or may have.
+    """
+    spans, without_key = spans_of(new_items, "order_id"), bool(new_items.where("order_id IS NULL").limit(1).count())
+    sure = (stored.manifest.get("violations") or {}).get("fk_order_items_product", 0) == 0 and "violations" in stored.manifest
+    kept = [name for name in ROLLUPS if stored.files.get(name) and (sure or name == "order_summary")]
+    return {name: merged(name, rollup(name, new_items, products), stored, spans, without_key) for name in kept}
 
 
-def summary_is_current(spark: SparkSession, root: str, manifest: dict | None) -> bool:
-    """Whether the stored summary has known files and was made from the item files that are there."""
-    if not (manifest or {}).get("files", {}).get("order_summary") or not manifest.get("order_summary_of"):
+def rollups_are_current(spark: SparkSession, root: str, manifest: dict | None) -> bool:
+    """Whether the stored rollups have known files and were made from the item and product files that are there."""
+    if not (manifest or {}).get("files", {}).get("order_summary") or not manifest.get("rollups_of"):
         return False
-    items = spark.read.parquet(*manifests.folders(spark, root, "order_items", manifest))
-    return manifests.files_digest(items) == manifest["order_summary_of"]
+    tables = (spark.read.parquet(*manifests.folders(spark, root, t, manifest)) for t in ("order_items", "products"))
+    return manifests.files_digest(*tables) == manifest["rollups_of"]

@@ -14,8 +14,8 @@ an export from the quotes of its splits, so it is read by many tasks as well.
 
 An append costs in proportion to the load: the manifest keeps the key range of
 every file and the rules the mart breaks, so that only new rows are checked,
-their keys are looked up in the files whose range they meet, and of the order
-summary only those ranges are made anew (``sources.increments``).
+their keys are looked up in the files whose range they meet, and of the rollups
+of the items only those ranges are made anew (``sources.increments``).
 """
 
 from __future__ import annotations
@@ -245,10 +245,10 @@ def run_ingest(spark: SparkSession, source_dir: str, target_dir: str, mode: str
     result.violations = increments.changed_rules(new, stored, lambda t: read(t, result.tables[t])) if stored else check_gate(new)
     if gate and result.violations:
         raise IngestError("Load rejected, rules broken: " + ", ".join(f"{k} ({v})" for k, v in sorted(result.violations.items())))
-    summary = increments.merged_summary(new["order_items"], stored) if stored and increments.summary_is_current(spark, dst, old) else None
+    rollups = increments.merged_rollups(new["order_items"], read("products", result.tables["products"]), stored) if stored and increments.rollups_are_current(spark, dst, old) else None
     if stored:
-        files = {t: stored.files[t] + files[t] for t in TABLE_ORDER}
-    publish(spark, dst, result.tables, run, base, summary, rows=result.stored, files=files, violations=result.violations)
+        files = {t: stored.files[t] + files[t] for t in TABLE_ORDER}  # publish adds the rollups'
+    publish(spark, dst, result.tables, run, base, rollups, rows=result.stored, files=files, violations=result.violations)
     return result
 
 

@@ -114,6 +114,7 @@ def folders(spark: SparkSession, root: str, table: str, manifest: dict | None) -
     return [f"{root.rstrip('/')}/{n}" for n in names]
 
 
-def files_digest(df: DataFrame) -> str:
-    """Digest of the names of the files behind a table; file names are unique to a write."""
-    return hashlib.sha256("\n".join(sorted(f.rsplit("/", 1)[-1] for f in df.inputFiles())).encode()).hexdigest()
+def files_digest(*tables: DataFrame) -> str:
+    """Digest of the names of the files behind tables; file names are unique to a write."""
+    names = sorted(f.rsplit("/", 1)[-1] for df in tables for f in df.inputFiles())
+    return hashlib.sha256("\n".join(names).encode()).hexdigest()

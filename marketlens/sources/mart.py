@@ -38,20 +38,20 @@ def _add(unit: str, amount: Column, ts: Column) -> Column:
 SUMMARY_PROPERTY = "marketlens.order_summary_of"
 
 
-def publish(spark: SparkSession, root: str, tables: dict[str, list[str]], run: str, base: int, summary: tuple[DataFrame, list[dict]] | None = None, **more) -> None:
-    """Writes the order summary and then the manifest after number ``base``, which makes all of it visible at once.
+def publish(spark: SparkSession, root: str, tables: dict[str, list[str]], run: str, base: int, rollups: dict[str, tuple[DataFrame, list[dict]]] | None = None, **more) -> None:
+    """Writes the rollups of the items and then the manifest after number ``base``, which makes all of it visible at once.
 
-    ``summary`` has the rows to write and the summary files that stay; without it all item folders are summed up.
+    ``rollups`` has the rows to write and the files that stay; what is missing there is made of all item folders.
     ``more`` are further entries of the manifest (rows, files, violations).
     """
-    from marketlens.operators.grain import order_summary
-    from marketlens.sources.increments import write_summary
-    items = spark.read.parquet(*manifests.folders(spark, root, "order_items", {"tables": tables}))
-    rows, kept = summary or (order_summary(items), [])
-    files = kept + write_summary(rows, root, run)
-    manifests.write(spark, root, {
-        "tables": tables | {"order_summary": [f["file"] for f in files] or [f"{run}/order_summary"]}, "order_summary_of": manifests.files_digest(items),
-        "comments": TABLE_COMMENTS, **more, "files": more.get("files", {}) | {"order_summary": files}}, base)
+    from marketlens.sources.increments import ROLLUPS, rollup, write_rollup
+    items, products = (spark.read.parquet(*manifests.folders(spark, root, t, {"tables": tables})) for t in ("order_items", "products"))
+    files, named = dict(more.pop("files", {})), {}
+    for name in ROLLUPS:
+        rows, kept = (rollups or {}).get(name) or (rollup(name, items, products), [])
+        files[name] = kept + write_rollup(rows, root, run, name)
+        named[name] = [f["file"] for f in files[name]] or [f"{run}/{name}"]
+    manifests.write(spark, root, {"tables": tables | named, "rollups_of": manifests.files_digest(items, products), "comments": TABLE_COMMENTS, **more, "files": files}, base)
 
 
 @dataclass
@@ -273,21 +273,28 @@ class Mart:
     def order_summary(self) -> DataFrame:
         """Order-grain sums of the items: the published ones if they were made from the items' present files, else derived."""
         from marketlens.operators.grain import order_summary
-        if self._summary_of() is not None and self._summary_of() == manifests.files_digest(self.order_items):
-            return self._published("order_summary")
-        return order_summary(self.order_items)
+        return self._published("order_summary") if self._is_rolled_up else order_summary(self.order_items)
 
-    def _summary_of(self) -> str | None:
-        """Digest of the item files that a published summary was made from; None without a summary."""
+    @cached_property
+    def order_category_counts(self) -> DataFrame | None:
+        """Items per order and category, if they are published and were made from the present files."""
+        published = self.kind == "tables" and "order_category_counts" in (self.manifest or {}).get("tables", {})
+        return self._published("order_category_counts") if published and self._is_rolled_up else None
+
+    @cached_property
+    def _is_rolled_up(self) -> bool:
+        """Whether published rollups were made from the present item (and product) files."""
         if self.kind == "tables":
-            return (self.manifest or {}).get("order_summary_of")
+            made_of = (self.manifest or {}).get("rollups_of")
+            return made_of is not None and made_of == manifests.files_digest(self.order_items, self.products)
         if self.kind == "catalog" and self.spark.catalog.tableExists(f"`{self.source}`.`order_summary`"):
             rows = self.spark.sql(f"SHOW TBLPROPERTIES `{self.source}`.`order_summary`").collect()
-            return {r[0]: r[1] for r in rows}.get(SUMMARY_PROPERTY)
-        return None
+            made_of = {r[0]: r[1] for r in rows}.get(SUMMARY_PROPERTY)
+            return made_of is not None and made_of == manifests.files_digest(self.order_items)
+        return False
 
     def write(self, root: str, mode: str = "overwrite", files: int | None = None) -> Mart:
-        """Publish all nine tables and the order summary as parquet below ``root``; return a Mart over them.
+        """Publish all nine tables and the rollups of the items as parquet below ``root``; return a Mart over them.
 
         Files go to a folder of this run; the manifest that names it is
         written last, so readers never see a part of it. ``mode="error"``

@@ -6,14 +6,15 @@ import random
 
 import pytest
 
-from marketlens.operators.grain import order_summary
+from marketlens.operators.grain import order_category_counts, order_summary
 from marketlens.operators.quality import RULES, check_rules
+from marketlens.plans.registry import run_report
 from marketlens.sources import increments, manifest
-from marketlens.sources.increments import Stored, changed_rules, meets, merged_summary, spans_of, summary_is_current
+from marketlens.sources.increments import Stored, changed_rules, meets, merged_rollups, rollups_are_current, spans_of
 from marketlens.sources.ingest import IngestError
 from marketlens.sources.mart import Mart
 from marketlens.sources.schemas import SCHEMAS, TABLE_ORDER
-from tests.conftest import D, make_mart
+from tests.conftest import D, SF_SMALL, make_mart
 from tests.test_ingest import CSV, HEADS, SECOND, _load
 
 
@@ -49,7 +50,8 @@ def published(spark, root, stored, new, number):
         tables[t] = stored.manifest["tables"][t] + [f"{run}/{t}"]
         files[t] = stored.files[t] + increments.file_ranges(spark, root, f"{run}/{t}", increments.RANGE_KEY[t])
     from marketlens.sources.mart import publish
-    publish(spark, root, tables, run, manifest.head(spark, root)[0], merged_summary(new["order_items"], stored), files=files)
+    products = spark.read.parquet(*[f"{root}/{f}" for f in tables["products"]])
+    publish(spark, root, tables, run, manifest.head(spark, root)[0], merged_rollups(new["order_items"], products, stored), files=files, violations=stored.manifest.get("violations"))
 
 
 def rows(df):
@@ -73,11 +75,12 @@ def test_summary_after_appends_equals_a_rebuild(spark, tmpdir_path, many_files):
     stored = stored_mart(spark, root, **tables)
     for number in range(3):
         extra = [item(key(rng.randrange(-5, 260)), rng.randrange(3), rng.choice(["2.50", None]), rng.choice(["0.25", None])) for _ in range(25)]
-        extra += [item(None, 5, "9.99")] * number + [item("a", 1), item("z", 1)]
-        published(spark, root, stored, make_mart(spark, order_items=extra).frames, number)
+        extra += [item(None, 5, "9.99")] * number + [item("a", 1, product="p2"), item("z", 1, product="p4")]
+        published(spark, root, stored, make_mart(spark, order_items=extra, products=[{"product_id": "p4", "product_category_name": None}] if not number else []).frames, number)
         m = Mart.from_tables(spark, root)
-        assert summary_is_current(spark, root, m.manifest)
+        assert rollups_are_current(spark, root, m.manifest)
         assert rows(m._published("order_summary")) == rows(order_summary(m.order_items))
+        assert rows(m.order_category_counts) == rows(order_category_counts(m.order_items, m.products))
         assert m.order_summary.columns == order_summary(m.order_items).columns
         assert [f.dataType for f in m.order_summary.schema] == [f.dataType for f in order_summary(m.order_items).schema]
         stored = Stored.read(spark, root, m.manifest)
@@ -89,7 +92,9 @@ def test_append_reads_and_writes_only_the_ranges_it_touches(spark, tmpdir_path,
     before = stored.files["order_summary"]
     assert len(before) >= 4
     new = make_mart(spark, order_items=[item(key(401), 1), item(key(402), 1), item(before[-1]["high"], 2)]).frames["order_items"]
-    merged, rest = merged_summary(new, stored)
+    both = merged_rollups(new, spark.read.parquet(*[f"{root}/{f}" for f in stored.manifest["tables"]["products"]]), Stored(spark, root, stored.manifest | {"violations": {}}))
+    assert set(both) == {"order_summary", "order_category_counts"} and both["order_category_counts"][1] == stored.files["order_category_counts"][:-1]
+    merged, rest = both["order_summary"]
     assert rest == before[:-1]
     read = {f.rsplit("/", 1)[-1] for f in merged.inputFiles()}
     assert read & {f["file"].rsplit("/", 1)[-1] for f in before} == {before[-1]["file"].rsplit("/", 1)[-1]}
@@ -100,13 +105,32 @@ def test_append_reads_and_writes_only_the_ranges_it_touches(spark, tmpdir_path,
     assert {f["file"] for f in before} <= kept and len(kept) == len(before) + 1  # an order past all ranges moves nothing
 
 
-def test_summary_made_anew_when_item_files_changed(spark, tmpdir_path):
+def test_rollups_made_anew_when_files_changed(spark, tmpdir_path):
     root = os.path.join(tmpdir_path, "mart")
     stored_mart(spark, root, **base_tables(20))
     m = manifest.read(spark, root)
-    assert summary_is_current(spark, root, m) and not summary_is_current(spark, root, None)
-    assert not summary_is_current(spark, root, m | {"order_summary_of": "other"})
-    assert not summary_is_current(spark, root, {k: v for k, v in m.items() if k != "files"})
+    assert rollups_are_current(spark, root, m) and not rollups_are_current(spark, root, None)
+    assert not rollups_are_current(spark, root, m | {"rollups_of": "other"})
+    assert not rollups_are_current(spark, root, {k: v for k, v in m.items() if k != "files"})
+
+
+def test_category_counts_made_anew_where_items_lack_a_product(spark, tmpdir_path):
+    """The product of a stored item comes with a later load: its items count from then on."""
+    root, tables = os.path.join(tmpdir_path, "mart"), base_tables(20)
+    tables["order_items"] += [item(key(3), 2, product="late")]
+    stored = stored_mart(spark, root, **tables)
+    stored = Stored(spark, root, stored.manifest | {"violations": {"fk_order_items_product": 1}})
+    published(spark, root, stored, make_mart(spark, products=[{"product_id": "late", "product_category_name": "new"}], order_items=[item(key(4), 2)]).frames, 1)
+    m = Mart.from_tables(spark, root)
+    assert rows(m.order_category_counts) == rows(order_category_counts(m.order_items, m.products))
+    assert (key(3), "new", 1) in rows(m.order_category_counts)
+
+
+def test_category_scores_read_no_item_of_a_published_mart(spark, tmpdir_path):
+    m = Mart.from_testdata(spark, SF_SMALL).write(os.path.join(tmpdir_path, "mart"))
+    report = run_report("q12_5_score_by_category", m)
+    assert not {f.rsplit("/", 1)[-1] for f in report.inputFiles()} & {f.rsplit("/", 1)[-1] for f in m.order_items.inputFiles()}
+    assert rows(report) == rows(run_report("q12_5_score_by_category", Mart.from_testdata(spark, SF_SMALL)))
 
 
 def test_spans_and_files(spark):

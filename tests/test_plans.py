@@ -50,10 +50,11 @@ def test_bucketed_layout_removes_order_shuffles(spark, tmpdir_path):
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for key in ["q4_7_order_financials", "q10_6_reconcile_totals", "q4_6_total_order_value"]:
+        for key in ["q4_7_order_financials", "q10_6_reconcile_totals", "q4_6_total_order_value", "dq_rule_report"]:
             p = plan(spark, key, mart)
             assert "SortMergeJoin" in p, key
             assert "Exchange hashpartitioning(order_id" not in p, key
+        assert "Generate explode" not in plan(spark, "dq_rule_report", mart)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
     assert mart.order_items.count() == Mart.from_testdata(spark, SF_SMALL).order_items.count()
