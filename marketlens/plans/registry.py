@@ -98,3 +98,9 @@ SOLD = "o.order_status = 'delivered' AND EXISTS (FROM order_items x WHERE x.orde
 MONTH = "CAST(make_date(year(o.order_purchase_timestamp), month(o.order_purchase_timestamp), 1) AS DATE)"
 #: The person behind order row o, once per customer record.
 BUYER = "customers b ON b.customer_id = o.customer_id"
+#: Label of each product, for a WITH clause.
+NAMED = """named AS (
+    SELECT product_id, coalesce(t.product_category_name_english, product_category_name, 'Unknown') AS label
+    FROM products LEFT JOIN product_category_name_translation t USING (product_category_name))"""
+#: Days, in microseconds.
+DAY_US = 86_400_000_000
