@@ -28,6 +28,11 @@ def id_crc(col: str | Column) -> Column:
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary"))
 
 
+def hash_share(value: str | Column, part: float) -> Column:
+    """Whether a value is among about this share of all values, drawn by hash in steps of 2^-63; ``part`` below 1."""
+    return F.xxhash64(value).bitwiseAND(F.lit((1 << 63) - 1)) < F.lit(int(part * (1 << 63)))
+
+
 class Scratch:
     """Parquet tables in the session's shared checkpoint folder; used to cut lineage.
 
@@ -76,16 +81,18 @@ class Memo(dict):
         self[key] = value
 
 
-def texts_in_steps(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """(rows, their texts; null as "") in steps of about STEP_CHARS characters."""
+def texts_in_steps(batches: Iterable[pa.RecordBatch], column: str = "text", chars: int = STEP_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """(rows, their texts; null as "") in steps of about ``chars`` characters."""
     gc.set_threshold(100_000, 50, 1000)  # large memo tables hold no cycles; scanning them again and again costs more than it frees
     for batch in batches:
         texts = [t or "" for t in batch.column(column).to_pylist()]
         start, size = 0, 0
         for i, t in enumerate(texts):
-            if size and size + len(t) > STEP_CHARS:
+            if size and size + len(t) > chars:
                 yield batch.slice(start, i - start), texts[start:i]
                 start, size = i, 0
             size += len(t)
         if start < len(texts):
             yield batch.slice(start), texts[start:]
+        del batch, texts
+        pa.default_memory_pool().release_unused()  # a worker that is used again would keep what its largest batch took

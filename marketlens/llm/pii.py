@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from marketlens.llm.common import texts_in_steps
+from marketlens.llm.common import hash_share, texts_in_steps
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
@@ -352,7 +352,7 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, train_windows: int =
     rows = docs.select(F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
     part = min(1.0, sample_docs / max(docs.count(), 1))
     if part < 1:
-        rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(part * (1 << 20)))
+        rows = rows.where(hash_share("text", part))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in texts_in_steps(batches):

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import Scratch
+from marketlens.llm.common import Scratch, hash_share
 
 SAMPLE, LEAF_ROWS, BLOCK_ROWS = 20_000, 128, 4096
 #: Leaf members looked at per query: SHARE of trees x entries, and CANDIDATES at least.
@@ -165,7 +165,7 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_co
     count = entries.count()
     wanted = max(candidates, int(np.ceil(share * trees * count)))
     part = min(1.0, sample_rows / max(count, 1))
-    chosen = entries.where(F.pmod(F.xxhash64("node"), F.lit(1 << 20)) < int(part * (1 << 20)) if part < 1 else F.lit(True))
+    chosen = entries.where(hash_share("node", part) if part < 1 else F.lit(True))
     sample = matrix(chosen.orderBy("node").select("v").toArrow().column("v"))
     if not len(sample):
         return empty
