@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +34,21 @@ def hash_share(value: str | Column, part: float) -> Column:
     return F.xxhash64(value).bitwiseAND(F.lit((1 << 63) - 1)) < F.lit(int(part * (1 << 63)))
 
 
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the jobs inside are deleted when each job ends, not when the driver collects its garbage.
+
+    For jobs that store their result: what they shuffled is never read again.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Scratch:
     """Parquet tables in the session's shared checkpoint folder; used to cut lineage.
 
@@ -47,7 +63,8 @@ class Scratch:
         return f"{self.base}/{name}"
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
+        with shuffles_released(self.spark):
+            df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:

@@ -438,6 +438,8 @@ class JaccardJoin:
         edges, pointers, turn = links.select("a", "b").where("a <> b").distinct(), [], 0
         while True:
             edges = self.scratch.put(edges, f"{name}-edges-{turn}")
+            if turn:
+                self.scratch.drop(f"{name}-edges-{turn - 1}")
             if edges.isEmpty():
                 break
             both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -452,7 +454,10 @@ class JaccardJoin:
         for to in pointers[1:]:
             step = to.select(F.col("a").alias("label"), "to")
             found = found.join(step, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
-        return self.scratch.put(found, f"{name}-labels")
+        found = self.scratch.put(found, f"{name}-labels")
+        for i in range(turn):
+            self.scratch.drop(f"{name}-to-{i}")
+        return found
 
     def links(self, sized: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(links between classes that connect all that is connected, the classes' labels)."""
@@ -470,21 +475,26 @@ class JaccardJoin:
 
         apart = label(label(stars.select("node", "query"), "node", "x"), "query", "y").where("x <> y").select("node", "query")
         links = links.unionByName(self.verified(apart.join(best, ["node", "query"], "left_anti"), sets, "links-stars"))
+        self.scratch.drop("sets")
         labels = self.labels(links, "stars")
 
         # The only pair of a list with two classes is its star.
         members = label(lists.where("k > 2").select("h", "node", "n", "pos"), "node", "x")
         several = members.groupBy("h").agg(F.min("x").alias("low"), F.max("x").alias("high")).where("low <> high").select("h")
         members = self.scratch.put(members.join(several, "h", "left_semi"), "members")
+        self.scratch.drop("lists")
         left = members.select("h", *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "pos", "x")))
         right = members.select("h", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "pos", "x")))
         pairs = left.join(right, "h").where((F.col("x_a") < F.col("x_b")) & self.possible("n_a", "pos_a", "n_b", "pos_b"))
         tried = stars.select("node", "query").unionByName(stars.select(F.col("query").alias("node"), F.col("node").alias("query")))
         pairs = pairs.select(F.col("node_a").alias("query"), F.col("node_b").alias("node")).distinct().join(tried, ["node", "query"], "left_anti")
         pairs = self.scratch.put(pairs, "pairs")
+        for name in ("members", "stars"):
+            self.scratch.drop(name)
         if not pairs.isEmpty():
             more = self.sets_of(pairs.select("node").unionByName(pairs.select(F.col("query").alias("node"))), "more-sets")
             links = links.unionByName(self.verified(pairs, more, "links-rest"))
+            self.scratch.drop("more-sets")
         return links, self.labels(links, "all")
 
     def components(self) -> DataFrame:
