@@ -283,15 +283,21 @@ class Mart:
 
     @cached_property
     def _is_rolled_up(self) -> bool:
-        """Whether published rollups were made from the present item (and product) files."""
+        """Whether published rollups were made from the present item files (and product files, in a folder)."""
+        made_of = self._summary_of()
+        if made_of is None:
+            return False
+        tables = (self.order_items, self.products) if self.kind == "tables" else (self.order_items,)
+        return made_of == manifests.files_digest(*tables)
+
+    def _summary_of(self) -> str | None:
+        """Digest of the files that published rollups were made from; None without any."""
         if self.kind == "tables":
-            made_of = (self.manifest or {}).get("rollups_of")
-            return made_of is not None and made_of == manifests.files_digest(self.order_items, self.products)
+            return (self.manifest or {}).get("rollups_of")
         if self.kind == "catalog" and self.spark.catalog.tableExists(f"`{self.source}`.`order_summary`"):
             rows = self.spark.sql(f"SHOW TBLPROPERTIES `{self.source}`.`order_summary`").collect()
-            made_of = {r[0]: r[1] for r in rows}.get(SUMMARY_PROPERTY)
-            return made_of is not None and made_of == manifests.files_digest(self.order_items)
-        return False
+            return {r[0]: r[1] for r in rows}.get(SUMMARY_PROPERTY)
+        return None
 
     def write(self, root: str, mode: str = "overwrite", files: int | None = None) -> Mart:
         """Publish all nine tables and the rollups of the items as parquet below ``root``; return a Mart over them.
