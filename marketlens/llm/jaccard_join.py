@@ -6,9 +6,11 @@ equal sets form one *class* first (a 64-bit digest of the set is the class's
 key), so copies cost one row each and nothing more.
 
 1. One Arrow pass hashes words and shingles, and gives each document its set
-   size and class. Each task also counts its shingles in a table of 2^20
-   counters; the summed table (4 MB, whatever the corpus) orders shingles from
-   rare to frequent, the same way everywhere.
+   size and class. Each task also counts its shingles in a table of counters,
+   about one for four shingles of the corpus, and 2^MAX_COUNTERS at most; the
+   summed table, one byte a counter, orders shingles from rare to frequent, the
+   same way everywhere. The order only decides which pairs are looked at first
+   and how many, never which links are found.
 2. A second pass sends, per class, the rarest quarter of its shingles to the
    inverted lists. Two similar sets must meet there: the smaller one within
    its first n - ceil(6n/7) + 1 shingles, the larger one within its first
@@ -47,16 +49,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import SPACES, Scratch, texts_in_steps
+from marketlens.llm.common import SPACES, Scratch, shuffles_released, texts_in_steps
 
 WIDTH = 5
-#: log2 of the counters that order shingles by frequency, and of those in one shuffled block.
-COUNTERS, BLOCK = 20, 14
-#: log2 of the bits of the bitmap of wanted classes.
-MARKS = 23
+#: log2 of the fewest and most counters that order shingles by frequency (64 MB at most), and of those in one shuffled block.
+MIN_COUNTERS, MAX_COUNTERS, BLOCK = 20, 26, 16
+#: Characters of text for which there is one counter: about four shingles.
+CHARS_PER_COUNTER = 24
+#: log2 of the fewest and most bits of the bitmap of wanted classes (128 MB at most), and of those in one shuffled block.
+MIN_MARKS, MAX_MARKS, MARK_BLOCK = 23, 30, 17
 #: Classes that one group of ``divide_skip`` searches.
 CHUNK = 256
-#: Lists whose counter reaches this are dealt out over several tasks, by class; see ``lists``.
+#: Lists whose counter exceeds the average by this much are dealt out over several tasks, by class; see ``lists``.
 HOT = 1 << 18
 MU = 0.0085  # DivideSkip's constant that balances heap and probes
 U64 = np.uint64
@@ -130,15 +134,25 @@ def class_key(s: np.ndarray) -> int:
     return int(mix(np.array([mix(s ^ U64(0xA5A5A5A5A5A5A5A5)).sum(dtype=U64) + U64(len(s))], dtype=U64)).view(np.int64)[0])
 
 
-def mark_of(nodes: np.ndarray) -> np.ndarray:
-    return (mix(nodes.view(U64)) >> U64(64 - MARKS)).astype(np.int64)
+def log2_between(wanted: float, low: int, high: int) -> int:
+    """The smallest whole power of two that reaches ``wanted``, as its logarithm, within the bounds."""
+    return min(max(int(np.ceil(np.log2(max(wanted, 1)))), low), high)
+
+
+def mark_of(nodes: np.ndarray, marks: int) -> np.ndarray:
+    return (mix(nodes.view(U64)) >> U64(64 - marks)).astype(np.int64)
 
 
 def is_marked(bits: np.ndarray, nodes: np.ndarray) -> np.ndarray:
-    at = mark_of(nodes)
+    at = mark_of(nodes, int(len(bits)).bit_length() + 2)  # a power of two of bytes
     return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
 
 
+def coded(counts: np.ndarray) -> np.ndarray:
+    """Counts as bytes that keep their order: eight steps for each doubling."""
+    return np.minimum(np.rint(8 * np.log2(counts + 1.0)), 255).astype(np.uint8)
+
+
 def probe_length(n: int) -> int:
     return n - (3 * n + 3) // 4 + 1
 
@@ -216,49 +230,62 @@ class JaccardJoin:
         self.scratch = Scratch(self.spark, "jaccard")
 
     # step 1 -------------------------------------------------------------------------------------------
-    def sized(self) -> DataFrame:
-        """doc_id, n_shingles, node (the class) of each row, and the tasks' counters as rows with n_shingles = -1."""
-        schema = self.docs.select("doc_id").schema.add("n_shingles", "long").add("node", "long").add("counts", "binary")
+    def sized(self, bits: int) -> DataFrame:
+        """doc_id, n_shingles, node (the class) of each row, and the tasks' 2^bits counters as rows with n_shingles = -1."""
+        schema = self.docs.select("doc_id").schema.add("n_shingles", "long").add("node", "long").add("places", "binary").add("counts", "binary")
         width = self.width
 
+        def counted(found: list[np.ndarray], id_type) -> pa.RecordBatch:
+            """One row a block of counters: which of them are not zero, and what they hold."""
+            at, counts = np.unique(np.concatenate(found), return_counts=True)
+            block = at >> BLOCK
+            cuts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+            spans = list(zip(cuts, [*cuts[1:], len(at)]))
+            places = [_plane(np.diff(at[a:b] & ((1 << BLOCK) - 1), prepend=np.uint32(0)).astype(np.uint16)) for a, b in spans]
+            return pa.RecordBatch.from_arrays([pa.nulls(len(cuts), id_type), pa.array([-1] * len(cuts), pa.int64()), pa.array(block[cuts].astype(np.int64)), pa.array(places, pa.binary()), pa.array([_plane(counts[a:b].astype(np.uint32)) for a, b in spans], pa.binary())], names=schema.names)
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            hasher, counters, known = Hasher(width), np.zeros(1 << COUNTERS, dtype=np.uint32), set()
+            hasher, found, size, known = Hasher(width), [], 0, set()
             id_type = None
             for batch, texts in texts_in_steps(batches):
                 id_type = batch.schema.field("doc_id").type
                 sets = hasher.sets(texts)
                 nodes = [class_key(s) for s in sets]
-                fresh = []
                 for s, node in zip(sets, nodes):
-                    if node not in known:
+                    if len(s) and node not in known:
                         if len(known) < 1_000_000:
                             known.add(node)
-                        fresh.append(s)
-                if fresh:
-                    counters += np.bincount((np.concatenate(fresh) >> U64(64 - COUNTERS)).astype(np.int64), minlength=1 << COUNTERS).astype(np.uint32)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64()), pa.nulls(len(sets), pa.binary())], names=schema.names)
-            blocks = counters.reshape(-1, 1 << BLOCK)
-            full = np.flatnonzero(blocks.any(axis=1))
-            if len(full):
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(full), id_type), pa.array([-1] * len(full), pa.int64()), pa.array(full, pa.int64()), pa.array([_plane(blocks[i]) for i in full], pa.binary())], names=schema.names)
+                        found.append((s >> U64(64 - bits)).astype(np.uint32))
+                        size += len(s)
+                if size > 8_000_000:
+                    yield counted(found, id_type)
+                    found, size = [], 0
+                none = pa.nulls(len(sets), pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64()), none, none], names=schema.names)
+            if found:
+                yield counted(found, id_type)
 
         return self.scratch.put(self.docs.mapInArrow(run, schema), "sized")
 
-    def counters(self, sized: DataFrame) -> np.ndarray:
+    def counters(self, sized: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """(the summed counters as bytes, over how many tasks the list of a shingle with each such byte is dealt out)."""
         def add(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
             total = np.zeros(1 << BLOCK, dtype=np.int64)
-            for raw in frame["counts"]:
-                total += _unplane(raw, np.uint32)
-            return pd.DataFrame({"block": [key[0]], "counts": [np.minimum(total, 2 ** 32 - 1).astype(np.uint32).tobytes()]})
-
-        rows = sized.where("n_shingles = -1").groupBy(F.col("node").alias("block")).applyInPandas(add, "block long, counts binary")
-        table = np.zeros((1 << COUNTERS - BLOCK, 1 << BLOCK), dtype=np.uint32)
-        for block, raw in rows.collect():  # at most 2^(COUNTERS - BLOCK) rows, 4 MB in all
-            table[block] = np.frombuffer(raw, dtype=np.uint32)
-        return table.ravel()
+            for places, counts in zip(frame["places"], frame["counts"]):
+                total[np.cumsum(_unplane(places, np.uint16), dtype=np.int64)] += _unplane(counts, np.uint32)
+            return pd.DataFrame({"block": [key[0]], "total": [int(total.sum())], "codes": [coded(total).tobytes()]})
+
+        rows = sized.where("n_shingles = -1").groupBy(F.col("node").alias("block")).applyInPandas(add, "block long, total long, codes binary")
+        table, total = np.zeros((1 << bits - BLOCK, 1 << BLOCK), dtype=np.uint8), 0
+        with shuffles_released(self.spark):
+            for block, held, raw in rows.collect():  # at most 2^(MAX_COUNTERS - BLOCK) rows, 64 MB in all
+                table[block] = np.frombuffer(raw, dtype=np.uint8)
+                total += held
+        above = np.exp2(np.arange(256) / 8) - 1 - total / (1 << bits)  # less what other shingles add to a counter
+        return table.ravel(), np.where(above >= self.hot, above // self.hot + 1, 1).astype(np.uint64)
 
     # step 2 and 3 -------------------------------------------------------------------------------------
-    def lists(self, counters: np.ndarray, buckets: int) -> DataFrame:
+    def lists(self, counters: np.ndarray, deal: np.ndarray, buckets: int) -> DataFrame:
         """h, node, n, pos, hub, hub_n, hub_pos, k: the members of each inverted list with at least two (k) classes.
 
         Lists travel as one binary value per task and bucket of shingles, which
@@ -266,7 +293,7 @@ class JaccardJoin:
         list. A list with a high counter is split by class over several buckets,
         each with a hub of its own (and k above 3); ``stars`` joins those hubs.
         """
-        shared, width, hot = self.spark.sparkContext.broadcast(counters), self.width, self.hot
+        shared, width, away = self.spark.sparkContext.broadcast(counters), self.width, U64(65 - int(len(counters)).bit_length())
 
         def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hasher, order, known = Hasher(width), shared.value, set()
@@ -277,7 +304,7 @@ class JaccardJoin:
                         continue
                     if len(known) < 1_000_000:
                         known.add(node)
-                    first = s[np.lexsort((s, order[(s >> U64(64 - COUNTERS)).astype(np.int64)]))[:probe_length(len(s))]]
+                    first = s[np.lexsort((s, order[(s >> away).astype(np.int64)]))[:probe_length(len(s))]]
                     held.append((node, len(s), first))
                     size += len(first)
                 if size > 4_000_000:
@@ -292,8 +319,8 @@ class JaccardJoin:
             nodes, ns = np.array([a for a, _, _ in held], dtype=np.int64), np.array([b for _, b, _ in held], dtype=np.uint32)
             doc = np.repeat(np.arange(len(held), dtype=np.uint32), sizes)
             pos = np.arange(len(h), dtype=np.uint32) - np.repeat((np.cumsum(sizes) - sizes).astype(np.uint32), sizes)
-            split = shared.value[(h >> U64(64 - COUNTERS)).astype(np.int64)] // hot + 1
-            bucket = (mix(h + mix(nodes[doc].view(U64)) % split.astype(U64)) % U64(buckets)).astype(np.int64)
+            split = deal[shared.value[(h >> away).astype(np.int64)]]
+            bucket = (mix(h + mix(nodes[doc].view(U64)) % split) % U64(buckets)).astype(np.int64)
             by = np.lexsort((h, bucket))
             h, doc, pos, bucket = h[by], doc[by], pos[by], bucket[by]
             at = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
@@ -312,7 +339,7 @@ class JaccardJoin:
                     parts.setdefault(row["bucket"], []).append((np.cumsum(_unplane(row["h"], U64)), np.frombuffer(row["node"], dtype=np.int64)[doc], _unplane(row["n"], np.uint32)[doc], _unplane(row["pos"], np.uint32)))
             for key in sorted(parts):
                 h, node, n, pos = (np.concatenate(x) for x in zip(*parts.pop(key)))
-                split = shared.value[(h >> U64(64 - COUNTERS)).astype(np.int64)] >= hot
+                split = deal[shared.value[(h >> away).astype(np.int64)]] > 1
                 rise = np.sort(h)
                 several = np.unique(rise[1:][rise[1:] == rise[:-1]])
                 several = np.append(several, several[-1:]) if len(several) else np.zeros(1, dtype=U64)
@@ -353,22 +380,27 @@ class JaccardJoin:
 
     # step 4 -------------------------------------------------------------------------------------------
     def marked(self, nodes: DataFrame) -> np.ndarray:
-        """A bitmap of fixed size (2^MARKS bits) with the classes' bits set."""
+        """A bitmap with the classes' bits set; about eight bits a row, within fixed bounds."""
+        marks = log2_between(8 * nodes.count(), MIN_MARKS, MAX_MARKS)
+
         def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            bits = np.zeros(1 << MARKS, dtype=bool)
             for b in batches:
-                bits[mark_of(np.asarray(b.column("node")))] = True
-            blocks = np.packbits(bits).reshape(-1, 1 << BLOCK)
-            full = np.flatnonzero(blocks.any(axis=1))
-            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.array([blocks[i].tobytes() for i in full], pa.binary())], names=["block", "bits"])
+                at = np.unique(mark_of(np.asarray(b.column("node")), marks))
+                block, out = at >> MARK_BLOCK, []
+                full = np.unique(block)
+                for start, end in zip(np.searchsorted(block, full), np.searchsorted(block, full, "right")):
+                    bits = np.zeros(1 << MARK_BLOCK, dtype=bool)
+                    bits[at[start:end] & ((1 << MARK_BLOCK) - 1)] = True
+                    out.append(np.packbits(bits).tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.array(out, pa.binary())], names=["block", "bits"])
 
         def join(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-            total = np.zeros(1 << BLOCK, dtype=np.uint8)
+            total = np.zeros(1 << MARK_BLOCK - 3, dtype=np.uint8)
             for raw in frame["bits"]:
                 total |= np.frombuffer(raw, dtype=np.uint8)
             return pd.DataFrame({"block": [key[0]], "bits": [total.tobytes()]})
 
-        table = np.zeros((1 << MARKS - 3 - BLOCK, 1 << BLOCK), dtype=np.uint8)
+        table = np.zeros((1 << marks - MARK_BLOCK, 1 << MARK_BLOCK - 3), dtype=np.uint8)
         for block, raw in nodes.select("node").mapInArrow(mark, "block long, bits binary").groupBy("block").applyInPandas(join, "block long, bits binary").collect():
             table[block] = np.frombuffer(raw, dtype=np.uint8)
         return table.ravel()
@@ -459,10 +491,10 @@ class JaccardJoin:
             self.scratch.drop(f"{name}-to-{i}")
         return found
 
-    def links(self, sized: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def links(self, counters: np.ndarray, deal: np.ndarray) -> tuple[DataFrame, DataFrame]:
         """(links between classes that connect all that is connected, the classes' labels)."""
         buckets = max(self.docs.rdd.getNumPartitions(), 12)
-        lists = self.lists(self.counters(sized), buckets)
+        lists = self.lists(counters, deal, buckets)
         stars = self.stars(lists)
         sets = self.sets_of(stars.select("node").unionByName(stars.select(F.col("query").alias("node"))), "sets")
         best = stars.groupBy("node").agg(F.max_by("query", F.struct("shared", "query")).alias("query"))
@@ -499,9 +531,13 @@ class JaccardJoin:
 
     def components(self) -> DataFrame:
         """doc_id, n_shingles, component_id of every row."""
-        sized = self.sized()
-        _, labels = self.links(sized)
-        rows = sized.where("n_shingles >= 0").drop("counts")
+        chars = self.docs.agg(F.sum(F.length("text"))).first()[0] or 0
+        bits = log2_between(chars / CHARS_PER_COUNTER, MIN_COUNTERS, MAX_COUNTERS)
+        sized = self.sized(bits)
+        counters, deal = self.counters(sized, bits)
+        rows = self.scratch.put(sized.where("n_shingles >= 0").drop("places", "counts"), "rows")
+        self.scratch.drop("sized")
+        _, labels = self.links(counters, deal)
         classes = rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
         classes = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         smallest = classes.groupBy("label").agg(F.min("first").alias("component_id"))
