@@ -19,8 +19,13 @@ key), so copies cost one row each and nothing more.
    (a star), so a list of k classes gives k - 1 pairs. Of a class's pairs the
    one that most lists ask for is looked at first; further pairs are looked at
    only if their classes are still in different components, first the other
-   star pairs, then all pairs of lists of three or more that still hold several
-   components.
+   star pairs, then the pairs of lists of three or more that still hold several
+   components. The latter are tried inside tasks, in blocks of bounded size: a
+   class carries how many of its shingles fall into each of SKETCH bins, and the
+   differences of two classes' bins add up to at most the shingles that only one
+   of them has. Only pairs that this can't refuse become rows; first, of each
+   class in a block, the one with the least difference, then, by the components
+   that these links leave, all others.
    So no link between components is missed, and copies never meet all copies.
 4. Pairs are grouped by one of their classes, the query, in chunks of bounded
    size. ``divide_skip`` finds the documents of a chunk that reach the required
@@ -60,6 +65,8 @@ CHARS_PER_COUNTER = 24
 MIN_MARKS, MAX_MARKS, MARK_BLOCK = 23, 30, 17
 #: Classes that one group of ``divide_skip`` searches.
 CHUNK = 256
+#: Bins of a class's sketch, members of a list that one block of pairs takes from each side, and pairs tried in one step.
+SKETCH, SIDE, PAIRS = 128, 1024, 1 << 18
 #: Lists whose counter exceeds the average by this much are dealt out over several tasks, by class; see ``lists``.
 HOT = 1 << 18
 MU = 0.0085  # DivideSkip's constant that balances heap and probes
@@ -211,6 +218,50 @@ def _inverted(query: np.ndarray, sets: list[np.ndarray]) -> list[list[int]]:
     return [x.tolist() for x in np.split(owner[order], np.searchsorted(at[order], np.arange(1, len(query))))]
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """How many shingles of a set fall into each bin, one byte a bin (255: that many or more)."""
+    return np.minimum(np.bincount((s & U64(SKETCH - 1)).astype(np.int64), minlength=SKETCH), 255).astype(np.uint8).tobytes()
+
+
+def pairs_left(rows: pa.RecordBatch, best: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row, row) of the pairs within blocks that can be similar and lie in different components.
+
+    Rows are sorted by block (h, low, high). Members of two chunks meet in the
+    block of both, those of one chunk in a block of their own. ``best``: of a
+    step's pairs with the same first row only the one whose sketches differ least.
+    """
+    h, low, high, chunk, n, pos, x = (np.asarray(rows.column(c)) for c in ("h", "low", "high", "chunk", "n", "pos", "x"))
+    bins = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), dtype=np.uint8).reshape(-1, SKETCH)
+    new = np.concatenate([[True], (h[1:] != h[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
+    first = np.flatnonzero(new)
+    block = np.cumsum(new) - 1
+    start, size = first[block], np.diff(np.append(first, len(h)))[block]
+    until = np.cumsum(size)
+    at = 0
+    while at < len(h):
+        end = max(int(np.searchsorted(until, until[at] - size[at] + PAIRS, "right")), at + 1)
+        many = size[at:end]
+        a = np.repeat(np.arange(at, end), many)
+        b = np.arange(len(a)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(start[at:end], many)
+        fine = (x[a] < x[b]) & ((low[a] == high[a]) | (chunk[a] != chunk[b]))
+        a, b = a[fine], b[fine]
+        need = (3 * (n[a] + n[b]) + 6) // 7
+        early = np.where(n[a] <= n[b], pos[a] < index_length(n[a]), pos[b] < index_length(n[b]))
+        fine = early & (4 * np.minimum(n[a], n[b]) >= 3 * np.maximum(n[a], n[b])) & (np.minimum(n[a] - pos[a], n[b] - pos[b]) >= need)
+        a, b, need = a[fine], b[fine], need[fine]
+        for i in range(0, len(a), PAIRS // 8):
+            p, q = a[i:i + PAIRS // 8], b[i:i + PAIRS // 8]
+            apart = np.abs(bins[p].astype(np.int16) - bins[q]).sum(axis=1)
+            fine = apart <= n[p] + n[q] - 2 * need[i:i + PAIRS // 8]
+            p, q, apart = p[fine], q[fine], apart[fine]
+            if best and len(p):
+                by = np.lexsort((apart, p))
+                by = by[np.concatenate([[True], p[by][1:] != p[by][:-1]])]
+                p, q = p[by], q[by]
+            yield p, q
+        at = end
+
+
 def _plane(x: np.ndarray) -> bytes:
     """The bytes of an array by significance, so that leading zeros compress away."""
     return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
@@ -406,7 +457,7 @@ class JaccardJoin:
         return table.ravel()
 
     def sets_of(self, nodes: DataFrame, name: str) -> DataFrame:
-        """node, task, shingles (binary) of the given classes, at least; a class that several tasks met has a row from each.
+        """node, task, shingles and sketch (binary) of the given classes, at least; a class that several tasks met has a row from each.
 
         Texts are hashed again rather than moved: the bitmap tells each task which
         classes may be wanted, and it keeps one copy of each.
@@ -421,10 +472,39 @@ class JaccardJoin:
                     node = class_key(s) if len(s) else None
                     if node is not None and node not in known and is_marked(bits.value, np.array([node]))[0]:
                         known.add(node)
-                        found.append((node, s.tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([task] * len(found), pa.int32()), pa.array([x for _, x in found], pa.binary())], names=["node", "task", "shingles"])
+                        found.append((node, s.tobytes(), sketch(s)))
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([task] * len(found), pa.int32()), *(pa.array([x[i] for x in found], pa.binary()) for i in (1, 2))], names=["node", "task", "shingles", "sketch"])
+
+        return self.scratch.put(self.docs.select("text").mapInArrow(run, "node long, task int, shingles binary, sketch binary"), name)
 
-        return self.scratch.put(self.docs.select("text").mapInArrow(run, "node long, task int, shingles binary"), name)
+    def pairs_of(self, members: DataFrame, sets: DataFrame, best: bool) -> DataFrame:
+        """query, node: pairs of members (h, node, n, pos, x, k) of a list with different x that neither places nor sketches refuse."""
+        sketches = sets.groupBy("node").agg(F.min("sketch").alias("sketch"))
+        chunks = F.ceil(F.col("k") / SIDE)
+        dealt = members.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
+        dealt = dealt.select("h", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "chunk", "node", "n", "pos", "x")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rest: list[pa.RecordBatch] = []  # the last block may go on in the next batch
+            for b in batches:
+                if not b.num_rows:
+                    continue
+                rows = pa.Table.from_batches([*rest, b]).combine_chunks().to_batches()[0]
+                keys = np.stack([np.asarray(rows.column(c)) for c in ("h", "low", "high")])
+                cut = int((keys == keys[:, -1:]).all(axis=0).argmax())
+                if cut:
+                    yield from found(rows.slice(0, cut))
+                rest = [rows.slice(cut)]
+            if rest:
+                yield from found(rest[0])
+
+        def found(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            node = np.asarray(rows.column("node"))
+            for a, b in pairs_left(rows, best):
+                yield pa.RecordBatch.from_arrays([pa.array(node[a], pa.int64()), pa.array(node[b], pa.int64())], names=["query", "node"])
+
+        blocks = dealt.join(sketches, "node").repartition("h", "low", "high").sortWithinPartitions("h", "low", "high")
+        return blocks.mapInArrow(run, "query long, node long").distinct()
 
     def among(self, sets: DataFrame, nodes: DataFrame) -> DataFrame:
         """The rows of ``sets`` that may belong to the given classes, by bitmap, so that few are moved."""
@@ -511,22 +591,28 @@ class JaccardJoin:
         labels = self.labels(links, "stars")
 
         # The only pair of a list with two classes is its star.
-        members = label(lists.where("k > 2").select("h", "node", "n", "pos"), "node", "x")
-        several = members.groupBy("h").agg(F.min("x").alias("low"), F.max("x").alias("high")).where("low <> high").select("h")
-        members = self.scratch.put(members.join(several, "h", "left_semi"), "members")
+        def open_lists(df: DataFrame, name: str) -> DataFrame:
+            """h, node, n, pos, x, k: the members of the lists that hold several components."""
+            members = label(df.select("h", "node", "n", "pos"), "node", "x")
+            several = members.groupBy("h").agg(F.min("x").alias("low"), F.max("x").alias("high"), F.count("*").alias("k")).where("low <> high").select("h", "k")
+            return self.scratch.put(members.join(several, "h"), name)
+
+        members = open_lists(lists.where("k > 2"), "members")
         self.scratch.drop("lists")
-        left = members.select("h", *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "pos", "x")))
-        right = members.select("h", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "pos", "x")))
-        pairs = left.join(right, "h").where((F.col("x_a") < F.col("x_b")) & self.possible("n_a", "pos_a", "n_b", "pos_b"))
-        tried = stars.select("node", "query").unionByName(stars.select(F.col("query").alias("node"), F.col("node").alias("query")))
-        pairs = pairs.select(F.col("node_a").alias("query"), F.col("node_b").alias("node")).distinct().join(tried, ["node", "query"], "left_anti")
-        pairs = self.scratch.put(pairs, "pairs")
+        if not members.isEmpty():
+            more = self.sets_of(members, "more-sets")
+            tried = stars.select("node", "query").unionByName(stars.select(F.col("query").alias("node"), F.col("node").alias("query")))
+            pairs = self.scratch.put(self.pairs_of(members, more, best=True).join(tried, ["node", "query"], "left_anti"), "pairs-closest")
+            links = links.unionByName(self.verified(pairs, more, "links-closest"))
+            labels = self.labels(links, "closest")
+            tried = tried.unionByName(pairs.select("node", "query")).unionByName(pairs.select(F.col("query").alias("node"), F.col("node").alias("query")))
+            members = open_lists(members, "members-left")
+            pairs = self.scratch.put(self.pairs_of(members, more, best=False).join(tried, ["node", "query"], "left_anti"), "pairs")
+            links = links.unionByName(self.verified(pairs, more, "links-rest"))
+            for name in ("more-sets", "members-left", "pairs-closest", "pairs"):
+                self.scratch.drop(name)
         for name in ("members", "stars"):
             self.scratch.drop(name)
-        if not pairs.isEmpty():
-            more = self.sets_of(pairs.select("node").unionByName(pairs.select(F.col("query").alias("node"))), "more-sets")
-            links = links.unionByName(self.verified(pairs, more, "links-rest"))
-            self.scratch.drop("more-sets")
         return links, self.labels(links, "all")
 
     def components(self) -> DataFrame:

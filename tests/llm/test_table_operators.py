@@ -402,6 +402,22 @@ def families() -> dict[int, str]:
     return dict(enumerate(texts))
 
 
+def test_pairs_of_open_lists_equal_all_pairs(spark, tmp_path, monkeypatch):
+    """No similar pair is refused, whether a list is one block or dealt over chunks; sketches of 255 and more stay bounds."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2 ** 63, 60_000).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base[:n], rng.integers(0, 2 ** 63, n // 9).astype(np.uint64)])) for n in (20, 21, 22, 40, 41, 300, 310, 320, 50_000, 51_000, 60_000) for _ in range(2)]
+    members = spark.createDataFrame([(7, i, len(s), 0, i, len(sets)) for i, s in enumerate(sets)], "h long, node long, n long, pos long, x long, k long")
+    sketches = spark.createDataFrame([(i, jaccard_join.sketch(s)) for i, s in enumerate(sets)], "node long, sketch binary")
+    wanted = {(i, j) for j in range(len(sets)) for i in range(j) if jaccard_join.similar(len(np.intersect1d(sets[i], sets[j])), len(sets[i]), len(sets[j]))}
+    join = jaccard_join.JaccardJoin(documents(spark, ["a"]))
+    for side in (jaccard_join.SIDE, 3):
+        monkeypatch.setattr(jaccard_join, "SIDE", side)
+        got = [(r["query"], r["node"]) for r in join.pairs_of(members, sketches, best=False).collect()]
+        assert wanted and wanted <= set(got) and len(got) == len(set(got))
+        assert all(3 * max(len(sets[i]), len(sets[j])) <= 4 * min(len(sets[i]), len(sets[j])) for i, j in got)
+
+
 @pytest.mark.parametrize("hot", [jaccard_join.HOT, 3])
 def test_components_equal_brute_force(spark, families, hot):
     """``hot=3`` deals almost every list over several tasks."""
