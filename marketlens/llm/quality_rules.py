@@ -3,7 +3,10 @@
 Each rule votes *bad* (-1), *good* (+1) or abstains (0) on a document. Rules
 are not all-must-pass filters: expectation-maximisation over the vote patterns
 of all documents estimates, for each rule, how it votes on good and on bad
-documents, and the posterior probability of *good* decides. Documents enter
+documents, and the posterior probability of *good* decides. Strict rules have
+doubtful companions (fewer than 100 words, any copied line, some capitals): EM
+finds that these fire alone on documents that all others like, so a lone vote of theirs is
+overruled, while votes that rules cast together count. Documents enter
 EM only as counts per vote pattern (at most 3^rules patterns, whatever the
 number of documents), aggregated by Spark; the EM itself is a few matrix
 products over that bounded table.
@@ -31,6 +34,9 @@ BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 MORE = ["n_lines", "n_letters", "n_upper", "n_marks", "n_wordlike"]
 MIN_WORDS, MAX_REPEAT_PCT = 50, 50
 KEEP_AT = 0.5
+#: Where EM starts: shares of bad, no and good votes on bad documents, then on good ones; shares of the two classes.
+BEFORE = np.array([[0.35, 0.25, 0.40], [0.03, 0.17, 0.80]])
+MASS = np.array([0.2, 0.8])
 
 
 def measure(text: str) -> tuple[int, ...]:
@@ -93,14 +99,18 @@ def rules(prefix: str = "") -> list[tuple[str, Column]]:
     never = F.lit(False)
     return [
         ("length", vote(c["n_words"] < MIN_WORDS, c["n_words"] >= MIN_WORDS)),
-        ("symbols", vote(symbols > 0.15, never)),
-        ("capitals", vote(upper > 0.35, never)),
-        ("shouting", vote(marks > 0.12, never)),
-        ("repetition", vote(repeats > 0.5, never)),
-        ("copied_lines", vote((dup > 0.3) & (c["n_dup_lines"] >= 3), never)),
-        ("word_size", vote((mean < 2) | (mean > 14), (mean >= 3) & (mean <= 9))),
+        ("brevity", vote(c["n_words"] < 2 * MIN_WORDS, c["n_words"] >= 4 * MIN_WORDS)),
+        ("symbols", vote(symbols > 0.15, symbols < 0.02)),
+        ("any_symbol", vote(symbols > 0.02, never)),
+        ("capitals", vote(upper > 0.35, upper < 0.12)),
+        ("some_capitals", vote(upper > 0.05, never)),
+        ("shouting", vote(marks > 0.12, marks < 0.02)),
+        ("repetition", vote(repeats > 0.5, repeats < 0.1)),
+        ("some_repetition", vote(repeats > 0.3, never)),
+        ("copied_lines", vote((dup > 0.3) & (c["n_dup_lines"] >= 3), c["n_dup_lines"] == 0)),
+        ("any_copy", vote(c["n_dup_lines"] >= 1, never)),
+        ("word_size", vote((mean > 6.6) | (mean < 3.6), (mean > 4.2) & (mean < 6))),
         ("word_share", vote(wordlike < 0.7, wordlike > 0.95)),
-        ("plain_prose", vote(never, (symbols < 0.03) & (upper < 0.25) & (marks < 0.05) & (repeats < 0.45) & (dup < 0.4))),
     ]
 
 
@@ -112,38 +122,43 @@ def pattern(prefix: str = "") -> Column:
     return out.cast("long")
 
 
-def fit(counts: list[tuple[int, int]], n_rules: int, rounds: int = 60, prior: float = 2.0) -> tuple[dict[int, float], np.ndarray]:
-    """(posterior of good by pattern, accuracies [class, rule, vote]) by EM over counts per pattern.
+def fit(counts: list[tuple[int, int]], n_rules: int, rounds: int = 100, prior: float = 20.0) -> tuple[dict[int, float], np.ndarray]:
+    """(posterior of good by pattern, shares of votes [class, rule, vote]) by EM over counts per pattern.
 
-    Starts from "bad if any rule votes bad". ``prior`` pseudo-documents per cell
-    lean towards rules that are better than chance, which also keeps the two classes from swapping.
+    Every rule starts with the shares of BEFORE, so that no rule decides alone and one bad vote among good
+    ones is outvoted; from there on a rule is worth what its agreement with the others says. ``prior``
+    pseudo-documents per class with those shares keep the two classes from swapping.
     """
+    table = np.repeat(BEFORE[:, None, :], n_rules, axis=1)
     if not counts:
-        return {}, np.full((2, n_rules, 3), 1 / 3)
+        return {}, table
     codes, weight = np.array([c for c, _ in counts], dtype=np.int64), np.array([n for _, n in counts], dtype=float)
     order = np.argsort(codes)
     codes, weight = codes[order], weight[order]
-    votes = (codes[:, None] // 3 ** np.arange(n_rules - 1, -1, -1)) % 3
-    onehot = np.eye(3)[votes]
-    lean = np.array([[1.0, 1.0, 0.2], [0.2, 1.0, 1.0]])[:, None, :] * prior
-    good = np.where((votes == 0).any(axis=1), 0.05, 0.95)
+    onehot = np.eye(3)[(codes[:, None] // 3 ** np.arange(n_rules - 1, -1, -1)) % 3]
+    lean, mass, good = table * prior, MASS, None
     for _ in range(rounds):
-        share = np.stack([(1 - good) * weight, good * weight])
-        table = np.einsum("cp,prv->crv", share, onehot) + lean
-        table /= table.sum(axis=2, keepdims=True)
-        mass = (share.sum(axis=1) + prior) / (weight.sum() + 2 * prior)
         loglik = np.einsum("prv,crv->cp", onehot, np.log(table)) + np.log(mass)[:, None]
         updated = 1 / (1 + np.exp(np.clip(loglik[0] - loglik[1], -500, 500)))
-        if np.abs(updated - good).max() < 1e-9:
+        if good is not None and np.abs(updated - good).max() < 1e-9:
             break
         good = updated
+        share = np.stack([(1 - good) * weight, good * weight])
+        table = np.einsum("cp,prv->crv", share, onehot) + lean
+        table /= table.sum(axis=2, keepdims=True)
+        mass = (share.sum(axis=1) + 2) / (weight.sum() + 4)
     return dict(zip(codes.tolist(), good.tolist())), table
 
 
-def judged(docs: DataFrame, text_col: str = "text", prefix: str = "") -> DataFrame:
-    """All columns of ``docs`` plus the counts, ``quality_prob``, ``base_failed`` and ``kept`` (named with ``prefix``)."""
+def judged(docs: DataFrame, text_col: str = "text", prefix: str = "", keep_text: bool = True) -> DataFrame:
+    """All columns of ``docs`` plus the counts, ``quality_prob``, ``base_failed`` and ``kept`` (named with ``prefix``).
+
+    Without ``keep_text`` the text is left out, and then only counts are stored between the two passes.
+    """
     spark = docs.sparkSession
     seen = with_measures(docs, text_col, prefix).withColumn(prefix + "pattern", pattern(prefix))
+    if not keep_text:
+        seen = seen.drop(text_col)
     seen = Scratch(spark, "quality").put(seen, "measures")
     histogram = [(r[0], r[1]) for r in seen.groupBy(prefix + "pattern").count().collect()]  # at most 3^rules rows
     posterior, _ = fit(histogram, len(rules()))
@@ -156,7 +171,7 @@ def judged(docs: DataFrame, text_col: str = "text", prefix: str = "") -> DataFra
 
 def score_quality(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, base counts, base_failed, quality_prob, kept."""
-    return judged(docs.select("doc_id", "text").withColumn("text", F.col("text").cast("string"))).select(
+    return judged(docs.select("doc_id", "text").withColumn("text", F.col("text").cast("string")), keep_text=False).select(
         "doc_id", *BASE, "base_failed", "kept", "quality_prob")
 
 

@@ -8,6 +8,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketlens.llm import lang_id, piece_codec, quality_rules, queries, secret_scan, token_counts
 from tests.llm.fixtures import SF, by_id, documents, odd_texts, prose, sf_texts
@@ -169,6 +170,25 @@ def test_quality_verdicts_agree_with_the_labels(spark):
     assert all(r["kept"] for q, r in pairs if q == 1 and not r["base_failed"])
 
 
+def test_a_doubtful_vote_is_overruled(spark):
+    """Short, clean documents and one copied line meet a bad vote and stay; junk that several rules see goes."""
+    r = random.Random(5)
+    plain = [prose(r, 260) for _ in range(200)]
+    short = [prose(r, 70) for _ in range(30)]
+    copied = [p + "\n" + line + "\n" + line for p, line in ((prose(r, 230), prose(r, 8)) for _ in range(30))]
+    junk = [" ".join(w + "#$*" for w in prose(r, 200).split()) for _ in range(30)] + [prose(r, 200).upper() + " !" * 60 for _ in range(30)]
+    got = by_id(quality_rules.judged(documents(spark, plain + short + copied + junk).select("doc_id", "text"), keep_text=False).withColumn("bad", F.array_contains(F.array(*[v for _, v in quality_rules.rules()]), -1)))
+    assert all(got[i]["kept"] for i in range(260)) and not any(got[i]["kept"] for i in range(260, 320))
+    assert all(got[i]["bad"] for i in range(200, 320))
+
+
+def test_verdicts_are_not_all_must_pass(spark):
+    got = quality_rules.judged(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text"), keep_text=False)
+    bad = F.array_contains(F.array(*[v for _, v in quality_rules.rules()]), -1)
+    assert got.where(bad & F.col("kept")).count() > 50
+    assert got.where(~bad & ~F.col("kept")).count() == 0
+
+
 def test_em_finds_the_accurate_rule():
     """Three rules that vote on planted classes; the second is wrong half the time."""
     counts, r = Counter(), random.Random(1)
