@@ -13,7 +13,8 @@ and adds spans:
   is decoded;
 * such a region is cut into overlapping windows; each character's tag scores
   are averaged over its windows, weighted towards their middle, and one
-  Viterbi pass over the whole region reconciles them;
+  Viterbi pass over the whole region reconciles them. A long region is streamed:
+  scores come batch by batch, and tags leave as soon as no later score can change them;
 * a decoded span must have the form of its kind (digit count, check digit,
   octets) and must not overlap a pattern's span, which always stays.
 
@@ -25,9 +26,10 @@ labelled span to learn from, nothing is added.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +50,8 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 SAMPLE_DOCS, TRAIN_WINDOWS = 20_000, 1200
+#: Windows without a span that a sampled document gives at most.
+COUNTER_EXAMPLES = 3
 WINDOW, STRIDE, CONTEXT = 64, 32, 28
 SHOWN = "abcdefghijklmnopqrstuvwxyz@.+-() _%:/,'\"\n=#$&*!"
 HIDDEN, EMBED = 16, 12
@@ -207,18 +211,50 @@ class Tagger:
 
     def viterbi(self, e: np.ndarray) -> np.ndarray:
         """The best tag sequence for scores [time, tag]; a span starts with B and goes on with I of its kind."""
-        best, back = np.where(_STARTS, e[0], -1e9), np.zeros(e.shape, dtype=np.int64)
-        move = np.where(_MOVES, self.p["move"], -1e9)
-        for t in range(1, len(e)):
-            way = best[:, None] + move
+        path = Path(self)
+        path.add(e)
+        return path.rest()
+
+
+class Path:
+    """Viterbi over scores that come in parts. Tags are given out once the best ways to all tags share them, so only the open end is held."""
+
+    def __init__(self, tagger: Tagger):
+        self.move, self.best, self.back = np.where(_MOVES, tagger.p["move"], -1e9), None, np.zeros((0, len(TAGS)), dtype=np.uint8)
+
+    def add(self, e: np.ndarray) -> None:
+        back = np.zeros(e.shape, dtype=np.uint8)
+        for t in range(len(e)):
+            if self.best is None:
+                self.best = np.where(_STARTS, e[0], -1e9)
+                continue
+            way = self.best[:, None] + self.move
             back[t] = way.argmax(axis=0)
-            best = way.max(axis=0) + e[t]
-        out = np.zeros(len(e), dtype=np.int64)
-        out[-1] = best.argmax()
-        for t in range(len(e) - 1, 0, -1):
-            out[t - 1] = back[t, out[t]]
+            self.best = way.max(axis=0) + e[t]
+        self.back = np.concatenate([self.back, back])
+
+    def _traced(self, n: int, tag: int) -> np.ndarray:
+        """Tags of the first ``n`` held places, if the last of them has this one."""
+        out = np.zeros(n, dtype=np.int64)
+        for t in range(n - 1, -1, -1):
+            out[t] = tag
+            tag = self.back[t, tag]
         return out
 
+    def settled(self) -> np.ndarray:
+        """The tags that no later score can change; they are held no longer."""
+        ways = np.arange(len(TAGS))
+        for t in range(len(self.back) - 1, 0, -1):
+            ways = self.back[t, ways]
+            if (ways == ways[0]).all():
+                out = self._traced(t, int(ways[0]))
+                self.back = self.back[t:]
+                return out
+        return np.zeros(0, dtype=np.int64)
+
+    def rest(self) -> np.ndarray:
+        return self._traced(len(self.back), int(self.best.argmax())) if len(self.back) else np.zeros(0, dtype=np.int64)
+
 
 _STARTS = np.array([not t.startswith("I") for t in TAGS])
 _MOVES = np.array([[not b.startswith("I") or a[1:] == b[1:] and a != "O" for b in TAGS] for a in TAGS])
@@ -247,18 +283,69 @@ def windows(size: int) -> list[int]:
     return [0] if size <= WINDOW else [*range(0, size - WINDOW, STRIDE), size - WINDOW]
 
 
+#: Weight of each place of a window in the average over windows.
+WEIGHT = 1.0 + np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1])[:, None]
+
+
+def averaged(tagger: Tagger, text: str, batch: int) -> Iterator[np.ndarray]:
+    """Tag scores of a region, averaged over its windows; after each ``batch`` windows those that no later window meets."""
+    starts, at = windows(len(text)), 0
+    held = np.zeros((0, len(TAGS) + 1))  # weighted sums, then the weight
+    for j in range(0, len(starts), batch):
+        own = starts[j:j + batch]
+        end = min(len(text), own[-1] + WINDOW)
+        held = np.concatenate([held, np.zeros((end - at - len(held), len(TAGS) + 1))])
+        code, ids = codes(text[own[0]:end]), np.zeros((len(own), WINDOW), dtype=np.int64)
+        for r, s in enumerate(own):
+            part = code[s - own[0]:s - own[0] + WINDOW]
+            ids[r, :len(part)] = part
+        for s, e in zip(own, tagger.scores(ids)):
+            m = min(WINDOW, len(text) - s)
+            held[s - at:s - at + m, :-1] += (e * WEIGHT)[:m]
+            held[s - at:s - at + m, -1:] += WEIGHT[:m]
+        done = starts[j + batch] - at if j + batch < len(starts) else len(held)
+        yield held[:done, :-1] / held[:done, -1:]
+        held, at = held[done:], at + done
+
+
+def streamed_tags(tagger: Tagger, text: str, batch: int) -> Iterator[int]:
+    """The best tags of a region of any length, in memory that does not grow with it."""
+    path = Path(tagger)
+    for e in averaged(tagger, text, batch):
+        path.add(e)
+        yield from path.settled().tolist()
+    yield from path.rest().tolist()
+
+
+def tagged_spans(tags: Iterable[int], at: int) -> Iterator[Span]:
+    """The spans that tags mark, the first tag standing for place ``at``."""
+    start = kind = None
+    for j, tag in enumerate(itertools.chain(tags, [0]), at):
+        if start is not None and (tag == 0 or TAGS[tag][0] == "B"):
+            yield kind, start, j
+            start = None
+        if tag and TAGS[tag][0] == "B":
+            start, kind = j, TAGS[tag][2:]
+
+
 def decode(tagger: Tagger, texts: list[str], batch: int = 1024) -> list[list[Span]]:
     """Spans of each text, before any test of their form."""
     every = [(i, a, b) for i, t in enumerate(texts) for a, b in regions(t)]
-    weight = 1.0 + np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1])[:, None]
     out: list[list[Span]] = [[] for _ in texts]
-    # regions are taken in groups, so that memory does not grow with the step; a long one is a group of its own
+    # short regions are taken in groups, so that memory does not grow with the step; a long one is streamed
     at = 0
     while at < len(every):
         group, n = [], 0
-        while at < len(every) and (not group or n < batch):
-            group.append(every[at])
-            n += len(windows(every[at][2] - every[at][1]))
+        while at < len(every) and n < batch:
+            i, a, b = every[at]
+            more = len(windows(b - a))
+            if more > batch:
+                if group:
+                    break
+                out[i] += tagged_spans(streamed_tags(tagger, texts[i][a:b], batch), a)
+            else:
+                group.append(every[at])
+                n += more
             at += 1
         ids, place = np.zeros((n, WINDOW), dtype=np.int64), []
         for g, (i, a, b) in enumerate(group):
@@ -267,22 +354,15 @@ def decode(tagger: Tagger, texts: list[str], batch: int = 1024) -> list[list[Spa
                 part = code[s:s + WINDOW]
                 ids[len(place), :len(part)] = part
                 place.append((g, s))
-        scores = np.concatenate([tagger.scores(ids[j:j + batch]) for j in range(0, n, batch)])
+        scores = np.concatenate([tagger.scores(ids[j:j + batch]) for j in range(0, n, batch)]) if n else []
         sums = [np.zeros((b - a, len(TAGS))) for _, a, b in group]
         mass = [np.zeros((b - a, 1)) for _, a, b in group]
         for (g, s), e in zip(place, scores):
             m = min(WINDOW, len(sums[g]) - s)
-            sums[g][s:s + m] += (e * weight)[:m]
-            mass[g][s:s + m] += weight[:m]
+            sums[g][s:s + m] += (e * WEIGHT)[:m]
+            mass[g][s:s + m] += WEIGHT[:m]
         for (i, a, _), total, w in zip(group, sums, mass):
-            start = None
-            tags = tagger.viterbi(total / w).tolist()
-            for j, tag in enumerate([*tags, 0]):
-                if start is not None and (tag == 0 or TAGS[tag][0] == "B"):
-                    out[i].append((TAGS[tags[start]][2:], a + start, a + j))
-                    start = None
-                if tag and TAGS[tag][0] == "B":
-                    start = j
+            out[i] += tagged_spans(tagger.viterbi(total / w).tolist(), a)
     return out
 
 
@@ -344,7 +424,7 @@ def examples(text: str, spans: list[Span]) -> list[tuple[str, list[Span]]]:
             a = max(a, TRIGGER.search(text, a).start() - CONTEXT)
             plain.append(text[a:b][:WINDOW])
     # a few from anywhere in the text
-    return out + [(w, []) for w in sorted(plain, key=lambda w: (zlib.crc32(w.encode("utf-8", "replace")), w))[:3]]
+    return out + [(w, []) for w in sorted(plain, key=lambda w: (zlib.crc32(w.encode("utf-8", "replace")), w))[:COUNTER_EXAMPLES]]
 
 
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, train_windows: int = TRAIN_WINDOWS) -> Tagger | None:

@@ -337,6 +337,37 @@ def test_counter_examples_come_from_the_whole_text():
     assert late and all(any(c.isdigit() for c in w) for w in late)
 
 
+def test_streamed_path_equals_the_whole_one(tagger):
+    """Tags given out in parts are those of one pass over all scores, whatever the parts."""
+    rng = np.random.default_rng(8)
+    e = rng.normal(0, 3, (700, len(pii.TAGS)))
+    move = np.where(pii._MOVES, tagger.p["move"], -1e9)
+    best, back = np.where(pii._STARTS, e[0], -1e9), []
+    for row in e[1:]:
+        back.append((best[:, None] + move).argmax(axis=0))
+        best = (best[:, None] + move).max(axis=0) + row
+    want = [int(best.argmax())]
+    for b in reversed(back):
+        want.append(int(b[want[-1]]))
+    want.reverse()
+    assert tagger.viterbi(e).tolist() == want
+    for part in (1, 7, 64, 1000):
+        path, got, held = pii.Path(tagger), [], 0
+        for j in range(0, len(e), part):
+            path.add(e[j:j + part])
+            got += path.settled().tolist()
+            held = max(held, len(path.back))
+        assert got + path.rest().tolist() == want and held < part + 100
+
+
+def test_long_runs_are_streamed(tagger):
+    r = random.Random(3)
+    run = "".join(r.choice("abcdefXYZ0123456789+/") for _ in range(30_000)) + " call 212-555-0173 now " + "x9" * 3000
+    whole, parts = pii.decode(tagger, [run, "no", run], batch=5000), pii.decode(tagger, [run, "no", run], batch=40)
+    assert whole == parts and whole[0] == whole[2]
+    assert [b - a for a, b in pii.regions(run)] == [len(run)]
+
+
 def test_pii_query_and_masking(spark, odd, tagger):
     got = by_id(pii.find_pii(odd, tagger))
     for i, t in enumerate(odd_texts()):
