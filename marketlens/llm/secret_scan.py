@@ -7,7 +7,9 @@ few characters per token is a secret of kind ``token``, unless it is a plain
 number or an identifier: words joined by _ - / or camel case, each of them cheap
 in tokens itself. Known digests (hex of an md5/sha length) and UUIDs are cut out
 of a run first. What is left is tested as a whole and, if that is no secret,
-part by part between / and =.
+part by part between / and =; a dot always parts. Runs from 12 characters on are tested;
+below 20, where a token more or less counts for much, the limit is lower, and
+lowest for runs of letters in one case, since rare words look alike.
 
 Defined results: a null text is empty and has no spans; every row is scanned
 on its own, whole, so repeated rows give equal rows and an empty table none.
@@ -31,14 +33,19 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ASSIGN_WORDS = ("passw", "secret", "token", "api")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+RUN = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
 KINDS = ("assign", "access", "hex", "token")
 #: Hex lengths of md5, sha1, sha224, sha256, sha384, sha512.
 DIGESTS = {32, 40, 56, 64, 96, 128}
 #: Digests and UUIDs, each with one mark on either side.
 KNOWN = re.compile(r"[/=_-]?(?<![0-9A-Za-z])(?:[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|%s)(?![0-9A-Za-z])[/=_-]?" % "|".join("[0-9a-f]{%d}" % n for n in sorted(DIGESTS, reverse=True)))
 PART = re.compile(r"[^/=]+")
-MIN_CHARS = 20
+#: Runs shorter than MIN_CHARS are not tested; those shorter than LONG meet a lower limit.
+MIN_CHARS, LONG = 12, 20
+#: What is taken off the limit for a short run, for one of letters in one case (first letter aside), which
+#: a rare word may be as well, and for several such parts joined by marks, as in names of constants.
+SHORT_LESS, WORDLIKE_LESS, JOINED_LESS = 0.2, 0.5, 0.8
+ONE_CASE = re.compile(r"[A-Za-z]?(?:[a-z]+|[A-Z]+)")
 SEGMENT = re.compile(r"[A-Za-z0-9]+")
 WORD_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 #: A word of an identifier has more characters per token than this.
@@ -90,12 +97,25 @@ def is_identifier(run: str, tokens: Callable[[str], int]) -> bool:
     return in_words > 0 and in_words >= 0.7 * (in_words + rest)
 
 
+def limit_of(run: str, limit: float) -> float:
+    """The characters per token that a random run of this kind stays below; 0 for short runs of digits, such as dates."""
+    if len(run) >= LONG:
+        return limit
+    letters = sum(map(str.isalpha, run))
+    if letters < 4:
+        return 0.0
+    segments = SEGMENT.findall(run)
+    if not all(map(ONE_CASE.fullmatch, segments)):
+        return limit - SHORT_LESS
+    return limit - (JOINED_LESS if len(segments) > 1 else WORDLIKE_LESS)
+
+
 def token_spans(text: str, path: str, limit: float = MAX_CHARS_PER_TOKEN) -> list[Span]:
     def tokens(s: str) -> int:
         return len(encoding(path).encode_ordinary(s))
 
     def random(s: str) -> bool:
-        return len(s) >= MIN_CHARS and len(s) < limit * tokens(s) and not is_identifier(s, tokens)
+        return len(s) >= MIN_CHARS and len(s) < limit_of(s, limit) * tokens(s) and not is_identifier(s, tokens)
 
     out = []
     for m in RUN.finditer(text):

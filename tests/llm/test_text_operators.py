@@ -130,6 +130,21 @@ def test_token_efficiency_finds_generated_keys():
         assert secret_scan.scan(f"see {s} end", path)[1] == [], s
 
 
+def test_short_keys_are_found_and_words_are_not():
+    import string
+    path, r = secret_scan.vocabulary(), random.Random(4)
+    low, up, digits = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    for letters in (low + up + digits, low + digits, up + digits, low + up):
+        for n in (12, 14, 16, 18, 19):
+            keys = ["".join(r.choice(letters) for _ in range(n)) for _ in range(300)]
+            found = [secret_scan.scan(f"see {k}, end", path)[1] == [("token", 4, 4 + n)] for k in keys]
+            assert sum(found) >= 0.93 * len(keys), (letters, n, sum(found))
+        pairs = [tuple("".join(r.choice(letters) for _ in range(12)) for _ in "ab") for _ in range(200)]
+        assert sum(secret_scan.scan(f"see {a}.{b} end", path)[1] == [("token", 4, 16), ("token", 17, 29)] for a, b in pairs) >= 0.85 * len(pairs)
+    for s in ("2024-01-15T08:09", "20240115T080910Z", "212-555-0173-9846", "configuration", "HAVE_INET_NTOA", "getElementById", "www.example-site.com", "q7Zk2Vx9LmP"):
+        assert secret_scan.scan(f"see {s} end", path)[1] == [], s
+
+
 def test_secret_query(spark, odd):
     got = by_id(secret_scan.find_secrets(odd))
     for i, t in enumerate(odd_texts() + NOISE):
