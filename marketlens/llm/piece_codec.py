@@ -12,6 +12,7 @@ that are encoded and decoded once each and kept in a bounded memo with their
 ids and the bytes these decode to; a text's decoding is made of those bytes.
 Every unit that enters the memo is checked against the sentencepiece library,
 ids and decoding, all new units of an Arrow batch in one call each; ``whole=True`` also checks every whole text.
+Should the library differ on a unit, its answer is taken, the texts of the step are made again and a warning is given.
 
 Defined results: a null text is empty, with no ids and an empty decoding. Rows
 are encoded one by one, so repeated rows get equal results; an empty table gives none.
@@ -23,7 +24,8 @@ import functools
 import hashlib
 import heapq
 import re
-from collections.abc import Iterable, Iterator
+import warnings
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -55,6 +57,7 @@ class Codec:
         self.memo = Memo(self.of_unit, limit)  # units
         self.words = Memo(self.of_word, limit)  # what stands between single spaces
         self.unchecked: list[tuple[str, list[int]]] = []
+        self.settled: dict[str, tuple[str, bytes]] = {}  # units on which the library differs, in its way
 
     def _unit_pattern(self) -> re.Pattern:
         """Cuts texts only between characters that no piece has side by side."""
@@ -100,6 +103,8 @@ class Codec:
 
     def of_unit(self, unit: str) -> tuple[str, bytes]:
         """The decimal ids of a unit, joined by commas, and the bytes that the ids decode to."""
+        if unit in self.settled:
+            return self.settled[unit]
         ids = self.encode_unit(unit)
         self.unchecked.append((unit, ids))
         return ",".join(map(str, ids)), b"".join(map(self.raw.__getitem__, ids))
@@ -139,8 +144,8 @@ class Codec:
         shown = raw.removeprefix(b" ").decode("utf-8", "replace").encode()  # without the space that stands for the mark before each text
         return ids.count(",") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(shown).hexdigest()
 
-    def check_units(self) -> None:
-        """Compares all units made since the last call with the library."""
+    def differing(self) -> Iterator[tuple[str, str, list[int], str]]:
+        """(unit, "encodes" or "decodes", the library's ids, their decoding) of units made since the last call on which the library differs."""
         if self.unchecked:
             units, own = zip(*self.unchecked)
             self.unchecked = []
@@ -148,10 +153,36 @@ class Codec:
             theirs = self.library.encode([u[1:] if u[0] == MARK else "\n" + u for u in units], num_threads=1)
             lead = self.library.encode("\n")
             for unit, mine, found, shown in zip(units, own, theirs, self.library.decode(list(own))):
-                if mine != (found if unit[0] == MARK and len(unit) > 1 else [self.id_of[MARK]] if unit == MARK else found[len(lead):]):
-                    raise AssertionError(f"the library encodes {unit!r} in another way")
-                if shown != self.decode(mine):
-                    raise AssertionError(f"the library decodes the ids of {unit!r} to another text")
+                ids = found if unit[0] == MARK and len(unit) > 1 else [self.id_of[MARK]] if unit == MARK else found[len(lead):]
+                if mine != ids:
+                    yield unit, "encodes", ids, self.library.decode(ids)
+                elif shown != self.decode(mine):
+                    yield unit, "decodes", ids, shown
+
+    def check_units(self) -> None:
+        """Raises if the library differs on a unit made since the last call."""
+        for unit, how, _, _ in self.differing():
+            raise AssertionError(f"the library {how} {unit!r} in another way")
+
+    def settle_units(self) -> int:
+        """Takes the library's answer for units on which it differs; how many there were. What was made with them must be made again."""
+        n = 0
+        for unit, how, ids, shown in self.differing():
+            warnings.warn(f"the library {how} {unit!r} in another way; its answer is used")
+            self.settled[unit] = ",".join(map(str, ids)), b" " * unit.startswith(MARK) + shown.encode()
+            n += 1
+        if n:
+            for memo in (self.memo, self.words):
+                memo.clear()
+                memo.old = {}
+        return n
+
+    def in_step(self, make: Callable, texts: list[str]) -> list:
+        """``make`` of each text, after all units in them are settled."""
+        while True:
+            out = [make(t) for t in texts]
+            if not self.settle_units():
+                return out
 
     def check_texts(self, texts: list[str]) -> None:
         for text, ids in zip(texts, self.library.encode(texts, num_threads=1)):
@@ -178,8 +209,7 @@ def encode_digests(docs: DataFrame, path: str | None = None, whole: bool = False
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
         for batch, texts in texts_in_steps(batches):
-            found = [own.digest(t) for t in texts]
-            own.check_units()
+            found = own.in_step(own.digest, texts)
             if whole:
                 own.check_texts(texts)
             n, ids, decoded = zip(*found)
@@ -197,8 +227,7 @@ def encode_ids(docs: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
         for batch, texts in texts_in_steps(batches):
-            ids = [own.encode(t) for t in texts]
-            own.check_units()
+            ids = own.in_step(own.encode, texts)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=schema.names)
 
     return rows.mapInArrow(run, schema)

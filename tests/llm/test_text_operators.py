@@ -93,6 +93,22 @@ def test_decoded_digest_is_made_from_the_ids():
         own.check_units()
 
 
+def test_where_the_library_differs_its_answer_is_used():
+    own, text = piece_codec.Codec(piece_codec.vocabulary()), "the house, the house\nhouse 日本"
+    want = own.digest(text)
+    for wrong in ("encode", "raw"):
+        own = piece_codec.Codec(piece_codec.vocabulary())
+        if wrong == "encode":
+            own.score = {k: v for k, v in own.score.items() if not k.endswith("house")}
+        else:
+            own.raw[own.encode("house")[0]] = b" horse"
+            own.memo.clear(), own.words.clear(), own.unchecked.clear()
+        assert own.digest(text) != want
+        with pytest.warns(UserWarning, match="its answer is used"):
+            assert own.in_step(own.digest, [text, "a house"])[0] == want
+        assert own.digest(text) == want and own.settled
+
+
 # Secrets ------------------------------------------------------------------------------------------------
 def plain_secrets(t: str):
     out = [("assign", m.start(), m.end()) for m in re.finditer(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t) if len(m[2]) >= 12]
