@@ -37,6 +37,17 @@ def test_floor_follows_the_labelled_texts(spark):
     assert lang_id.score_floor(docs.limit(0), profiles) == lang_id.MIN_SCORE
 
 
+def test_floor_is_read_from_every_labelled_text(spark):
+    profiles = {"en": {lang_id.code_of(g): i for i, g in enumerate(["a", "_a", "a_", "_a_", "b", "_b", "b_", "_b_"])}}
+    some = spark.createDataFrame([(f"a b {chr(97 + i)}",) for i in range(2, 26)], "text string")
+    lower = some.where(~hash_share("text", 0.5)).orderBy("text").first()[0]  # a half drawn by hash would miss it
+    texts = ["a b a"] * 9_975 + [lower] * 25
+    docs = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string")
+    high, low = lang_id.Judge(profiles)([texts[0], lower])[1]
+    assert high - 0.1 > low > lang_id.MIN_SCORE + lang_id.MARGIN
+    assert lang_id.score_floor(docs, profiles) == low - lang_id.MARGIN
+
+
 def test_hash_share_is_never_empty_by_rounding(spark):
     ids = spark.range(200_000)
     assert abs(ids.where(hash_share("id", 0.01)).count() - 2000) < 300
