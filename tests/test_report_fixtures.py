@@ -4,6 +4,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from marketlens.operators import grain
 from marketlens.plans import REPORTS
 from marketlens.plans.registry import run_report
 from marketlens.plans.rfm import segment
@@ -153,6 +154,18 @@ def test_review_average_is_item_weighted(spark):
     assert out == [{"product_category": "cat", "review_count": 20, "average_review_score": 4.45}]
 
 
+def test_orders_are_dealt_over_more_tasks_as_items_grow(spark, monkeypatch):
+    items = [{"order_id": f"o{i % 40}", "order_item_id": i, "product_id": "p1"} for i in range(100)] + [{"order_id": None, "product_id": "p1"}]
+    reviews = [{"review_id": f"r{i}", "order_id": f"o{i % 40}" if i % 9 else None, "review_score": i % 5 + 1} for i in range(60)]
+    m = make_mart(spark, order_items=items, order_reviews=reviews, products=[{"product_id": "p1", "product_category_name": "cat"}])
+    before = run("q12_5_score_by_category", m)
+    assert before[0]["review_count"] > 19 and grain.dealt_by_order(m.order_items)[0] is m.order_items
+    monkeypatch.setattr(grain, "ITEMS_PER_TASK", 2)
+    dealt = grain.dealt_by_order(m.order_items, m.order_reviews)
+    assert [t.rdd.getNumPartitions() for t in dealt] == [51, 51]
+    assert run("q12_5_score_by_category", m) == before
+
+
 def test_null_state_is_different_state(spark):
     m = make_mart(spark, customers=[{"customer_id": "c1", "customer_unique_id": "u1", "customer_state": None}],
                   orders=[{"order_id": "o1", "customer_id": "c1"}], order_items=[{"order_id": "o1"}],
