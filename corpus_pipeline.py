@@ -11,31 +11,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from marketlens.llm import jaccard_join, lang_id, packing, pii, quality_rules
-from marketlens.llm.common import Scratch, table
+from marketlens.llm.common import Scratch, small_batches, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a recognisable language."""
+    small_batches(spark)
     return lang_id.keep_recognised(docs)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the weakly supervised rules reject."""
+    small_batches(spark)
     return quality_rules.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each component of near duplicates."""
+    small_batches(spark)
     return jaccard_join.keep_one_per_component(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masks personal data in the texts."""
+    small_batches(spark)
     return pii.mask_pii(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokenises the texts and packs them into sequences."""
+    small_batches(spark)
     return packing.pack(docs)
 
 

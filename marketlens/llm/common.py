@@ -15,6 +15,8 @@ from marketlens.session import scratch_path
 
 #: Characters handed to one Python step at a time; a single longer text is one step of its own.
 STEP_CHARS = 1_000_000
+#: What Spark hands to a Python worker at a time.
+BATCH_BYTES = "4m"
 #: The byte values that separate words in every word contract: \x20 and \x09-\x0D (what bytes.split() uses).
 SPACES = b" \t\n\x0b\x0c\r"
 
@@ -34,6 +36,17 @@ def hash_share(value: str | Column, part: float) -> Column:
     return F.xxhash64(value).bitwiseAND(F.lit((1 << 63) - 1)) < F.lit(int(part * (1 << 63)))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds what Spark hands to a Python worker at a time by bytes, unless the deployment has set a bound.
+
+    The bounds by default, ten thousand rows and 64 MB, let long texts take that much several
+    times over, in the executor and in each of its workers. Results do not depend on it.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.sparkContext.getConf().contains(key):
+        spark.conf.set(key, BATCH_BYTES)
+
+
 @contextmanager
 def shuffles_released(spark: SparkSession) -> Iterator[None]:
     """Shuffle files of the jobs inside are deleted when each job ends, not when the driver collects its garbage.
@@ -62,9 +75,9 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
 
-    def put(self, df: DataFrame, name: str) -> DataFrame:
+    def put(self, df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
         with shuffles_released(self.spark):
-            df.write.mode("overwrite").parquet(self.path(name))
+            df.write.mode("overwrite").parquet(self.path(name), compression=compression)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:

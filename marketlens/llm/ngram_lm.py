@@ -13,14 +13,17 @@ The trie has a level per order. A level is a rising sequence of keys, context
 number x width + successor, so the successors of one context are one range of
 it and the context's pointer is the place where that range starts. Successors
 in the third level are written relative to their context: as the rank of the
-last word among the successors of the word before it. Each task builds the
-Elias-Fano shard of one range of keys, with one byte for each smoothed
-probability and each back-off weight (absolute discounting, interpolated down
-to add-one word probabilities).
-
-Model files are Parquet tables in the shared checkpoint folder. Each executor
-fetches them once (``addFile``; nothing passes through the driver's memory),
-unpacks the arrays and memory-maps them, so its workers share one copy. Scoring is a fourth
+last word among the successors of the word before it. Counts are sent by range
+of keys, never within a context, so the task that sums a range also builds its
+Elias-Fano shard, with one byte for each smoothed probability and each back-off
+weight (absolute discounting, interpolated down to add-one word probabilities),
+and counts are never stored as a table of their own.
+
+Model files are Parquet tables in the shared checkpoint folder. The first worker
+that needs one unpacks its arrays beside them, and all workers memory-map these,
+so there is one copy of the model. Where only Hadoop reaches the folder, each
+executor fetches the tables by ``addFile`` and unpacks a copy of its own; nothing
+passes through the driver's memory. Scoring is a fourth
 pass; a text's n-grams are looked up by array operations.
 
 Defined results: a null text is empty and has the end token only. Scores are per
@@ -46,7 +49,7 @@ from pyspark.sql import functions as F
 
 from marketlens.llm.common import Scratch, texts_in_steps
 from marketlens.llm.elias_fano import EliasFano, Shards
-from marketlens.llm.jaccard_join import U64, Hasher, _plane, _unplane, mix
+from marketlens.llm.jaccard_join import Hasher, _plane, _unplane
 
 #: KEEP: pairs and triples seen less often are left out of the trie; 1 leaves out none.
 DISCOUNT, KEEP = 0.75, 1
@@ -54,10 +57,11 @@ DISCOUNT, KEEP = 0.75, 1
 STEPS = 24.0
 #: Pairs or triples that a task holds before it sends their sums.
 HELD = 1_500_000
-SHARD_KEYS = 2_000_000
+#: Training tokens whose pairs or triples make one shard, about, and the fewest shards.
+SHARD_TOKENS, LEAST_SHARDS = 2_000_000, 12
 #: Counts of contexts are stored as 16-bit logarithms, within 0.02 per cent.
 COUNT_STEPS = 2048
-#: A shard's arrays: those of its Elias-Fano sequence, probability codes, counts.
+#: A shard's arrays: those of its Elias-Fano sequence, probability codes, counts (none if no level follows).
 ARRAYS = (*EliasFano.FIELDS, "codes", "counts")
 #: What stands for the hash of the end token.
 END = 0x5DEECE66D1234567
@@ -105,36 +109,41 @@ def summed(keys: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, n
 
 # Files --------------------------------------------------------------------------------------------------
 def publish(df: DataFrame, path: str) -> list[str]:
-    """Lets every executor fetch the table's files; their names in order."""
+    """Lets every executor read the table's files; in order, their paths in a shared folder or the names they are fetched by."""
     spark = df.sparkSession
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
-    paths = sorted(p for f in files if (p := f.getPath().toString()).endswith(".parquet"))
-    for p in paths:
-        spark.sparkContext.addFile(p)
-    return [p.rsplit("/", 1)[1] for p in paths]
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = sorted((f.getPath() for f in system.listStatus(folder)), key=lambda p: p.getName())
+    files = [p for p in files if p.getName().endswith(".parquet")]
+    if system.getScheme() == "file":  # the checkpoint folder is shared, and copies would only take disk
+        return [p.toUri().getPath() for p in files]
+    for p in files:
+        spark.sparkContext.addFile(p.toString())
+    return [p.getName() for p in files]
 
 
 def unpacked(tag: str, files: list[str], make) -> dict:
-    """The arrays that ``make`` draws from fetched files, memory-mapped, and its other values.
+    """The arrays that ``make`` draws from published files, memory-mapped, and its other values.
 
-    The first worker of an executor that needs them saves them beside the fetched
-    files and removes those; the others wait for it and then share the mapped pages.
+    The first worker that needs them (in the shared folder of all, else of its executor)
+    saves them beside the files and removes those; the others wait for it and then share the mapped pages.
     """
-    root = SparkFiles.getRootDirectory()
+    shared = bool(files) and os.path.isabs(files[0])
+    root = os.path.dirname(os.path.dirname(files[0])) if shared else SparkFiles.getRootDirectory()
     done = os.path.join(root, f"{tag}.json")
     if not os.path.exists(done):
         with open(os.path.join(root, f"{tag}.lock"), "w") as lock:
             fcntl.flock(lock, fcntl.LOCK_EX)
             if not os.path.exists(done):
-                arrays, values = make([SparkFiles.get(f) for f in files])
+                paths = files if shared else [SparkFiles.get(f) for f in files]
+                arrays, values = make(paths)
                 for name, array in arrays.items():
                     np.save(os.path.join(root, f"{tag}-{name}.npy"), array)
                 with open(f"{done}.part", "w") as f:
                     json.dump({"arrays": list(arrays), "values": values}, f)
                 os.replace(f"{done}.part", done)
-                for f in files:
-                    os.remove(SparkFiles.get(f))
+                for p in paths:
+                    os.remove(p)
     with open(done) as f:
         known = json.load(f)
     out = dict(known["values"])
@@ -163,6 +172,7 @@ class Vocabulary:
 
             found = unpacked(self.tag, self.files, make)
             self.hashes, self.counts, self.total, self.size = found["h"], found["n"], found["total"], len(found["h"])
+            self.before = None
         return self
 
     def __getstate__(self):
@@ -176,6 +186,15 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.hashes, distinct), self.size - 1)
         return np.where(self.hashes[at] == distinct, at, -1)[back]
 
+    def shard_of(self, first: np.ndarray, second: np.ndarray | None, shards: int) -> np.ndarray:
+        """Shard numbers that rise with the first word and then the second, with about as many tokens each."""
+        if self.before is None:
+            self.before = np.cumsum(self.counts, dtype=np.int64) - self.counts
+        place = self.before[first].astype(np.float64)
+        if second is not None:
+            place += self.counts[first] * (self.before[second] / self.total)
+        return np.minimum(place * (shards / self.total), shards - 1).astype(np.int64)
+
     def probability(self, ids: np.ndarray) -> np.ndarray:
         """Add-one probability of words; of an unknown word for -1."""
         known = np.where(ids >= 0, self.counts[ids].astype(np.int64) if self.size else 0, 0)
@@ -185,30 +204,25 @@ class Vocabulary:
 class Level:
     """One order above words: keys, a probability each, and a back-off weight for each of the ``n_contexts`` numbers below."""
 
-    def __init__(self, files: list[str], context_files: list[str], n_contexts: int, tag: str):
-        self.files, self.context_files, self.n_contexts, self.tag, self.keys = files, context_files, n_contexts, tag, None
+    def __init__(self, files: list[str], n_contexts: int, tag: str):
+        self.files, self.n_contexts, self.tag, self.keys = files, n_contexts, tag, None
 
     def __getstate__(self):
-        return {"files": self.files, "context_files": self.context_files, "n_contexts": self.n_contexts, "tag": self.tag, "keys": None}
+        return {"files": self.files, "n_contexts": self.n_contexts, "tag": self.tag, "keys": None}
 
     def load(self) -> "Level":
         if self.keys is None:
-            def weights(paths):
-                out = np.zeros(self.n_contexts, dtype=np.uint8)  # code 0: weight 1, for contexts without successors
-                for p in paths:
-                    out[column([p], "context", np.int64)] = column([p], "weight", np.uint8)
-                return {"weights": out}, {}
-
             def shards(paths):
-                arrays, heads = {}, []
+                arrays, heads = {"weights": np.zeros(self.n_contexts, dtype=np.uint8)}, []  # code 0: weight 1, for contexts without successors
                 for p in paths:
-                    for row in pq.read_table(p).to_pylist():
+                    for row in (row for b in pq.ParquetFile(p).iter_batches(batch_size=1) for row in b.to_pylist()):
                         arrays |= {f"{len(heads)}-{x}": np.frombuffer(row[x], dtype=row["kinds"][i]) for i, x in enumerate(ARRAYS)}
+                        arrays["weights"][np.cumsum(_unplane(row["contexts"], np.int64))] = np.frombuffer(row["weights"], dtype=np.uint8)
                         heads.append([row["base"], row["n"], row["shift"]])
                 return arrays, {"heads": heads}
 
-            self.weights = unpacked(f"{self.tag}-weights", self.context_files, weights)["weights"]
-            found = unpacked(f"{self.tag}-shards", self.files, shards) if self.files else {"heads": []}
+            found = unpacked(self.tag, self.files, shards)
+            self.weights = found["weights"]
             made = sorted(((head, [found[f"{i}-{x}"] for x in ARRAYS]) for i, head in enumerate(found["heads"])), key=lambda x: x[0][0])
             self.keys = Shards([EliasFano(*head, *arrays[:4]) for head, arrays in made])
             self.codes, self.counts = [a[4] for _, a in made], [a[5] for _, a in made]
@@ -324,18 +338,20 @@ class Trainer:
         table = self.scratch.put(counts.repartitionByRange("h").sortWithinPartitions("h"), "words")
         return Vocabulary(publish(table, self.scratch.path("words")), f"{self.tag}-words")
 
-    def counted(self, keys_of, name: str) -> DataFrame:
-        """key, n of the keys that ``keys_of`` yields for the training texts, without those below KEEP.
+    def level(self, keys_of, width: int, n_contexts: int, count_of, lower_log, name: str, last: bool = False) -> tuple[Level, int, int]:
+        """(one order, how many keys it has, the most successors of one context).
 
-        Sums travel as one binary value per task and bucket of keys.
+        ``keys_of`` yields the training texts' keys and the shard of each, ``count_of``(contexts) and
+        ``lower_log``(contexts, successors) come from the levels below. Sums travel as one binary value
+        per task and shard.
         """
-        buckets = 4 * max(self.train.rdd.getNumPartitions(), 1)
-
         def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words, held, size = Words(), [], 0
             for _, texts in texts_in_steps(batches):
-                held.append(summed(keys_of(*words(texts))))
-                size += len(held[-1][0])
+                keys, shard = keys_of(*words(texts))
+                keys, first, n = np.unique(keys, return_index=True, return_counts=True)
+                held.append((keys, n, shard[first]))
+                size += len(keys)
                 if size > HELD:
                     yield blocks(held)
                     held, size = [], 0
@@ -343,99 +359,82 @@ class Trainer:
                 yield blocks(held)
 
         def blocks(held) -> pa.RecordBatch:
-            keys, n = summed(*(np.concatenate(x) for x in zip(*held)))
-            bucket = (mix(keys.view(U64)) % U64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            keys, n, bucket = keys[order], n[order], bucket[order]
-            at = np.flatnonzero(np.concatenate([np.ones(min(len(keys), 1), dtype=bool), bucket[1:] != bucket[:-1]]))
+            keys, n, shard = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(keys)
+            keys, n, shard = keys[order], n[order], shard[order]
+            at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            keys, n, shard = keys[at], np.add.reduceat(n, at), shard[at]  # shards rise with the keys
+            at = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]]))
             spans = list(zip(at.tolist(), [*at[1:].tolist(), len(keys)]))
-            return pa.RecordBatch.from_arrays([pa.array(bucket[at], pa.int64()), pa.array([_plane(np.diff(keys[a:b], prepend=0)) for a, b in spans], pa.binary()),
-                                               pa.array([_plane(n[a:b].astype(np.uint32)) for a, b in spans], pa.binary())], names=["bucket", "keys", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(shard[at], pa.int64()), pa.array([_plane(np.diff(keys[a:b], prepend=0)) for a, b in spans], pa.binary()),
+                                               pa.array([_plane(n[a:b].astype(np.uint32)) for a, b in spans], pa.binary())], names=["shard", "keys", "n"])
 
-        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts: dict[int, list] = {}
             for b in batches:
                 for row in b.to_pylist():
-                    parts.setdefault(row["bucket"], []).append((row["keys"], row["n"]))
-            for bucket in sorted(parts):
-                own = parts.pop(bucket)
+                    parts.setdefault(row["shard"], []).append((row["keys"], row["n"]))
+            for shard in sorted(parts):
+                own = parts.pop(shard)
                 keys, n = summed(np.concatenate([np.cumsum(_unplane(k, np.int64)) for k, _ in own]), np.concatenate([_unplane(n, np.uint32).astype(np.int64) for _, n in own]))
-                keep = n >= KEEP
-                yield pa.RecordBatch.from_arrays([pa.array(keys[keep]), pa.array(n[keep])], names=["key", "n"])
-
-        sent = self.train.mapInArrow(send, "bucket long, keys binary, n binary").repartition("bucket")
-        return self.scratch.put(sent.mapInArrow(add, "key long, n long"), name)
+                keys, n = keys[n >= KEEP], n[n >= KEEP]
+                if len(keys):
+                    yield built(keys, n)
 
-    def level(self, counts: DataFrame, width: int, n_contexts: int, count_of, lower_log, name: str) -> Level:
-        """Back-off weights and shards of one order; ``count_of``(contexts) and ``lower_log``(contexts, successors) come from the levels below."""
-        sums = counts.groupBy(F.expr(f"key div {width}").alias("context")).agg(F.sum(F.col("n") - DISCOUNT).alias("kept"))
-
-        def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                context = np.asarray(b.column("context"))
-                left = 1 - np.asarray(b.column("kept")) / np.maximum(count_of(context), 1)
-                code = quantised(np.log10(np.maximum(left, 1e-10)))
-                yield pa.RecordBatch.from_arrays([b.column("context"), pa.array(code.astype(np.int16))], names=["context", "weight"])
-
-        weights = self.scratch.put(sums.repartitionByRange("context").sortWithinPartitions("context").mapInArrow(weigh, "context long, weight short"), f"{name}-weights")
-        half = Level([], publish(weights, self.scratch.path(f"{name}-weights")), n_contexts, f"{self.tag}-{name}")
-        shards = max(1, -(-counts.count() // SHARD_KEYS))
-
-        def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            got = [(np.asarray(b.column("key")), np.asarray(b.column("n"))) for b in batches if b.num_rows]
-            if not got:
-                return
-            keys, n = (np.concatenate(x) for x in zip(*got))
+        def built(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
             context, word = keys // width, keys % width
-            back = half.load().backoff(context)
-            p = (n - DISCOUNT) / np.maximum(count_of(context), 1) + 10 ** (back + lower_log(context, word))
+            at = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
+            many, each = np.diff(np.append(at, len(keys))), np.maximum(count_of(context[at]), 1)
+            weights = quantised(np.log10(np.maximum(1 - np.add.reduceat(n - DISCOUNT, at) / each, 1e-10)))
+            p = (n - DISCOUNT) / np.repeat(each, many) + 10 ** (np.repeat(restored(weights), many) + lower_log(context, word))
             ef = EliasFano.build(keys)
-            arrays = [*(np.ascontiguousarray(getattr(ef, x)) for x in EliasFano.FIELDS), quantised(np.log10(np.minimum(p, 1.0))),
-                      np.minimum(np.rint(np.log2(n) * COUNT_STEPS), 2 ** 16 - 1).astype(np.uint16)]
-            row = {"base": ef.base, "n": ef.n, "shift": ef.shift, "kinds": [a.dtype.str for a in arrays]} | {x: a.tobytes() for x, a in zip(ARRAYS, arrays)}
-            kinds = {"base": pa.int64(), "n": pa.int64(), "shift": pa.int64(), "kinds": pa.list_(pa.string())}
-            yield pa.RecordBatch.from_pylist([row], schema=pa.schema([(k, kinds.get(k, pa.binary())) for k in row]))
-
-        schema = "base long, n long, shift long, kinds array<string>, " + ", ".join(f"{x} binary" for x in ARRAYS)
-        table = self.scratch.put(counts.repartitionByRange(shards, "key").sortWithinPartitions("key").mapInArrow(build, schema), f"{name}-shards")
-        return Level(publish(table, self.scratch.path(f"{name}-shards")), half.context_files, n_contexts, f"{self.tag}-{name}")
+            counts = np.minimum(np.rint(np.log2(n) * COUNT_STEPS), 2 ** 16 - 1).astype(np.uint16)
+            arrays = [*(np.ascontiguousarray(getattr(ef, x)) for x in EliasFano.FIELDS), quantised(np.log10(np.minimum(p, 1.0))), counts[:0] if last else counts]
+            row = {"base": ef.base, "n": ef.n, "shift": ef.shift, "widest": int(many.max()), "kinds": [a.dtype.str for a in arrays],
+                   "contexts": _plane(np.diff(context[at], prepend=0)), "weights": weights.tobytes()} | {x: a.tobytes() for x, a in zip(ARRAYS, arrays)}
+            kinds = dict.fromkeys(("base", "n", "shift", "widest"), pa.int64()) | {"kinds": pa.list_(pa.string())}
+            return pa.RecordBatch.from_pylist([row], schema=pa.schema([(k, kinds.get(k, pa.binary())) for k in row]))
+
+        schema = "base long, n long, shift long, widest long, kinds array<string>, contexts binary, weights binary, " + ", ".join(f"{x} binary" for x in ARRAYS)
+        sent = self.train.mapInArrow(send, "shard long, keys binary, n binary").repartition("shard")
+        table = self.scratch.put(sent.mapInArrow(build, schema), name, compression="zstd")
+        n, widest = table.agg(F.sum("n"), F.max("widest")).first()
+        return Level(publish(table, self.scratch.path(name)), n_contexts, f"{self.tag}-{name}"), n or 0, widest or 1
 
     def fit(self) -> Model:
         words = self.vocabulary()
-        size = self.spark.read.parquet(self.scratch.path("words")).count()
+        size, total = self.spark.read.parquet(self.scratch.path("words")).agg(F.count("*"), F.sum("n")).first()
+        shards = max(-(-(total or 0) // SHARD_TOKENS), LEAST_SHARDS)
 
         def starts(n: int, cut: np.ndarray) -> np.ndarray:
             follows = np.ones(n, dtype=bool)
             follows[cut[:-1]] = False
             return follows
 
-        def pair_keys(h: np.ndarray, cut: np.ndarray) -> np.ndarray:
+        def pair_keys(h: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             ids = words.load().ids(h)
             at = np.flatnonzero(starts(len(ids), cut)[1:]) + 1
-            return ids[at - 1] * size + ids[at]
+            return ids[at - 1] * size + ids[at], words.shard_of(ids[at - 1], None, shards)
 
-        counts = self.counted(pair_keys, "pairs")
-        pairs = self.level(counts, max(size, 1), size, lambda c: words.load().counts[c], lambda c, w: np.log10(words.load().probability(w)), "pairs")
-        widest = counts.groupBy(F.expr(f"key div {max(size, 1)}")).count().agg(F.max("count")).first()[0] or 1
-        half = Model(words, pairs, None, int(widest))
+        pairs, n_pairs, widest = self.level(pair_keys, max(size, 1), size, lambda c: words.load().counts[c], lambda c, w: np.log10(words.load().probability(w)), "pairs")
+        half = Model(words, pairs, None, widest)
 
-        def triple_keys(h: np.ndarray, cut: np.ndarray) -> np.ndarray:
+        def triple_keys(h: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             half.load()
             ids = words.ids(h)
+            if not len(half.pairs.keys):
+                return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
             follows = starts(len(ids), cut)
-            return half.triple_keys(ids, half.pair_numbers(ids, follows), follows)[1] if len(half.pairs.keys) else np.zeros(0, dtype=np.int64)
-
-        n_pairs = counts.count()
-        self.scratch.drop("pairs")
+            at, keys = half.triple_keys(ids, half.pair_numbers(ids, follows), follows)
+            return keys, words.shard_of(ids[at - 2], ids[at - 1], shards)
 
         def below(context: np.ndarray, rank: np.ndarray) -> np.ndarray:
             """log10 of the pair probability of a triple's last two words."""
             middle = pairs.load().key_of(context) % size
             return pairs.log(pairs.keys.lower_bound(middle * size)[0] + rank)
 
-        triples = self.level(self.counted(triple_keys, "triples"), int(widest), n_pairs, lambda c: pairs.load().count(c), below, "triples")
-        self.scratch.drop("triples")
-        return Model(words, pairs, triples, int(widest))
+        triples, _, _ = self.level(triple_keys, widest, n_pairs, lambda c: pairs.load().count(c), below, "triples", last=True)
+        return Model(words, pairs, triples, widest)
 
 
 def score(docs: DataFrame, train: Column) -> DataFrame:

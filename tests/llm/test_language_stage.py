@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from corpus_pipeline import STAGES
@@ -54,3 +55,17 @@ def test_hash_share_is_never_empty_by_rounding(spark):
     # 20,000 of 10^12 rows: a share below one millionth still has a threshold above 0
     assert int(2e-8 * (1 << 63)) > 0
     assert ids.where(hash_share("id", 1 - 1e-16)).count() == 200_000
+
+
+def test_stages_hand_out_texts_in_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        docs = spark.createDataFrame([(i, "an ordinary text of some words " * 60, "en") for i in range(4_000)], "doc_id long, text string, lang string").coalesce(1)
+        for name, stage in STAGES:
+            spark.conf.unset(key)
+            stage(spark, docs.limit(3), SF)
+            sizes = [r["n"] for r in docs.select("text").mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"]) for b in batches), "n long").collect()]
+            assert max(sizes) < 5 << 20 and sum(sizes) > 7 << 20, name
+    finally:
+        spark.conf.set(key, before)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -240,6 +242,22 @@ def test_model_has_pairs_and_triples_seen_once(spark):
         assert abs(got[i]["score"] - model.score(t)) <= (1.5 / ngram_lm.STEPS) * got[i]["n_tokens"], i
 
 
+def test_model_is_stored_once(spark, tmp_path):
+    docs = documents(spark, [prose(random.Random(i), 60) for i in range(40)])
+    trainer = ngram_lm.Trainer(docs, F.lit(True))
+    model = trainer.fit()
+    names = [f for x in (model.words, model.pairs, model.triples) for f in x.files]
+    assert all(f.startswith("/") for f in names)  # read where they are: nothing is copied to the driver or an executor
+    docs.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([len(model.load().triples.keys)])], names=["n"]) for b in batches), "n long").collect()
+    assert not any(os.path.exists(f) for f in names)  # unpacked by now
+    base = trainer.scratch.base.removeprefix("file:")
+    assert not any(f.endswith(".parquet") for _, _, found in os.walk(base) for f in found)  # no table of counts is left either
+    model.load()
+    assert not sum(len(c) for c in model.triples.counts) and sum(len(c) for c in model.pairs.counts) == len(model.pairs.keys)
+    ids = np.arange(len(model.pairs.keys))
+    assert (np.diff(model.pairs.key_of(ids)) > 0).all()  # shards in order, none shares keys
+
+
 def test_model_without_training_rows(spark):
     got = by_id(ngram_lm.score(documents(spark, ["a b", None]), F.lit(False)))
     assert {(r["n_known"], r["train_tokens"], r["score"]) for r in got.values()} == {(0, 0, 0.0)}
