@@ -61,7 +61,7 @@ WIDTH = 5
 MIN_COUNTERS, MAX_COUNTERS, BLOCK = 20, 26, 16
 #: Characters of text for which there is one counter: about four shingles.
 CHARS_PER_COUNTER = 24
-#: log2 of the fewest and most bits of the bitmap of wanted classes (128 MB at most), and of those in one shuffled block.
+#: log2 of the fewest and most bits of a bitmap of classes or keys (128 MB at most), and of those in one shuffled block.
 MIN_MARKS, MAX_MARKS, MARK_BLOCK = 23, 30, 17
 #: Classes that one group of ``divide_skip`` searches.
 CHUNK = 256
@@ -430,39 +430,13 @@ class JaccardJoin:
         return (4 * F.least(a, b) >= 3 * F.greatest(a, b)) & (F.least(a - p, b - q) >= need) & smaller_first
 
     # step 4 -------------------------------------------------------------------------------------------
-    def marked(self, nodes: DataFrame) -> np.ndarray:
-        """A bitmap with the classes' bits set; about eight bits a row, within fixed bounds."""
-        marks = log2_between(8 * nodes.count(), MIN_MARKS, MAX_MARKS)
-
-        def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                at = np.unique(mark_of(np.asarray(b.column("node")), marks))
-                block, out = at >> MARK_BLOCK, []
-                full = np.unique(block)
-                for start, end in zip(np.searchsorted(block, full), np.searchsorted(block, full, "right")):
-                    bits = np.zeros(1 << MARK_BLOCK, dtype=bool)
-                    bits[at[start:end] & ((1 << MARK_BLOCK) - 1)] = True
-                    out.append(np.packbits(bits).tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.array(out, pa.binary())], names=["block", "bits"])
-
-        def join(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-            total = np.zeros(1 << MARK_BLOCK - 3, dtype=np.uint8)
-            for raw in frame["bits"]:
-                total |= np.frombuffer(raw, dtype=np.uint8)
-            return pd.DataFrame({"block": [key[0]], "bits": [total.tobytes()]})
-
-        table = np.zeros((1 << marks - MARK_BLOCK, 1 << MARK_BLOCK - 3), dtype=np.uint8)
-        for block, raw in nodes.select("node").mapInArrow(mark, "block long, bits binary").groupBy("block").applyInPandas(join, "block long, bits binary").collect():
-            table[block] = np.frombuffer(raw, dtype=np.uint8)
-        return table.ravel()
-
     def sets_of(self, nodes: DataFrame, name: str) -> DataFrame:
         """node, task, shingles and sketch (binary) of the given classes, at least; a class that several tasks met has a row from each.
 
         Texts are hashed again rather than moved: the bitmap tells each task which
         classes may be wanted, and it keeps one copy of each.
         """
-        bits, width = self.spark.sparkContext.broadcast(self.marked(nodes)), self.width
+        bits, width = self.spark.sparkContext.broadcast(marked(nodes)), self.width
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hasher, known, task = Hasher(width), set(), TaskContext.get().partitionId()
@@ -508,7 +482,7 @@ class JaccardJoin:
 
     def among(self, sets: DataFrame, nodes: DataFrame) -> DataFrame:
         """The rows of ``sets`` that may belong to the given classes, by bitmap, so that few are moved."""
-        bits = self.spark.sparkContext.broadcast(self.marked(nodes))
+        bits = self.spark.sparkContext.broadcast(marked(nodes))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
@@ -632,6 +606,49 @@ class JaccardJoin:
         return rows.where("n_shingles > 0").join(by_class, "node").select("doc_id", "n_shingles", "component_id").unionByName(empty)
 
 
+def marked(nodes: DataFrame, per_row: int = 8) -> np.ndarray:
+    """A bitmap with the bits of the rows' ``node`` set; about ``per_row`` bits a row, within fixed bounds."""
+    marks = log2_between(per_row * nodes.count(), MIN_MARKS, MAX_MARKS)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = np.unique(mark_of(np.asarray(b.column("node")), marks))
+            block, out = at >> MARK_BLOCK, []
+            full = np.unique(block)
+            for start, end in zip(np.searchsorted(block, full), np.searchsorted(block, full, "right")):
+                bits = np.zeros(1 << MARK_BLOCK, dtype=bool)
+                bits[at[start:end] & ((1 << MARK_BLOCK) - 1)] = True
+                out.append(np.packbits(bits).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.array(out, pa.binary())], names=["block", "bits"])
+
+    def join(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(1 << MARK_BLOCK - 3, dtype=np.uint8)
+        for raw in frame["bits"]:
+            total |= np.frombuffer(raw, dtype=np.uint8)
+        return pd.DataFrame({"block": [key[0]], "bits": [total.tobytes()]})
+
+    table = np.zeros((1 << marks - MARK_BLOCK, 1 << MARK_BLOCK - 3), dtype=np.uint8)
+    for block, raw in nodes.select("node").mapInArrow(mark, "block long, bits binary").groupBy("block").applyInPandas(join, "block long, bits binary").collect():
+        table[block] = np.frombuffer(raw, dtype=np.uint8)
+    return table.ravel()
+
+
+def without(docs: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose key is not among those of ``gone``; no key is null.
+
+    A bitmap of the gone keys clears nearly all rows that stay, and these are not moved: only
+    the rest, the gone rows and few others, are joined, so most texts are never shuffled.
+    """
+    bits = docs.sparkSession.sparkContext.broadcast(marked(gone.select(F.xxhash64(key).alias("node")), per_row=32))
+
+    @F.pandas_udf("boolean")
+    def doubtful(nodes: pd.Series) -> pd.Series:
+        return pd.Series(is_marked(bits.value, nodes.to_numpy()))
+
+    doubt = doubtful(F.xxhash64(key))
+    return docs.where(~doubt).unionByName(docs.where(doubt).join(gone.select(key), key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns]))
+
+
 def near_duplicate_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     return JaccardJoin(docs, width).components()
 
@@ -644,11 +661,12 @@ def keep_one_per_component(docs: DataFrame) -> DataFrame:
     """
     join = JaccardJoin(docs)
     found = join.scratch.put(join.components(), "components")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
     if found.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").isEmpty():
-        gone = found.where("doc_id <> component_id").select("doc_id")
-        return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+        return without(docs, "doc_id", found.where("doc_id <> component_id")).select(*columns)
     numbered = join.scratch.put(docs.withColumn("_llm_j_row", F.monotonically_increasing_id()), "numbered")
     found = JaccardJoin(numbered.select(F.col("_llm_j_row").alias("doc_id"), "text")).components()
-    keyed = numbered.select("_llm_j_row", "doc_id").join(found.withColumnRenamed("doc_id", "_llm_j_row"), "_llm_j_row")
+    keyed = join.scratch.put(numbered.select("_llm_j_row", "doc_id").join(found.withColumnRenamed("doc_id", "_llm_j_row"), "_llm_j_row"), "keyed")
     best = keyed.groupBy("component_id").agg(F.min_by("_llm_j_row", F.struct(F.col("doc_id").isNull(), "doc_id", "_llm_j_row")).alias("_llm_j_row"))
-    return numbered.join(best.select("_llm_j_row"), "_llm_j_row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = join.scratch.put(keyed.join(best.select("_llm_j_row"), "_llm_j_row", "left_anti").select("_llm_j_row"), "gone")
+    return without(numbered, "_llm_j_row", gone).select(*columns)
