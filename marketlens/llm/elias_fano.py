@@ -4,7 +4,8 @@ A rising sequence of n numbers below u keeps the lowest l = log2(u / n) bits of
 each number as they are. The higher parts go into a bit vector: for each value
 of the higher part, a one per number that has it and then a zero. The place of
 the h-th zero gives where the numbers with higher part h end, so a search is
-two selects and a binary search among the numbers that share their higher part.
+one select, the length of the run of ones that follows, and a binary search
+among the numbers that share their higher part.
 """
 
 from __future__ import annotations
@@ -12,6 +13,38 @@ from __future__ import annotations
 import numpy as np
 
 U64 = np.uint64
+#: A one in each byte of a word, and its highest bit.
+EACH, TOP = U64(0x0101010101010101), U64(0x8080808080808080)
+#: The place of the k-th one of a byte, at k x 256 + byte.
+PLACE = np.array([([i for i in range(8) if byte >> i & 1] + [0] * 8)[k] for k in range(8) for byte in range(256)], dtype=np.int64)
+
+
+def select1(x: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """The place of the k-th one of each word, from 0: its byte by the bytes' running counts, all at once, the bit by a table."""
+    s = x - (x >> U64(1) & U64(0x5555555555555555))
+    s = (s & U64(0x3333333333333333)) + (s >> U64(2) & U64(0x3333333333333333))
+    s = (s + (s >> U64(4)) & U64(0x0F0F0F0F0F0F0F0F)) * EACH
+    k = k.astype(U64)
+    at = np.bitwise_count((k * EACH | TOP) - s & TOP).astype(U64) << U64(3)
+    left = k - (s << U64(8) >> at & U64(255))
+    return at.astype(np.int64) + PLACE[(left << U64(8) | x >> at & U64(255)).astype(np.int64)]
+
+
+def rising(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+    """(the keys in order, what sorts them; None if they are sorted)."""
+    if (keys[1:] >= keys[:-1]).all():
+        return keys, None
+    order = np.argsort(keys)
+    return keys[order], order
+
+
+def restored_order(values: np.ndarray, order: np.ndarray | None) -> np.ndarray:
+    """What was found for sorted keys, in the order of the keys as given."""
+    if order is None:
+        return values
+    out = np.empty_like(values)
+    out[order] = values
+    return out
 
 
 class EliasFano:
@@ -48,18 +81,19 @@ class EliasFano:
         return low | self.more[i].astype(np.int64) << 16 if len(self.more) else low
 
     def select0(self, k: np.ndarray) -> np.ndarray:
-        """The place of the k-th zero, from 0: the word by binary search on the ranks, the bit by halving the word."""
+        """The place of the k-th zero, from 0: the word by binary search on the ranks."""
         word = np.searchsorted(self.ranks, k.astype(self.ranks.dtype), side="right") - 1
-        left = k - self.ranks[word].astype(np.int64)
-        x, place = ~self.bits[word], word * 64
-        for width in (32, 16, 8, 4, 2, 1):
-            low = x & U64((1 << width) - 1)
-            count = np.bitwise_count(low).astype(np.int64)
-            upper = left >= count
-            left -= np.where(upper, count, 0)
-            x = np.where(upper, x >> U64(width), low)
-            place += np.where(upper, width, 0)
-        return place
+        return word * 64 + select1(~self.bits[word], k - self.ranks[word].astype(np.int64))
+
+    def run(self, start: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """How many ones there are from the places ``start`` up to the h-th zero, which ends them: read from one word's bits where it is that near."""
+        word, off = start >> 6, (start & 63).astype(U64)
+        zeros = ~(self.bits[word] >> off) & ~U64(0) >> off  # of the rest of the word
+        n = np.bitwise_count((zeros & (~zeros + U64(1))) - U64(1)).astype(np.int64)
+        far = np.flatnonzero(zeros == 0)
+        if len(far):
+            n[far] = self.select0(h[far]) - start[far]
+        return n
 
     def lower_bound(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(how many numbers are below each key, whether the key is there)."""
@@ -71,22 +105,32 @@ class EliasFano:
             self.highest = self._highest()
         rest = keys - self.base
         high = rest >> self.shift
-        out[high > self.highest] = self.n
-        inside = np.flatnonzero((rest >= 0) & (high <= self.highest))
-        h, low = high[inside], rest[inside] & ((1 << self.shift) - 1)
-        lo = np.where(h > 0, self.select0(np.maximum(h - 1, 0)) - (h - 1), 0)
-        end = self.select0(h) - h
-        hi = end.copy()
-        todo = np.flatnonzero(lo < hi)
+        within = (rest >= 0) & (high <= self.highest)
+        if not within.all():
+            out[high > self.highest] = self.n
+            inside = np.flatnonzero(within)
+            out[inside], found[inside] = self._inside(high[inside], rest[inside] & ((1 << self.shift) - 1))
+            return out, found
+        return self._inside(high, rest & ((1 << self.shift) - 1))
+
+    def _inside(self, h: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``lower_bound`` of keys whose higher parts occur or lie between such."""
+        start = np.where(h > 0, self.select0(np.maximum(h - 1, 0)) + 1, 0)
+        out = start - h
+        many = self.run(start, h)
+        found = np.zeros(len(h), dtype=bool)
+        todo = np.flatnonzero(many)
+        lo, hi, low = out[todo], (out + many)[todo], low[todo]
         while len(todo):
-            mid = (lo[todo] + hi[todo]) >> 1
-            less = self.low_at(mid) < low[todo]
-            lo[todo] = np.where(less, mid + 1, lo[todo])
-            hi[todo] = np.where(less, hi[todo], mid)
-            todo = todo[lo[todo] < hi[todo]]
-        out[inside] = lo
-        there = np.flatnonzero(lo < end)
-        found[inside[there]] = self.low_at(lo[there]) == low[there]
+            mid = (lo + hi) >> 1
+            there = self.low_at(mid)
+            lo, hi = np.where(there < low, mid + 1, lo), np.where(there < low, hi, mid)
+            # a number that was looked at and is equal is the only one: its place is where the search ends
+            found[todo[there == low]] = True
+            unsettled = lo < hi
+            done = todo[~unsettled]
+            out[done] = lo[~unsettled]
+            todo, lo, hi, low = todo[unsettled], lo[unsettled], hi[unsettled], low[unsettled]
         return out, found
 
     def values(self) -> np.ndarray:
@@ -116,15 +160,14 @@ class Shards:
         out, found = np.zeros(len(keys), dtype=np.int64), np.zeros(len(keys), dtype=bool)
         if len(self.shards) == 1:
             return self.shards[0].lower_bound(keys)
-        of = np.searchsorted(self.bases, keys, side="right") - 1
-        order = np.argsort(of, kind="stable")
-        cut = np.searchsorted(of[order], np.arange(len(self.shards) + 1))
+        keys, order = rising(keys)
+        cut = np.append(np.searchsorted(keys, self.bases), len(keys))
         for i, s in enumerate(self.shards):
-            own = order[cut[i]:cut[i + 1]]
-            if len(own):
+            if cut[i] < cut[i + 1]:
+                own = slice(cut[i], cut[i + 1])
                 at, there = s.lower_bound(keys[own])
                 out[own], found[own] = at + self.first[i], there
-        return out, found
+        return restored_order(out, order), restored_order(found, order)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The number of each key in the sequence, -1 where it is not there."""

@@ -48,13 +48,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm.common import Scratch, texts_in_steps
-from marketlens.llm.elias_fano import EliasFano, Shards
+from marketlens.llm.elias_fano import EliasFano, Shards, restored_order, rising
 from marketlens.llm.jaccard_join import Hasher, _plane, _unplane
 
 #: KEEP: pairs and triples seen less often are left out of the trie; 1 leaves out none.
 DISCOUNT, KEEP = 0.75, 1
 #: Logarithms are stored as one byte, in steps of 1 / STEPS.
 STEPS = 24.0
+#: Characters looked up in the model at a time: keys are looked up in order, so those of more text share more of its cache lines.
+STEP_CHARS = 3_000_000
 #: Pairs or triples that a task holds before it sends their sums.
 HELD = 1_500_000
 #: Training tokens whose pairs or triples make one shard, about, and the fewest shards.
@@ -230,20 +232,20 @@ class Level:
 
     def key_of(self, i: np.ndarray) -> np.ndarray:
         """The keys with these numbers. Decodes the shards they are in; only used to build the next level."""
-        out = np.zeros(len(i), dtype=np.int64)
-        of = np.searchsorted(self.keys.first, i, side="right") - 1
-        for s in np.unique(of):
-            own = of == s
+        i, order = rising(i)
+        out, cut = np.zeros(len(i), dtype=np.int64), np.searchsorted(i, self.keys.first)
+        for s in np.flatnonzero(cut[1:] > cut[:-1]):
+            own = slice(cut[s], cut[s + 1])
             out[own] = self.keys.shards[s].values()[i[own] - self.keys.first[s]]
-        return out
+        return restored_order(out, order)
 
     def _pick(self, arrays: list[np.ndarray], i: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(i), dtype=np.int64)
-        of = np.searchsorted(self.keys.first, i, side="right") - 1
-        for s in np.unique(of):
-            own = of == s
+        i, order = rising(i)
+        out, cut = np.zeros(len(i), dtype=np.int64), np.searchsorted(i, self.keys.first)
+        for s in np.flatnonzero(cut[1:] > cut[:-1]):
+            own = slice(cut[s], cut[s + 1])
             out[own] = arrays[s][i[own] - self.keys.first[s]]
-        return out
+        return restored_order(out, order)
 
     def log(self, i: np.ndarray) -> np.ndarray:
         return restored(self._pick(self.codes, i))
@@ -347,11 +349,13 @@ class Trainer:
         """
         def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words, held, size = Words(), [], 0
-            for _, texts in texts_in_steps(batches):
+            for _, texts in texts_in_steps(batches, chars=STEP_CHARS):
                 keys, shard = keys_of(*words(texts))
-                keys, first, n = np.unique(keys, return_index=True, return_counts=True)
-                held.append((keys, n, shard[first]))
-                size += len(keys)
+                order = np.argsort(keys)
+                keys = keys[order]
+                at = np.flatnonzero(np.concatenate([np.ones(min(len(keys), 1), dtype=bool), keys[1:] != keys[:-1]]))
+                held.append((keys[at], np.diff(np.append(at, len(keys))), shard[order[at]]))
+                size += len(at)
                 if size > HELD:
                     yield blocks(held)
                     held, size = [], 0
@@ -445,7 +449,7 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
-        for batch, texts in texts_in_steps(batches):
+        for batch, texts in texts_in_steps(batches, chars=STEP_CHARS):
             model.load()
             h, cut = words(texts)
             ids, log = model.scores(h, cut)
