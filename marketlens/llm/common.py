@@ -15,8 +15,8 @@ from marketlens.session import scratch_path
 
 #: Characters handed to one Python step at a time; a single longer text is one step of its own.
 STEP_CHARS = 1_000_000
-#: What Spark hands to a Python worker at a time.
-BATCH_BYTES = "4m"
+#: What Spark hands to a Python worker at a time, the rows that it reads from Parquet at a time, and the bytes of a Parquet row group that it writes.
+BATCH_BYTES, READ_ROWS, GROUP_BYTES = "4m", "256", str(8 << 20)
 #: The byte values that separate words in every word contract: \x20 and \x09-\x0D (what bytes.split() uses).
 SPACES = b" \t\n\x0b\x0c\r"
 
@@ -37,14 +37,17 @@ def hash_share(value: str | Column, part: float) -> Column:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bounds what Spark hands to a Python worker at a time by bytes, unless the deployment has set a bound.
+    """Bounds what Spark holds of texts at a time, unless the deployment has set bounds.
 
-    The bounds by default, ten thousand rows and 64 MB, let long texts take that much several
-    times over, in the executor and in each of its workers. Results do not depend on it.
+    By default ten thousand rows and 64 MB go to a Python worker at a time, four thousand rows are
+    read from Parquet at a time and row groups of 128 MB are gathered before they are written. With
+    texts, that is much memory several times over, in the executor (whose heap grows by arrays too
+    large for its young generation, and stays so) and in each of its workers. Results do not depend on it.
     """
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if not spark.sparkContext.getConf().contains(key):
-        spark.conf.set(key, BATCH_BYTES)
+    given = spark.sparkContext.getConf()
+    for key, value in (("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES), ("spark.sql.parquet.columnarReaderBatchSize", READ_ROWS), ("parquet.block.size", GROUP_BYTES)):
+        if not given.contains(key) and not given.contains(f"spark.hadoop.{key}"):
+            spark.conf.set(key, value)
 
 
 @contextmanager
@@ -111,8 +114,25 @@ class Memo(dict):
         self[key] = value
 
 
-def texts_in_steps(batches: Iterable[pa.RecordBatch], column: str = "text", chars: int = STEP_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """(rows, their texts; null as "") in steps of about ``chars`` characters."""
+#: What this worker keeps for its next task, by name; see ``kept_by_worker``.
+_kept: dict[str, object] = {}
+
+
+def kept_by_worker(name: str, make: Callable):
+    """What ``make`` returned when this worker first asked for ``name``, until its texts are read for something else."""
+    if name not in _kept:
+        _kept[name] = make()
+    return _kept[name]
+
+
+def texts_in_steps(batches: Iterable[pa.RecordBatch], column: str = "text", chars: int = STEP_CHARS, keep: str | None = None) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """(rows, their texts; null as "") in steps of about ``chars`` characters.
+
+    Of what the worker keeps, all but ``keep`` is dropped: a worker that is used again by another
+    stage would hold its words next to that stage's arrays.
+    """
+    for name in [x for x in _kept if x != keep]:
+        del _kept[name]
     gc.set_threshold(100_000, 50, 1000)  # large memo tables hold no cycles; scanning them again and again costs more than it frees
     for batch in batches:
         texts = [t or "" for t in batch.column(column).to_pylist()]

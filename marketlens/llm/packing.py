@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import Memo, Scratch, texts_in_steps
+from marketlens.llm.common import Memo, Scratch, kept_by_worker, texts_in_steps
 
 CAPACITY, END_ID = 2048, 1
 #: Marks that the vocabulary's pre-tokeniser splits off a preceding letter or digit.
@@ -76,7 +76,7 @@ class WordIds:
     """
 
     def __init__(self, path: str):
-        self.path, self.memo = path, Memo(self.ids, 500_000)
+        self.path, self.memo = path, Memo(self.ids, 200_000)
 
     def ids(self, part: bytes) -> bytes:
         stem = part.rstrip(TAIL)
@@ -97,9 +97,8 @@ class WordIds:
         return b"".join(map(self.memo.__getitem__, raw.split()))
 
 
-@functools.cache
 def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+    return kept_by_worker(f"words of {path}", lambda: WordIds(path))
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -111,7 +110,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, task, seen = word_ids(path), TaskContext.get().partitionId(), [0] * (capacity + 1)
-        for batch, texts in texts_in_steps(batches):
+        for batch, texts in texts_in_steps(batches, keep=f"words of {path}"):
             out: list[list[int]] = [[] for _ in range(7)]
             for i, raw in enumerate(map(encode, texts)):
                 raw += int(end_id).to_bytes(4, "little")
