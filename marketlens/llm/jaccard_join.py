@@ -54,7 +54,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import SPACES, Scratch, shuffles_released, texts_in_steps
+from marketlens.llm.common import SPACES, Scratch, shuffles_released, small_batches, texts_in_steps
 
 WIDTH = 5
 #: log2 of the fewest and most counters that order shingles by frequency (64 MB at most), and of those in one shuffled block.
@@ -63,6 +63,8 @@ MIN_COUNTERS, MAX_COUNTERS, BLOCK = 20, 26, 16
 CHARS_PER_COUNTER = 24
 #: log2 of the fewest and most bits of a bitmap of classes or keys (128 MB at most), and of those in one shuffled block.
 MIN_MARKS, MAX_MARKS, MARK_BLOCK = 23, 30, 17
+#: Characters hashed at a time (an array of one number a byte takes 2 MB), and shingles that a task gathers before it sends their counts or their lists.
+HASH_CHARS, COUNTED, LISTED = 250_000, 2_000_000, 1_000_000
 #: Classes that one group of ``divide_skip`` searches.
 CHUNK = 256
 #: Bins of a class's sketch, members of a list that one block of pairs takes from each side, and pairs tried in one step.
@@ -101,7 +103,7 @@ class Hasher:
         data = np.frombuffer(raw, dtype=np.uint8)
         n = len(data)
         if len(self.powers) <= n:
-            size = max(n + 1, 1 << 21)
+            size = max(n + 1, 1 << 19)
             one = np.ones(1, dtype=U64)
             self.powers = np.cumprod(np.concatenate([one, np.full(size, U64(self.R))]))
             self.inverses = np.cumprod(np.concatenate([one, np.full(size, U64(pow(self.R, -1, 2 ** 64)))]))
@@ -277,6 +279,7 @@ class JaccardJoin:
 
     def __init__(self, docs: DataFrame, width: int = WIDTH, hot: int = HOT):
         self.spark, self.width, self.hot = docs.sparkSession, width, hot
+        small_batches(self.spark)
         self.docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
         self.scratch = Scratch(self.spark, "jaccard")
 
@@ -298,7 +301,7 @@ class JaccardJoin:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hasher, found, size, known = Hasher(width), [], 0, set()
             id_type = None
-            for batch, texts in texts_in_steps(batches):
+            for batch, texts in texts_in_steps(batches, chars=HASH_CHARS):
                 id_type = batch.schema.field("doc_id").type
                 sets = hasher.sets(texts)
                 nodes = [class_key(s) for s in sets]
@@ -308,7 +311,7 @@ class JaccardJoin:
                             known.add(node)
                         found.append((s >> U64(64 - bits)).astype(np.uint32))
                         size += len(s)
-                if size > 8_000_000:
+                if size > COUNTED:
                     yield counted(found, id_type)
                     found, size = [], 0
                 none = pa.nulls(len(sets), pa.binary())
@@ -349,7 +352,7 @@ class JaccardJoin:
         def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hasher, order, known = Hasher(width), shared.value, set()
             held, size = [], 0
-            for _, texts in texts_in_steps(batches):
+            for _, texts in texts_in_steps(batches, chars=HASH_CHARS):
                 for s in hasher.sets(texts):
                     if not len(s) or (node := class_key(s)) in known:
                         continue
@@ -358,7 +361,7 @@ class JaccardJoin:
                     first = s[np.lexsort((s, order[(s >> away).astype(np.int64)]))[:probe_length(len(s))]]
                     held.append((node, len(s), first))
                     size += len(first)
-                if size > 4_000_000:
+                if size > LISTED:
                     yield flush(held)
                     held, size = [], 0
             if held:
@@ -440,7 +443,7 @@ class JaccardJoin:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hasher, known, task = Hasher(width), set(), TaskContext.get().partitionId()
-            for _, texts in texts_in_steps(batches):
+            for _, texts in texts_in_steps(batches, chars=HASH_CHARS):
                 found = []
                 for s in hasher.sets(texts):
                     node = class_key(s) if len(s) else None
